@@ -47,7 +47,7 @@ def activity_gaps(activity: DataFrame) -> DataFrame:
     for kind in KINDS:
         prev = F.last(F.when(F.col(kind), F.col("date")), ignorenulls=True).over(w)
         cols.append(F.when(F.col(kind), F.coalesce(F.datediff("date", prev), F.lit(0)))
-                    .alias(f"{kind}_gap"))
+                    .cast("long").alias(f"{kind}_gap"))
     return flagged.select("*", *cols)
 
 
