@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from cadence.operators import identity
 from cadence.schemas import ACTIVITY_COUNTS, INVITE_STATUSES
 
+
 def _zero():
     return F.lit(0).cast("long")
 
@@ -73,7 +74,11 @@ def activity_spine(product_events: DataFrame, app_events: DataFrame, invites: Da
                         .otherwise(F.coalesce("by_id_excluded", F.lit(False))).alias("excluded"),
                         "date", *ACTIVITY_COUNTS)
                 .where(F.col("user_id").isNotNull() & ~F.coalesce("excluded", F.lit(False))))
-    return resolved.groupBy("user_id", "date").agg(*[F.sum(c).alias(c) for c in ACTIVITY_COUNTS])
+    # Rows are already per (key, day), so a partial aggregate before the
+    # shuffle would save little; hash-partitioning by user_id instead lets
+    # every later per-user step (ranges, grid join, churn window) reuse it.
+    return (resolved.repartition("user_id").groupBy("user_id", "date")
+            .agg(*[F.sum(c).alias(c) for c in ACTIVITY_COUNTS]))
 
 
 def user_ranges(spine: DataFrame, profile: DataFrame, end_date: dt.date) -> DataFrame:
@@ -106,7 +111,9 @@ def user_daily_activity(spine: DataFrame, profile: DataFrame, end_date: dt.date)
     """The dense grid with activity counts (0 on idle days) and profile."""
     ranges = user_ranges(spine, profile, end_date)
     grid = daily_grid(ranges, end_date)
-    counts = spine.select("user_id", "date", *ACTIVITY_COUNTS)
+    # The grid (the largest frame) is streamed; the sparse spine is the
+    # hashed build side. Both are partitioned by user_id, so neither moves.
+    counts = spine.select("user_id", "date", *ACTIVITY_COUNTS).hint("shuffle_hash")
     return (grid.join(counts, ["user_id", "date"], "left")
             .select("user_id", "date", *[F.coalesce(F.col(c), _zero()).alias(c) for c in ACTIVITY_COUNTS],
                     "createdAt", "phoneNumber", "fullName", "username", "email"))

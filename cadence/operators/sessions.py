@@ -22,6 +22,8 @@ Steps and their plan shape:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,18 +35,22 @@ USER_COLS = ["user_id", "fullName", "phoneNumber", "username", "email",
              "contactAccessGranted", "businessUser", "createdAt"]
 META_COLS = ["start_timestamp", "end_timestamp", "autocapture_count", "screen_count",
              "session_duration"]
+_PROPERTY_COLUMNS = {"$session_id": "session_id", "$lib": "lib", "$screen_name": "screen_name",
+                     "$geoip_city_name": "city", "$geoip_country_name": "country",
+                     "$touch_x": "touch_x", "$touch_y": "touch_y"}
 
 
 def parse_properties(product_events: DataFrame) -> DataFrame:
-    """Typed columns from the JSON ``properties`` string."""
-    p = F.from_json("properties", PROPERTIES)
-    return product_events.select(
-        F.col("event").alias("event_name"), "distinct_id", "timestamp",
-        p.getField("$session_id").alias("session_id"), p.getField("$lib").alias("lib"),
-        p.getField("$screen_name").alias("screen_name"),
-        p.getField("$geoip_city_name").alias("city"),
-        p.getField("$geoip_country_name").alias("country"),
-        p.getField("$touch_x").alias("touch_x"), p.getField("$touch_y").alias("touch_y"))
+    """Typed columns from the JSON ``properties`` string.
+
+    The JSON is parsed once into a struct column and the fields are taken
+    from it in the next projection. (Taking fields straight off one
+    ``from_json`` call lets the optimizer split it into one parse per field.)
+    """
+    parsed = product_events.select(F.col("event").alias("event_name"), "distinct_id", "timestamp",
+                                   F.from_json("properties", PROPERTIES).alias("_p"))
+    return parsed.select("event_name", "distinct_id", "timestamp",
+                         *[F.col("_p").getField(k).alias(v) for k, v in _PROPERTY_COLUMNS.items()])
 
 
 def exclude_ids(df: DataFrame, excluded: DataFrame, col: str = "distinct_id") -> DataFrame:
@@ -125,22 +131,27 @@ def created_during(intervals: DataFrame, app_events: DataFrame) -> DataFrame:
     (user, active day). Cost is O(n log n) in sessions + events, with no
     per-user nested loop.
     """
-    iv = (intervals.select("user_id", "start_timestamp", "end_timestamp")
-          .where(F.col("user_id").isNotNull() & F.col("start_timestamp").isNotNull()
-                 & F.col("end_timestamp").isNotNull()).distinct())
+    # Both boundary marks of an interval come from one pass (explode).
+    # Duplicate intervals need no distinct: they add equal +/- terms below,
+    # which never change the sign, and the final groupBy makes keys unique.
+    bound = lambda t, o: F.struct(F.col(t).alias("t"), F.lit(o).alias("o"))
+    iv = (intervals.where(F.col("user_id").isNotNull() & F.col("start_timestamp").isNotNull()
+                          & F.col("end_timestamp").isNotNull())
+          .select("user_id", F.col("start_timestamp").alias("s"), F.col("end_timestamp").alias("e"),
+                  F.explode(F.array(bound("start_timestamp", 0), bound("end_timestamp", 2))).alias("m"))
+          .select("user_id", "m.t", "m.o", F.lit(0).alias("w"), "s", "e"))
     ev = (app_events.where(F.col("user_id").isNotNull() & F.col("createdAt").isNotNull())
           .select("user_id", F.col("createdAt").alias("t"), F.lit(1).alias("o"), F.lit(1).alias("w"),
                   F.lit(None).cast("timestamp").alias("s"), F.lit(None).cast("timestamp").alias("e")))
-    starts = iv.select("user_id", F.col("start_timestamp").alias("t"), F.lit(0).alias("o"), F.lit(0).alias("w"),
-                       F.col("start_timestamp").alias("s"), F.col("end_timestamp").alias("e"))
-    ends = iv.select("user_id", F.col("end_timestamp").alias("t"), F.lit(2).alias("o"), F.lit(0).alias("w"),
-                     F.col("start_timestamp").alias("s"), F.col("end_timestamp").alias("e"))
-    marks = ev.unionByName(starts).unionByName(ends).withColumn("day", F.to_date("t"))
+    marks = ev.unionByName(iv).withColumn("day", F.to_date("t"))
 
+    # Events at the same instant as a boundary sort after a start (o=0) and
+    # before an end (o=2), which makes both bounds inclusive.
     local_w = (Window.partitionBy("user_id", "day").orderBy("t", "o")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     marks = marks.withColumn("local", F.sum("w").over(local_w))
 
+    # Same partitioning as the window: no shuffle for the per-day totals.
     per_day = marks.groupBy("user_id", "day").agg(F.sum("w").alias("n"))
     day_w = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select("user_id", "day", F.coalesce(F.sum("n").over(day_w), F.lit(0)).alias("offset"))
@@ -153,11 +164,19 @@ def created_during(intervals: DataFrame, app_events: DataFrame) -> DataFrame:
 
 
 def sessions_aggregated(product_events: DataFrame, sessions: DataFrame, users: DataFrame,
-                        app_events: DataFrame, excluded: DataFrame, mobile_lib: str) -> DataFrame:
-    """The sessions_aggregated rows (before conform), with ``match_rank``."""
+                        app_events: DataFrame, excluded: DataFrame, mobile_lib: str,
+                        stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The sessions_aggregated rows (before conform), with ``match_rank``.
+
+    The matched session rows are read twice (for their intervals and as the
+    output rows); ``stage`` - e.g. ``lambda df: df.checkpoint()`` in the job -
+    materialises them once so the event aggregation is not recomputed.
+    """
     events = extract_events(product_events, excluded, mobile_lib)
     with_meta = attach_metadata(session_behaviour(events), sessions, excluded)
     matched = match_users(with_meta, users).where(F.col("user_id").isNotNull()).where(not_idle())
+    if stage is not None:
+        matched = stage(matched)
     hits = created_during(matched, app_events)
     return (matched.join(hits, ["user_id", "start_timestamp", "end_timestamp"], "left")
             .withColumn("created_event", F.coalesce("created_event", F.lit(False))))

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,6 +23,14 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Session settings the engine relies on for its plans (see ``prepare``).
+ENGINE_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    # Joins on (user_id, date) between frames already hash-partitioned by
+    # user_id (spine, grid, ranges) then need no extra shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "cadence", extra: dict | None = None) -> SparkSession:
@@ -42,12 +51,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def prepare(spark: SparkSession) -> SparkSession:
     """Make a session fit for the engine: UTC days, a checkpoint folder.
 
-    Only the session time zone is forced (the outputs are defined in UTC).
+    Only ``ENGINE_CONF`` is forced (UTC days, co-partitioned joins).
     The checkpoint folder is taken from ``spark.checkpoint.dir`` when the
     cluster names one; a private folder is created only where it is unset.
     """
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for k, v in ENGINE_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 

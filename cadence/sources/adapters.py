@@ -188,7 +188,33 @@ def _events_base(spark: SparkSession, sf_dir: str) -> DataFrame:
             .selectExpr(*events_base_exprs("spark")))
 
 
+# sf_dir -> {input name: parquet path} once ``materialize`` has stored them.
+_MATERIALIZED: dict[str, dict[str, str]] = {}
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """Store the derived inputs as parquet under ``out_dir`` (as the five
+    source tables would be stored in production) and read them from there
+    from now on. Returns the paths."""
+    paths = {}
+    for name, df in _derive(spark, sf_dir).items():
+        path = f"{out_dir.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+    _MATERIALIZED[sf_dir] = paths
+    return paths
+
+
 def load_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six engine inputs for ``sf_dir``: read back if materialised,
+    otherwise derived lazily from the driver tables."""
+    if sf_dir in _MATERIALIZED:
+        from cadence.sources.readers import read_inputs
+        return read_inputs(spark, _MATERIALIZED[sf_dir])
+    return _derive(spark, sf_dir)
+
+
+def _derive(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The six engine inputs derived from the driver tables at ``sf_dir``."""
     customer = _read(spark, sf_dir, "customer")
     base = _events_base(spark, sf_dir)
