@@ -59,7 +59,20 @@ def created_and_invites_daily(app_events: DataFrame, invites: DataFrame) -> Data
 def activity_spine(product_events: DataFrame, app_events: DataFrame, invites: DataFrame,
                    users: DataFrame, excluded: DataFrame) -> DataFrame:
     """Canonical ``(user_id, date)`` activity with the five counts."""
-    prod = product_daily_counts(product_events).select(
+    return spine_from_counts(product_daily_counts(product_events), app_events, invites, users, excluded)
+
+
+def merge_product_counts(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Sum two ``product_daily_counts`` frames (incremental refresh state)."""
+    return (old.unionByName(new).groupBy("key", "date")
+            .agg(F.sum("event_count").cast("long").alias("event_count")))
+
+
+def spine_from_counts(product_counts: DataFrame, app_events: DataFrame, invites: DataFrame,
+                      users: DataFrame, excluded: DataFrame) -> DataFrame:
+    """The spine from pre-aggregated product counts ``(key, date, event_count)``;
+    identities are resolved here, so stored counts never go stale."""
+    prod = product_counts.select(
         "key", "date", F.lit(0).alias("src"), "event_count",
         *[_zero().alias(c) for c in ["events_created_count", *INVITE_STATUSES]])
     other = created_and_invites_daily(app_events, invites).select(

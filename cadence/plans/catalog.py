@@ -329,5 +329,5 @@ def incremental_people(spark, sf_dir):
 def incremental_spine(spark, sf_dir):
     i = inputs(spark, sf_dir)
     old_inp, delta = _split(i)
-    old_spine = activity.activity_spine(old_inp.product_events, i.app_events, i.invites, i.users, i.excluded)
-    return incremental.refresh_spine(old_spine, i, delta)
+    old_counts = activity.product_daily_counts(old_inp.product_events)
+    return incremental.spine_from_state(incremental.refresh_product_counts(old_counts, delta), i)

@@ -4,10 +4,10 @@
   their events and replace their old rows (``left_anti`` + ``unionByName``).
 * People: users of those sessions (before or after) are recomputed from the
   merged sessions table and replace their old rows.
-* Activity spine: counts are sums, so the new events' spine is merged into
-  the old one by one ``groupBy(user_id, date)`` sum - no history is reread.
-  The grid and churn depend on ``end_date`` and are derived from the merged
-  spine each run.
+* Activity spine: product events are kept pre-aggregated per
+  (distinct_id, day); new events are merged in by one sum - no history is
+  reread - and identities are resolved when the spine is derived. The grid
+  and churn depend on ``end_date`` and are derived from the spine each run.
 
 Each result equals a full refresh over old + new events (tests check this).
 """
@@ -21,7 +21,7 @@ from cadence.operators import activity, sessions
 from cadence.params import Params
 from cadence.plans import pipeline
 from cadence.plans.pipeline import Inputs
-from cadence.schemas import ACTIVITY_COUNTS, PROPERTIES
+from cadence.schemas import PROPERTIES
 
 
 def touched_sessions(delta_events: DataFrame, excluded: DataFrame, mobile_lib: str) -> DataFrame:
@@ -54,9 +54,12 @@ def refresh_people(old_people: DataFrame, old_sessions: DataFrame, new_sessions:
     return old_people.join(users, "user_id", "left_anti").unionByName(fresh)
 
 
-def refresh_spine(old_spine: DataFrame, inp: Inputs, delta_events: DataFrame) -> DataFrame:
-    none = F.lit(False)
-    delta = activity.activity_spine(delta_events, inp.app_events.where(none), inp.invites.where(none),
-                                    inp.users, inp.excluded)
-    return (old_spine.unionByName(delta).groupBy("user_id", "date")
-            .agg(*[F.sum(c).alias(c) for c in ACTIVITY_COUNTS]))
+def refresh_product_counts(old_counts: DataFrame, delta_events: DataFrame) -> DataFrame:
+    """The spine's incremental state: product events per (distinct_id, day).
+    Identities are resolved when the spine is derived, so the state stays
+    exact when users change."""
+    return activity.merge_product_counts(old_counts, activity.product_daily_counts(delta_events))
+
+
+def spine_from_state(product_counts: DataFrame, inp: Inputs) -> DataFrame:
+    return activity.spine_from_counts(product_counts, inp.app_events, inp.invites, inp.users, inp.excluded)
