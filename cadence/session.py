@@ -39,6 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     conf = dict(_LOCAL_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("CADENCE_DRIVER_MEMORY", "8g")
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="cadence-warehouse-")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
