@@ -119,17 +119,17 @@ def not_idle() -> Column:
              & F.coalesce(F.col("autocapture_count") == 0, F.lit(False)))
 
 
-def created_during(intervals: DataFrame, app_events: DataFrame) -> DataFrame:
+def created_during(intervals: DataFrame, app_events: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """For distinct (user_id, start_timestamp, end_timestamp), whether the
     user has an app event with ``start <= createdAt <= end``.
 
     Exact and pair-free: with N(t) the number of the user's app events up to
     t, an interval holds an event iff N(<= end) - N(< start) > 0. Session
     boundaries and events are merged into one (user, time) stream. Running
-    counts are computed per (user, day) - a bounded group even for the
-    heaviest user - plus a per-user offset from a table with one row per
-    (user, active day). Cost is O(n log n) in sessions + events, with no
-    per-user nested loop.
+    counts are computed per (user, time bucket) - ``bucket_seconds`` long, so
+    even the heaviest user is split into many small groups - plus a per-user
+    offset from a table with one row per (user, active bucket). Cost is
+    O(n log n) in sessions + events, with no per-user nested loop.
     """
     # Both boundary marks of an interval come from one pass (explode).
     # Duplicate intervals need no distinct: they add equal +/- terms below,
@@ -143,7 +143,8 @@ def created_during(intervals: DataFrame, app_events: DataFrame) -> DataFrame:
     ev = (app_events.where(F.col("user_id").isNotNull() & F.col("createdAt").isNotNull())
           .select("user_id", F.col("createdAt").alias("t"), F.lit(1).alias("o"), F.lit(1).alias("w"),
                   F.lit(None).cast("timestamp").alias("s"), F.lit(None).cast("timestamp").alias("e")))
-    marks = ev.unionByName(iv).withColumn("day", F.to_date("t"))
+    bucket = F.floor(F.unix_micros("t") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long")
+    marks = ev.unionByName(iv).withColumn("day", bucket)
 
     # Events at the same instant as a boundary sort after a start (o=0) and
     # before an end (o=2), which makes both bounds inclusive.
@@ -151,7 +152,7 @@ def created_during(intervals: DataFrame, app_events: DataFrame) -> DataFrame:
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     marks = marks.withColumn("local", F.sum("w").over(local_w))
 
-    # Same partitioning as the window: no shuffle for the per-day totals.
+    # Same partitioning as the window: no shuffle for the per-bucket totals.
     per_day = marks.groupBy("user_id", "day").agg(F.sum("w").alias("n"))
     day_w = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_day.select("user_id", "day", F.coalesce(F.sum("n").over(day_w), F.lit(0)).alias("offset"))

@@ -71,7 +71,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Unset: only in tests and local runs. A cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store); "
+                               "lineage cuts must survive the loss of an executor")
+        # Unset in a local session (tests, benches): a private folder will do.
         d = tempfile.mkdtemp(prefix="cadence-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)

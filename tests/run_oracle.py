@@ -28,7 +28,8 @@ def main():
             ok, msg = False, f"{type(e).__name__}: {str(e).splitlines()[0][:300]}"
         bad += not ok
         print(f"{'OK ' if ok else 'BAD'} {name:32s} {time.time() - t:6.2f}s {msg}", flush=True)
-    print(f"{len(q) - bad}/{len(q)} match")
+    ran = len([n for n in q if not only or n in only])
+    print(f"{ran - bad}/{ran} match")
     return bad
 
 
