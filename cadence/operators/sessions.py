@@ -155,7 +155,10 @@ def created_during(intervals: DataFrame, app_events: DataFrame, bucket_seconds:
     # Same partitioning as the window: no shuffle for the per-bucket totals.
     per_day = marks.groupBy("user_id", "day").agg(F.sum("w").alias("n"))
     day_w = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_day.select("user_id", "day", F.coalesce(F.sum("n").over(day_w), F.lit(0)).alias("offset"))
+    # Partitioned like the marks, so the join below never regroups the marks
+    # by user_id alone (which would put a hot user back into one task).
+    offsets = (per_day.select("user_id", "day", F.coalesce(F.sum("n").over(day_w), F.lit(0)).alias("offset"))
+               .repartition("user_id", "day"))
 
     bounds = (marks.where(F.col("o") != 1).join(offsets, ["user_id", "day"])
               .select("user_id", "s", "e", "o", (F.col("local") + F.col("offset")).alias("cum")))
