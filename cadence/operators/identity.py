@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.joins import keep_first
+from cadence.functions.joins import broadcast_if_small, keep_first
 
 PROFILE_COLS = ["user_id", "phoneNumber", "fullName", "username", "email", "createdAt"]
 
@@ -66,8 +66,11 @@ def canonical_map(users: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def excluded_ids(lookup: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Lookup user ids whose phone is excluded (distinct)."""
-    ex = excluded.select(F.col("id").alias("phoneNumber")).where(F.col("phoneNumber").isNotNull())
+    """Lookup user ids whose phone is excluded (distinct). The
+    exclusion list is broadcast once its size is checked, so the lookup is
+    not shuffled by phone for it."""
+    ex = broadcast_if_small(excluded.select(F.col("id").alias("phoneNumber"))
+                            .where(F.col("phoneNumber").isNotNull()).distinct())
     return lookup.join(ex, "phoneNumber", "left_semi").select("user_id").distinct()
 
 

@@ -12,7 +12,8 @@ Spark side (``cadence.sources.adapters.duckdb_input_ctes``).
 from __future__ import annotations
 
 from cadence.plans.catalog import ORACLE_PARAMS as P
-from cadence.plans.catalog import TRIAL_ROWS
+from cadence.plans.catalog import FLOAT_DIGITS, TRIAL_ROWS
+from cadence.schemas import PEOPLE_AGGREGATED
 from cadence.sources.adapters import duckdb_input_ctes
 
 END = f"DATE '{P.end_date.isoformat()}'"
@@ -56,6 +57,14 @@ _COUNTS = [("scroll_event_count", "total_scrolls", "avg_scrolls_per_session", "m
            ("screen_count", "total_screens", "avg_screens_per_session", "max_screens_per_session")]
 
 
+_PEOPLE_ALL = PEOPLE_AGGREGATED.fieldNames()
+_PEOPLE_DOUBLES = {f.name for f in PEOPLE_AGGREGATED.fields if f.dataType.typeName() == "double"}
+
+
+def _round_doubles(cols) -> str:
+    return ", ".join(f"round({c}, {FLOAT_DIGITS}) AS {c}" if c in _PEOPLE_DOUBLES else c for c in cols)
+
+
 def _kind_churn(a: str, kind: str) -> str:
     return f"""
     CASE WHEN {a}.user_id IS NULL THEN 'never_active'
@@ -183,13 +192,15 @@ sessions_agg AS (
 people_base AS (
   SELECT user_id, {", ".join(people_cols)}
   FROM sessions_agg GROUP BY user_id),
-people AS (
+people_full AS (
   SELECT *, {days} AS days_since_first_session,
     total_sessions / ({days} + 1) AS sessions_per_day,
     CAST(created_event_sum + viewed_event_sum + joined_event_sum + scrolled_sum AS DOUBLE)
       / total_sessions AS engagement_score,
     {RUN_TS} AS etl_loaded_at
   FROM people_base),
+people AS (
+  SELECT {_round_doubles(_PEOPLE_ALL)} FROM people_full),
 users_ranked AS (
   SELECT *, row_number() OVER (PARTITION BY phoneNumber
     ORDER BY email IS NULL, username IS NULL, createdAt IS NULL, user_id, fullName) AS rn
