@@ -120,9 +120,12 @@ def daily_grid(ranges: DataFrame, end_date: dt.date) -> DataFrame:
         F.explode(F.sequence(F.col("start_date"), F.lit(end_date), F.expr("INTERVAL 1 DAY"))).alias("date"))
 
 
-def user_daily_activity(spine: DataFrame, profile: DataFrame, end_date: dt.date) -> DataFrame:
-    """The dense grid with activity counts (0 on idle days) and profile."""
-    ranges = user_ranges(spine, profile, end_date)
+def user_daily_activity(spine: DataFrame, profile: DataFrame, end_date: dt.date,
+                        ranges: DataFrame | None = None) -> DataFrame:
+    """The dense grid with activity counts (0 on idle days) and profile.
+    ``ranges`` may be passed when already computed (``user_ranges``)."""
+    if ranges is None:
+        ranges = user_ranges(spine, profile, end_date)
     grid = daily_grid(ranges, end_date)
     # The grid (the largest frame) is streamed; the sparse spine is the
     # hashed build side. Both are partitioned by user_id, so neither moves.

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadence import schemas
 from cadence.params import DEFAULT_THRESHOLD_DAYS, Params
+from cadence.operators import activity
 from cadence.plans import pipeline
 from cadence.plans.pipeline import Inputs
 from cadence.session import prepare
@@ -90,20 +91,29 @@ def _daily_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
     except Exception as e:
         return [_failed("user_daily_activity", e), StageResult("user_churn_state", "skipped")]
     try:
-        out.append(_write(pipeline.user_churn_state(frames["in_range"], p), targets, "user_churn_state"))
+        # Churn has a row exactly for users with an active day in range.
+        active = frames["in_range"].where(_any_activity())
+        out.append(_write(pipeline.user_churn_state(frames["in_range"], p), targets, "user_churn_state",
+                          probe=active))
     except Exception as e:
         out.append(_failed("user_churn_state", e))
     return out
 
 
+def _any_activity():
+    from pyspark.sql import functions as F
+    z = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return (z("event_count") + z("events_created_count") + z("accepted") + z("invited") + z("rejected")) > 0
+
+
 def _rebuild_on(spine: DataFrame, frames: dict, inp: Inputs, p: Params) -> dict:
-    """Daily frames re-derived from a checkpointed spine."""
-    from cadence.operators import activity
+    """Daily frames re-derived from a checkpointed spine; the per-user ranges
+    (read by the grid, churn and the emptiness probe) are cut as well."""
     profile = frames["profile"]
-    ranges = activity.user_ranges(spine, profile, p.end_date)
+    ranges = _cut(activity.user_ranges(spine, profile, p.end_date))
     return {"spine": spine, "profile": profile, "ranges": ranges,
             "in_range": activity.activity_in_range(spine, ranges, p.end_date),
-            "daily": activity.user_daily_activity(spine, profile, p.end_date)}
+            "daily": activity.user_daily_activity(spine, profile, p.end_date, ranges)}
 
 
 def run(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] | str, p: Params,
