@@ -16,7 +16,7 @@ Steps and their plan shape:
    join found nothing. Fan-out from a shared phone is kept (D5).
 5. P6 / P7: drop unmatched and idle sessions.
 6. ``created_during`` (J4): does the user have an app event inside
-   [start, end]? Computed as a difference of running counts, never by
+   [start, end]? Computed from running counts per (user, hour), never by
    pairing sessions with events (see the function).
 """
 
@@ -123,47 +123,42 @@ def created_during(intervals: DataFrame, app_events: DataFrame, bucket_seconds:
     """For distinct (user_id, start_timestamp, end_timestamp), whether the
     user has an app event with ``start <= createdAt <= end``.
 
-    Exact and pair-free: with N(t) the number of the user's app events up to
-    t, an interval holds an event iff N(<= end) - N(< start) > 0. Session
-    boundaries and events are merged into one (user, time) stream. Running
-    counts are computed per (user, time bucket) - ``bucket_seconds`` long, so
-    even the heaviest user is split into many small groups - plus a per-user
-    offset from a table with one row per (user, active bucket). Cost is
-    O(n log n) in sessions + events, with no per-user nested loop.
+    Exact and pair-free. Time is cut into buckets of ``bucket_seconds``; each
+    interval is split at bucket edges into pieces that each lie inside one
+    (user, bucket). Piece boundaries and events are merged into one stream
+    and a running count of events per (user, bucket) is taken; a piece holds
+    an event iff the count at its end minus the count just before its start
+    is positive, and an interval holds one iff any of its pieces does.
+    Groups are (user, bucket) - small even for the heaviest user - and no
+    session is ever paired with an event. An interval yields one piece per
+    bucket it touches (linear in its own duration).
     """
-    # Both boundary marks of an interval come from one pass (explode).
+    b_us = int(bucket_seconds) * 1_000_000
+    bucket_of = lambda c: F.floor(F.unix_micros(c) / F.lit(b_us)).cast("long")
+    edge = lambda b: F.timestamp_micros(b * F.lit(b_us))
+    # Intervals with start > end hold nothing (and would make sequence count down).
+    iv = (intervals.select("user_id", F.col("start_timestamp").alias("s"), F.col("end_timestamp").alias("e"))
+          .where(F.col("user_id").isNotNull() & F.col("s").isNotNull() & F.col("e").isNotNull()
+                 & (F.col("s") <= F.col("e"))))
+    pieces = iv.select("user_id", "s", "e", F.explode(F.sequence(bucket_of("s"), bucket_of("e"))).alias("b"))
+    lo = F.greatest(F.col("s"), edge(F.col("b")))
+    hi = F.least(F.col("e"), edge(F.col("b") + 1) - F.expr("INTERVAL 1 MICROSECOND"))
+    mark = lambda t, o: F.struct(t.alias("t"), F.lit(o).alias("o"))
+    bounds = (pieces.select("user_id", "s", "e", "b", F.explode(F.array(mark(lo, 0), mark(hi, 2))).alias("m"))
+              .select("user_id", "b", "m.t", "m.o", F.lit(0).alias("w"), "s", "e"))
     # Duplicate intervals need no distinct: they add equal +/- terms below,
     # which never change the sign, and the final groupBy makes keys unique.
-    bound = lambda t, o: F.struct(F.col(t).alias("t"), F.lit(o).alias("o"))
-    iv = (intervals.where(F.col("user_id").isNotNull() & F.col("start_timestamp").isNotNull()
-                          & F.col("end_timestamp").isNotNull())
-          .select("user_id", F.col("start_timestamp").alias("s"), F.col("end_timestamp").alias("e"),
-                  F.explode(F.array(bound("start_timestamp", 0), bound("end_timestamp", 2))).alias("m"))
-          .select("user_id", "m.t", "m.o", F.lit(0).alias("w"), "s", "e"))
     ev = (app_events.where(F.col("user_id").isNotNull() & F.col("createdAt").isNotNull())
-          .select("user_id", F.col("createdAt").alias("t"), F.lit(1).alias("o"), F.lit(1).alias("w"),
+          .select("user_id", bucket_of("createdAt").alias("b"), F.col("createdAt").alias("t"),
+                  F.lit(1).alias("o"), F.lit(1).alias("w"),
                   F.lit(None).cast("timestamp").alias("s"), F.lit(None).cast("timestamp").alias("e")))
-    bucket = F.floor(F.unix_micros("t") / F.lit(int(bucket_seconds) * 1_000_000)).cast("long")
-    marks = ev.unionByName(iv).withColumn("day", bucket)
-
     # Events at the same instant as a boundary sort after a start (o=0) and
     # before an end (o=2), which makes both bounds inclusive.
-    local_w = (Window.partitionBy("user_id", "day").orderBy("t", "o")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    marks = marks.withColumn("local", F.sum("w").over(local_w))
-
-    # Same partitioning as the window: no shuffle for the per-bucket totals.
-    per_day = marks.groupBy("user_id", "day").agg(F.sum("w").alias("n"))
-    day_w = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    # Partitioned like the marks, so the join below never regroups the marks
-    # by user_id alone (which would put a hot user back into one task).
-    offsets = (per_day.select("user_id", "day", F.coalesce(F.sum("n").over(day_w), F.lit(0)).alias("offset"))
-               .repartition("user_id", "day"))
-
-    bounds = (marks.where(F.col("o") != 1).join(offsets, ["user_id", "day"])
-              .select("user_id", "s", "e", "o", (F.col("local") + F.col("offset")).alias("cum")))
-    return (bounds.groupBy("user_id", F.col("s").alias("start_timestamp"), F.col("e").alias("end_timestamp"))
-            .agg((F.sum(F.when(F.col("o") == 2, F.col("cum")).otherwise(-F.col("cum"))) > 0)
+    w = (Window.partitionBy("user_id", "b").orderBy("t", "o")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = ev.unionByName(bounds).withColumn("n", F.sum("w").over(w)).where(F.col("o") != 1)
+    return (counted.groupBy("user_id", F.col("s").alias("start_timestamp"), F.col("e").alias("end_timestamp"))
+            .agg((F.sum(F.when(F.col("o") == 2, F.col("n")).otherwise(-F.col("n"))) > 0)
                  .alias("created_event")))
 
 
