@@ -27,6 +27,7 @@ class WriteResult:
     mode: str
     rows_written: int
     skipped: bool
+    table_rows: int | None = None  # rows in the table after the write
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -71,7 +72,11 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
         w.save(target)
     else:
         w.saveAsTable(target)
-    return WriteResult(target, mode, int(obs.get["rows"]), False)
+    rows = int(obs.get["rows"])
+    # After an overwrite the table holds exactly what was written; after an
+    # append it is counted (parquet footers only, no data pages).
+    table_rows = rows if mode == "overwrite" else read_back(df.sparkSession, target, fmt).count()
+    return WriteResult(target, mode, rows, False, table_rows)
 
 
 def read_back(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:

@@ -90,9 +90,10 @@ def start(spark: SparkSession, sources: dict[str, str], p: Params, state_dir: st
 
 
 def last_epoch(query: StreamingQuery) -> int:
-    """The last batch id the query committed (-1 if none)."""
-    prog = query.lastProgress
-    return int(prog["batchId"]) if prog else -1
+    """The last batch id this run processed with data (-1 if it found no new
+    files; progress entries of empty triggers are ignored)."""
+    done = [int(pr["batchId"]) for pr in query.recentProgress if pr.get("numInputRows", 0) > 0]
+    return max(done) if done else -1
 
 
 def spine_from_state(spark: SparkSession, state_dir: str, epoch: int, inp: Inputs) -> DataFrame:

@@ -34,6 +34,7 @@ def test_overwrite_append_and_counts(spark):
     r1 = sinks.write_table(df, target, "overwrite")
     r2 = sinks.write_table(df, target, "append")
     assert (r1.rows_written, r2.rows_written) == (5, 5)
+    assert (r1.table_rows, r2.table_rows) == (5, 10)
     assert sinks.read_back(spark, target).count() == 10
     sinks.write_table(df.limit(2), target, "overwrite")
     assert sinks.read_back(spark, target).count() == 2
