@@ -2,8 +2,10 @@
 
 Prints one JSON line. ``value`` is the full refresh: the job writing all
 four tables (both branches concurrently, lineage cut by checkpoints), the
-unit of work the reference's limits are stated in. ``queries`` times each
-registered headline query on its own. The engine's five inputs are first derived from the
+unit of work the reference's limits are stated in, measured warm (after one
+untimed run, so one-off JIT and code generation are excluded; the cold run
+is reported as ``full_refresh_cold_sec``). ``queries`` times each registered
+headline query on its own, also warm. The engine's five inputs are first derived from the
 driver tables and stored as parquet (``prepare_inputs_sec``, not part of
 ``value``), as the source tables would be stored in production; every timed
 query then reads them through the engine's readers. Each headline query is
@@ -43,17 +45,26 @@ def main() -> None:
     paths = adapters.materialize(spark, sf_dir, f"{scratch}/inputs")
     prepare_sec = time.time() - t
 
-    # Warm-up (JIT, class loading), not timed.
-    QUERIES["activity_spine"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    full_load = dataclasses.replace(ORACLE_PARAMS, since=None)
+
+    # Cold full refresh: includes one-off JIT and code generation.
+    t = time.time()
+    job.run(spark, paths, f"{scratch}/out-cold", full_load)
+    job_cold_sec = round(time.time() - t, 3)
 
+    # Warm runs: the steady-state cost, which is what grows with data.
+    def run_query(name):
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
+    for name in HEADLINE:  # warm-up pass, not timed
+        run_query(name)
     times = {}
     for name in HEADLINE:
         t = time.time()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        run_query(name)
         times[name] = round(time.time() - t, 3)
 
     t = time.time()
-    full_load = dataclasses.replace(ORACLE_PARAMS, since=None)
     results = job.run(spark, paths, f"{scratch}/out", full_load)
     job_sec = round(time.time() - t, 3)
     ok = all(r.status == "ok" for r in results)
@@ -64,6 +75,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "queries_total_sec": round(sum(times.values()), 3),
+        "full_refresh_cold_sec": job_cold_sec,
         "job_ok": ok,
         "job_rows": {r.table: r.rows for r in results},
         "prepare_inputs_sec": round(prepare_sec, 3),

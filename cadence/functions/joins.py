@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows``.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """Whether ``df`` is proven to hold at most ``max_rows`` rows, checked with
+    ``limit(max_rows + 1).count()`` (a scan that stops early)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
-    The bound is checked with ``limit(max_rows + 1).count()`` (a scan that
-    stops early); above it the plain frame is returned and the planner/AQE
-    pick a shuffle join from runtime statistics.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when it is proven to hold at most ``max_rows``;
+    above it the plain frame is returned and the planner/AQE pick a shuffle
+    join from runtime statistics."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column],

@@ -2,8 +2,8 @@
 
 Spine (A9-A12, J5-J8, J10, P12, P13). Each source is reduced first to
 ``(key, day)`` counts (partial aggregation happens map-side, so a hot key
-never travels as raw rows), then one join against the identity resolution
-table maps keys to canonical users and drops excluded ones, and one
+never travels as raw rows), then two left joins (phone map, id map) map keys
+to canonical users and drop excluded ones, and one
 ``groupBy(user_id, date)`` sums everything. Mapping before the final sum
 means a user seen under phone and id on one day gets one row (D7 fixed);
 exclusion after canonicalisation catches every id of an excluded person
@@ -78,15 +78,19 @@ def spine_from_counts(product_counts: DataFrame, app_events: DataFrame, invites:
     other = created_and_invites_daily(app_events, invites).select(
         "key", "date", F.lit(1).alias("src"), _zero().alias("event_count"),
         "events_created_count", *INVITE_STATUSES)
-    res = identity.resolution(users, excluded)
-    by_product = F.col("src") == 0
-    resolved = (prod.unionByName(other).join(res, "key", "left")
-                .select(F.when(by_product, F.col("by_any"))
-                        .otherwise(F.coalesce("by_id", "key")).alias("user_id"),
-                        F.when(by_product, F.col("by_any_excluded"))
-                        .otherwise(F.coalesce("by_id_excluded", F.lit(False))).alias("excluded"),
+    by_phone, by_id = identity.resolution(users, excluded)
+    product = F.col("src") == 0
+    phone_hit = product & F.col("phone_target").isNotNull()
+    # Two left joins on the key the rows are partitioned by: phone map, then
+    # id map (J5, J6, J10); product rows take the phone match when there is one.
+    resolved = (prod.unionByName(other).join(by_phone, "key", "left").join(by_id, "key", "left")
+                .select(F.when(phone_hit, F.col("phone_target"))
+                        .when(product, F.col("id_target"))
+                        .otherwise(F.coalesce("id_target", "key")).alias("user_id"),
+                        F.when(phone_hit, F.col("phone_excluded"))
+                        .otherwise(F.coalesce("id_excluded", F.lit(False))).alias("excluded"),
                         "date", *ACTIVITY_COUNTS)
-                .where(F.col("user_id").isNotNull() & ~F.coalesce("excluded", F.lit(False))))
+                .where(F.col("user_id").isNotNull() & ~F.col("excluded")))
     # Rows are already per (key, day), so a partial aggregate before the
     # shuffle would save little; hash-partitioning by user_id instead lets
     # every later per-user step (ranges, grid join, churn window) reuse it.

@@ -11,10 +11,11 @@ createdAt; ``user_id`` breaks ties). From that ranking:
   itself when it is in the lookup, else the lookup id that owns its phone;
 * excluded ids (J8, A17): lookup ids whose phone is on the exclusion list.
 
-``resolution`` folds these into one key table used by a single join: product
-events resolve ``distinct_id`` by phone first and by user id second; app
-events and invites resolve ``user_id`` by user id only, unknown ids keeping
-themselves. All steps are aggregates or equi-joins over the users table.
+``resolution`` returns the phone map and the id map, each flagged for
+exclusion: product events resolve ``distinct_id`` by phone first and by user
+id second; app events and invites resolve ``user_id`` by user id only,
+unknown ids keeping themselves. All steps are aggregates or equi-joins over
+the users table.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.functions.joins import broadcast_if_small, keep_first
+from cadence.functions.joins import is_small, keep_first
 
 PROFILE_COLS = ["user_id", "phoneNumber", "fullName", "username", "email", "createdAt"]
 
@@ -66,32 +67,35 @@ def canonical_map(users: DataFrame, lookup: DataFrame) -> DataFrame:
 
 
 def excluded_ids(lookup: DataFrame, excluded: DataFrame) -> DataFrame:
-    """Lookup user ids whose phone is excluded (distinct). The
-    exclusion list is broadcast once its size is checked, so the lookup is
-    not shuffled by phone for it."""
-    ex = broadcast_if_small(excluded.select(F.col("id").alias("phoneNumber"))
-                            .where(F.col("phoneNumber").isNotNull()).distinct())
+    """Lookup user ids whose phone is excluded (distinct)."""
+    ex = excluded.select(F.col("id").alias("phoneNumber")).where(F.col("phoneNumber").isNotNull()).distinct()
     return lookup.join(ex, "phoneNumber", "left_semi").select("user_id").distinct()
 
 
-def resolution(users: DataFrame, excluded: DataFrame) -> DataFrame:
-    """One row per key: ``(key, by_any, by_any_excluded, by_id, by_id_excluded)``.
+def resolution(users: DataFrame, excluded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two maps a key is resolved with, each flagged for exclusion:
 
-    ``by_any`` resolves a product-event ``distinct_id`` (phone first, then
-    user id); ``by_id`` resolves an app-event / invite ``user_id``. Targets are
-    canonical ids; the ``*_excluded`` flags mark excluded canonical users.
+    * by phone: ``(key, phone_target, phone_excluded)`` - phone -> lookup id;
+    * by id: ``(key, id_target, id_excluded)`` - known user id -> canonical id.
+
+    Product events try the phone map, then the id map; app events and invites
+    use the id map, unknown ids keeping themselves. Excluded ids number at
+    most one per excluded phone (phones are unique in the lookup), so once
+    the exclusion list is proven small they are broadcast, and each map keeps
+    the partitioning of the aggregate that built it.
     """
     lookup = user_lookup(users)
-    cmap = canonical_map(users, lookup)
-    ex = excluded_ids(lookup, excluded).withColumn("is_excluded", F.lit(True))
-    rows = (phone_map(lookup).select(F.col("phoneNumber").alias("key"), F.lit(0).alias("kind"),
-                                     F.col("user_id").alias("target"))
-            .unionByName(cmap.select(F.col("user_id").alias("key"), F.lit(1).alias("kind"),
-                                     F.col("canonical_id").alias("target"))))
-    rows = (rows.join(ex.withColumnRenamed("user_id", "target"), "target", "left")
-            .withColumn("is_excluded", F.coalesce("is_excluded", F.lit(False))))
-    any_pick = F.min(F.struct("kind", "target", "is_excluded"))
-    id_pick = F.max(F.when(F.col("kind") == 1, F.struct("target", "is_excluded")))
-    return (rows.groupBy("key").agg(any_pick.alias("a"), id_pick.alias("i"))
-            .select("key", F.col("a.target").alias("by_any"), F.col("a.is_excluded").alias("by_any_excluded"),
-                    F.col("i.target").alias("by_id"), F.col("i.is_excluded").alias("by_id_excluded")))
+    ex_ids = excluded_ids(lookup, excluded).withColumn("_excluded", F.lit(True))
+    if is_small(excluded):
+        ex_ids = F.broadcast(ex_ids)
+
+    def flagged(df: DataFrame, target: str) -> DataFrame:
+        return (df.join(ex_ids.withColumnRenamed("user_id", target), target, "left")
+                .withColumn("_excluded", F.coalesce("_excluded", F.lit(False))))
+
+    by_phone = flagged(phone_map(lookup).select(F.col("phoneNumber").alias("key"),
+                                                F.col("user_id").alias("phone_target")), "phone_target")
+    by_id = flagged(canonical_map(users, lookup).select(F.col("user_id").alias("key"),
+                                                        F.col("canonical_id").alias("id_target")), "id_target")
+    return (by_phone.withColumnRenamed("_excluded", "phone_excluded"),
+            by_id.withColumnRenamed("_excluded", "id_excluded"))

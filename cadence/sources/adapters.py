@@ -151,7 +151,9 @@ def session_agg_exprs(dialect: str) -> list[str]:
     ]
 
 
-SESSION_KEEP = "min(event_id) % 19 <> 7"
+def session_keep(first_event: str) -> str:
+    """Sessions whose metadata is kept (one in nineteen is withheld)."""
+    return f"{first_event} % 19 <> 7"
 
 APP_EVENT_EXPRS = [
     "CASE WHEN k % 10 = 9 THEN 'x' || CAST(user_id AS STRING) ELSE 'u' || CAST(user_id AS STRING) END AS user_id",
@@ -200,11 +202,11 @@ def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str
     n = spark.sparkContext.defaultParallelism
     for name, df in _derive(spark, sf_dir).items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        # Laid out as an event table usually is: clustered by time (parquet
-        # min/max statistics then let a ``since`` filter skip row groups),
-        # in enough files for every core to scan one.
+        # Laid out as tables usually are: the event table clustered by time
+        # (parquet min/max statistics then let a ``since`` filter skip row
+        # groups) in a file per core; the small tables in few files.
         laid_out = (df.repartitionByRange(n, "timestamp") if name == "product_events"
-                    else df.repartition(n))
+                    else df.repartition(max(1, n // 4)))
         laid_out.write.mode("overwrite").parquet(path)
         paths[name] = path
     _MATERIALIZED[sf_dir] = paths
@@ -239,7 +241,7 @@ def _sessions(base: DataFrame) -> DataFrame:
     aggs = [F.expr(e) for e in session_agg_exprs("spark")]
     return (base.groupBy("user_id", "block")
             .agg(*aggs, F.min("event_id").alias("_first_event"))
-            .where(F.expr(SESSION_KEEP.replace("min(event_id)", "_first_event")))
+            .where(F.expr(session_keep("_first_event")))
             .select("session_id", "distinct_id", "start_timestamp", "end_timestamp",
                     "session_duration", "autocapture_count", "screen_count"))
 
@@ -263,6 +265,6 @@ ev_base AS (
   ) cs ON events.user_id = cs.c_custkey),
 product_events AS (SELECT {", ".join(product_event_exprs())} FROM ev_base),
 sessions AS (
-  SELECT {sess_cols} FROM ev_base GROUP BY user_id, block HAVING {SESSION_KEEP}),
+  SELECT {sess_cols} FROM ev_base GROUP BY user_id, block HAVING {session_keep("min(event_id)")}),
 app_events AS (SELECT {", ".join(APP_EVENT_EXPRS)} FROM ev_base WHERE {APP_EVENT_WHERE}),
 invites AS (SELECT {", ".join(INVITE_EXPRS)} FROM ev_base WHERE {INVITE_WHERE})"""
