@@ -4,7 +4,8 @@ Steps and their plan shape:
 
 1. ``extract_events`` (P1-P4, F1): ``from_json`` into a fixed struct of seven
    string fields (malformed or null JSON gives null fields, so the row falls
-   out at the lib / session filter instead of failing the run, D16), keep the
+   out at the lib / session filter instead of failing the run, and are
+   counted when an ``Observation`` is passed, D16), keep the
    mobile lib and rows with a session id, drop excluded ``distinct_id`` with
    a left-anti join (null ids kept, D2). The exclusion list is broadcast only
    after its size is checked.
@@ -24,8 +25,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadence.functions import flags
 from cadence.functions.joins import broadcast_if_small, first_non_null, keep_first
@@ -40,17 +42,27 @@ _PROPERTY_COLUMNS = {"$session_id": "session_id", "$lib": "lib", "$screen_name":
                      "$touch_x": "touch_x", "$touch_y": "touch_y"}
 
 
-def parse_properties(product_events: DataFrame) -> DataFrame:
+_CORRUPT = "_corrupt_record"
+
+
+def parse_properties(product_events: DataFrame, flag_malformed: bool = False) -> DataFrame:
     """Typed columns from the JSON ``properties`` string.
 
     The JSON is parsed once into a struct column and the fields are taken
     from it in the next projection. (Taking fields straight off one
     ``from_json`` call lets the optimizer split it into one parse per field.)
+    With ``flag_malformed`` a boolean ``properties_malformed`` is added: the
+    text is not a JSON object (D16 - such rows are dropped, and counted).
     """
+    schema, opts = PROPERTIES, {}
+    if flag_malformed:
+        schema = T.StructType(PROPERTIES.fields + [T.StructField(_CORRUPT, T.StringType())])
+        opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = product_events.select(F.col("event").alias("event_name"), "distinct_id", "timestamp",
-                                   F.from_json("properties", PROPERTIES).alias("_p"))
+                                   F.from_json("properties", schema, opts).alias("_p"))
+    extra = [F.col("_p").getField(_CORRUPT).isNotNull().alias("properties_malformed")] if flag_malformed else []
     return parsed.select("event_name", "distinct_id", "timestamp",
-                         *[F.col("_p").getField(k).alias(v) for k, v in _PROPERTY_COLUMNS.items()])
+                         *[F.col("_p").getField(k).alias(v) for k, v in _PROPERTY_COLUMNS.items()], *extra)
 
 
 def exclude_ids(df: DataFrame, excluded: DataFrame, col: str = "distinct_id") -> DataFrame:
@@ -59,11 +71,20 @@ def exclude_ids(df: DataFrame, excluded: DataFrame, col: str = "distinct_id") ->
     return df.join(ex, F.col(col) == F.col("_excluded_id"), "left_anti")
 
 
-def extract_events(product_events: DataFrame, excluded: DataFrame, mobile_lib: str) -> DataFrame:
-    """Parsed mobile events with a session id, excluded ids removed."""
-    parsed = parse_properties(product_events).where(
-        (F.col("lib") == F.lit(mobile_lib)) & F.col("session_id").isNotNull())
-    return exclude_ids(parsed, excluded)
+def extract_events(product_events: DataFrame, excluded: DataFrame, mobile_lib: str,
+                   observation: Observation | None = None) -> DataFrame:
+    """Parsed mobile events with a session id, excluded ids removed.
+
+    ``observation`` (optional) collects, in the same pass, the number of
+    events read and of malformed ``properties`` (D16).
+    """
+    parsed = parse_properties(product_events, flag_malformed=observation is not None)
+    if observation is not None:
+        parsed = parsed.observe(observation, F.count(F.lit(1)).alias("events_read"),
+                                F.count_if("properties_malformed").alias("malformed_properties"))
+        parsed = parsed.drop("properties_malformed")
+    kept = parsed.where((F.col("lib") == F.lit(mobile_lib)) & F.col("session_id").isNotNull())
+    return exclude_ids(kept, excluded)
 
 
 def session_behaviour(events: DataFrame) -> DataFrame:
@@ -164,14 +185,15 @@ def created_during(intervals: DataFrame, app_events: DataFrame, bucket_seconds:
 
 def sessions_aggregated(product_events: DataFrame, sessions: DataFrame, users: DataFrame,
                         app_events: DataFrame, excluded: DataFrame, mobile_lib: str,
-                        stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                        stage: Callable[[DataFrame], DataFrame] | None = None,
+                        observation: Observation | None = None) -> DataFrame:
     """The sessions_aggregated rows (before conform), with ``match_rank``.
 
     The matched session rows are read twice (for their intervals and as the
     output rows); ``stage`` - e.g. ``lambda df: df.checkpoint()`` in the job -
     materialises them once so the event aggregation is not recomputed.
     """
-    events = extract_events(product_events, excluded, mobile_lib)
+    events = extract_events(product_events, excluded, mobile_lib, observation)
     with_meta = attach_metadata(session_behaviour(events), sessions, excluded)
     matched = match_users(with_meta, users).where(F.col("user_id").isNotNull()).where(not_idle())
     if stage is not None:

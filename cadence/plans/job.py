@@ -22,9 +22,10 @@ import datetime as dt
 import sys
 import traceback
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cadence import schemas
 from cadence.params import DEFAULT_THRESHOLD_DAYS, Params
@@ -43,6 +44,7 @@ class StageResult:
     status: str  # ok | skipped-empty | failed | skipped
     rows: int = 0
     error: str | None = None
+    metrics: dict = field(default_factory=dict)
 
 
 def _target(targets: dict[str, str] | str, table: str) -> str:
@@ -69,8 +71,15 @@ def _cut(df: DataFrame) -> DataFrame:
 def _sessions_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
     out = []
     try:
-        sess = pipeline.sessions_aggregated(inp, p, stage=_cut).checkpoint(eager=True)
-        out.append(_write(sess, targets, "sessions_aggregated"))
+        seen = Observation("sessions_input")
+        sess = pipeline.sessions_aggregated(inp, p, stage=_cut, observation=seen).checkpoint(eager=True)
+        res = _write(sess, targets, "sessions_aggregated")
+        # Malformed properties are dropped, and reported; D5: a session
+        # matched to several users (shared phone) is kept, and reported.
+        res.metrics = dict(seen.get)
+        res.metrics["sessions_with_several_users"] = (
+            sess.groupBy("session_id").count().where(F.col("count") > 1).count())
+        out.append(res)
     except Exception as e:  # stage isolation
         return [_failed("sessions_aggregated", e), StageResult("people_aggregated", "skipped")]
     try:
@@ -182,7 +191,8 @@ def main(argv: list[str] | None = None) -> int:
     else:
         results = run(spark, sources, args.target, p, limit=args.limit)
     for r in results:
-        print(f"{r.table}: {r.status} rows={r.rows}" + (f" error={r.error}" if r.error else ""))
+        print(f"{r.table}: {r.status} rows={r.rows}" + (f" error={r.error}" if r.error else "")
+              + (f" metrics={r.metrics}" if r.metrics else ""))
     return 1 if any(r.status in ("failed", "skipped") for r in results) else 0
 
 

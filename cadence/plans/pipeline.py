@@ -31,9 +31,9 @@ class Inputs:
                                            "invites", "excluded")})
 
 
-def sessions_aggregated(inp: Inputs, p: Params, stage=None) -> DataFrame:
+def sessions_aggregated(inp: Inputs, p: Params, stage=None, observation=None) -> DataFrame:
     df = sessions.sessions_aggregated(inp.product_events, inp.sessions, inp.users, inp.app_events,
-                                      inp.excluded, p.mobile_lib, stage=stage)
+                                      inp.excluded, p.mobile_lib, stage=stage, observation=observation)
     return conform(df, schemas.SESSIONS_AGGREGATED, p.run_ts)
 
 

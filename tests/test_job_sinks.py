@@ -77,6 +77,13 @@ def test_job_writes_four_tables_equal_to_queries(spark, sources):
     out = tempfile.mkdtemp(prefix="cadence-out-")
     results = job.run(spark, sources, out, FULL)
     assert [r.status for r in results] == ["ok"] * 4, results
+    ev = spark.read.parquet(sources["product_events"])
+    metrics = results[0].metrics
+    assert metrics["events_read"] == ev.count()
+    assert metrics["malformed_properties"] == ev.where("properties = 'not json'").count() > 0
+    sess = spark.read.parquet(f"{out}/sessions_aggregated")
+    fan = sess.groupBy("session_id").count().where("count > 1").count()
+    assert metrics["sessions_with_several_users"] == fan
     for r in results:
         got = spark.read.parquet(f"{out}/{r.table}")
         assert got.columns == schemas.OUTPUTS[r.table].fieldNames()
