@@ -315,11 +315,16 @@ def _split(i: Inputs) -> tuple[Inputs, DataFrame]:
     return old, delta
 
 
+# Session metadata blocks are 6 hours long, so a one-day lookback is exact here.
+SESSION_LOOKBACK = dt.timedelta(days=1)
+
+
 @register("incremental_sessions")
 def incremental_sessions(spark, sf_dir):
     i = inputs(spark, sf_dir)
     old_inp, delta = _split(i)
-    merged, _ = incremental.refresh_sessions(pipeline.sessions_aggregated(old_inp, P), i, delta, P)
+    merged, _ = incremental.refresh_sessions(pipeline.sessions_aggregated(old_inp, P), i, delta, P,
+                                             lookback=SESSION_LOOKBACK)
     return merged
 
 

@@ -22,6 +22,8 @@ depend on ``end_date``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -53,7 +55,7 @@ def read_state(spark: SparkSession, state_dir: str, table: str, epoch: int) -> D
     return spark.read.parquet(_version_path(state_dir, table, epoch))
 
 
-def _batch_fn(sources: dict[str, str], state_dir: str, p: Params):
+def _batch_fn(sources: dict[str, str], state_dir: str, p: Params, lookback=None):
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         prepare(spark)
@@ -64,7 +66,7 @@ def _batch_fn(sources: dict[str, str], state_dir: str, p: Params):
         # Read by three steps: keep the micro-batch for its duration (a lost
         # block is recomputed from the batch's files).
         delta = batch.select(*schemas.PRODUCT_EVENTS.fieldNames()).persist()
-        new_s, keys = incremental.refresh_sessions(old_s, inp, delta, p)
+        new_s, keys = incremental.refresh_sessions(old_s, inp, delta, p, lookback)
         # Written version N is read back: the lineage cut for the people step.
         new_s.write.mode("overwrite").parquet(_version_path(state_dir, "sessions_aggregated", epoch))
         new_s = spark.read.parquet(_version_path(state_dir, "sessions_aggregated", epoch))
@@ -77,13 +79,16 @@ def _batch_fn(sources: dict[str, str], state_dir: str, p: Params):
 
 
 def start(spark: SparkSession, sources: dict[str, str], p: Params, state_dir: str | None = None,
-          available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+          available_now: bool = True, processing_time: str | None = None,
+          lookback: dt.timedelta | None = None) -> StreamingQuery:
     """Start the incremental stream over ``sources['product_events']`` (a
-    folder of parquet files). Returns the running query."""
+    folder of parquet files). Returns the running query. ``lookback`` bounds
+    how far back the events of touched sessions are searched (see
+    ``cadence.plans.incremental.refresh_sessions``)."""
     prepare(spark)
     state_dir = state_dir or f"{checkpoint_dir(spark).rstrip('/')}/incremental-state"
     stream = spark.readStream.schema(schemas.PRODUCT_EVENTS).parquet(sources["product_events"])
-    w = (stream.writeStream.foreachBatch(_batch_fn(sources, state_dir, p))
+    w = (stream.writeStream.foreachBatch(_batch_fn(sources, state_dir, p, lookback))
          .option("checkpointLocation", f"{state_dir}/_stream"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
     return w.start()

@@ -90,11 +90,14 @@ def test_cli_incremental_mode(spark, staged, tmp_path):
     src_dir = os.path.dirname(sources["users"])
     state, out = str(tmp_path / "state"), str(tmp_path / "out")
     args = ["--sources", src_dir, "--target", out, "--end-date", "2024-01-31", "--threshold", "2",
-            "--incremental", state]
+            "--incremental", state, "--session-lookback-hours", "24"]
     assert job.main(args) == 0
     inp = Inputs.of(readers.read_inputs(spark, sources))
     full = pipeline.user_churn_state(pipeline.daily_frames(inp, ORACLE_PARAMS)["in_range"], ORACLE_PARAMS)
     got = spark.read.parquet(f"{out}/user_churn_state")
     assert _rows(got.drop("etl_loaded_at")) == _rows(full.drop("etl_loaded_at"))
+    full_s = pipeline.sessions_aggregated(inp, ORACLE_PARAMS).drop("etl_loaded_at")
+    got_s = spark.read.parquet(f"{out}/sessions_aggregated").drop("etl_loaded_at")
+    assert _rows(got_s) == _rows(full_s)
     res = job.run_incremental(spark, sources, out, ORACLE_PARAMS, state)
     assert {r.status for r in res} == {"skipped-empty"}
