@@ -11,6 +11,7 @@ Spark side (``cadence.sources.adapters.duckdb_input_ctes``).
 
 from __future__ import annotations
 
+from cadence.functions import flags as fl
 from cadence.plans.catalog import ORACLE_PARAMS as P
 from cadence.plans.catalog import FLOAT_DIGITS, TRIAL_ROWS
 from cadence.schemas import PEOPLE_AGGREGATED
@@ -39,6 +40,10 @@ def _prop(key: str) -> str:
     return f"CASE WHEN json_valid(properties) THEN json_extract_string(properties, '$.\"{key}\"') END"
 
 
+def _in_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def _flag(pred: str) -> str:
     return f"bool_or(coalesce({pred}, false))"
 
@@ -149,16 +154,16 @@ behaviour AS (
     arg_min(distinct_id, timestamp) FILTER (WHERE distinct_id IS NOT NULL) AS distinct_id,
     arg_min(city, timestamp) FILTER (WHERE city IS NOT NULL) AS city,
     arg_min(country, timestamp) FILTER (WHERE country IS NOT NULL) AS country,
-    {_flag("event_name = 'view_event'")} AS viewed_event,
-    {_flag("event_name = 'join_event'")} AS joined_event,
-    {_flag("event_name IN ('invite_friends', 'send_invite_to_event', 'invite_friends_for_report')")} AS invited_someone,
-    {_flag("contains(lower(event_name), 'contact') AND contains(lower(event_name), 'enable')")} AS enabled_contacts,
-    {_flag("event_name = 'click_invite_to_event'")} AS clicked_invite,
+    {_flag(f"event_name = '{fl.VIEWED_EVENT}'")} AS viewed_event,
+    {_flag(f"event_name = '{fl.JOINED_EVENT}'")} AS joined_event,
+    {_flag(f"event_name IN ({_in_list(fl.INVITED_SOMEONE_EVENTS)})")} AS invited_someone,
+    {_flag(" AND ".join(f"contains(lower(event_name), '{w}')" for w in fl.ENABLED_CONTACTS_WORDS))} AS enabled_contacts,
+    {_flag(f"event_name = '{fl.CLICKED_INVITE_EVENT}'")} AS clicked_invite,
     count(touch_x) + count(touch_y) > 0 AS scrolled,
-    {_flag("screen_name = 'Discover'")} AS visited_discover,
+    {_flag(f"screen_name = '{fl.DISCOVER_SCREEN}'")} AS visited_discover,
     CAST(count(touch_x) + count(touch_y) AS BIGINT) AS scroll_event_count,
-    {_flag("event_name = 'start_quiz'")} AS started_quiz,
-    {_flag("event_name = 'finish_quiz'")} AS completed_quiz
+    {_flag(f"event_name = '{fl.STARTED_QUIZ_EVENT}'")} AS started_quiz,
+    {_flag(f"event_name = '{fl.COMPLETED_QUIZ_EVENT}'")} AS completed_quiz
   FROM extracted GROUP BY session_id),
 meta AS (
   SELECT * FROM sessions

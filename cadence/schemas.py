@@ -48,7 +48,9 @@ INPUTS = {
     "excluded": EXCLUDED,
 }
 
-# The JSON keys read from product_events.properties (all kept as strings).
+# Fixed values that must equal the reference's: the JSON keys read from
+# product_events.properties (all kept as strings), the output table and
+# column names in their order, and the invite statuses pivoted to columns.
 PROPERTY_KEYS = ["$session_id", "$lib", "$screen_name", "$geoip_city_name",
                  "$geoip_country_name", "$touch_x", "$touch_y"]
 PROPERTIES = T.StructType([T.StructField(k, S) for k in PROPERTY_KEYS])
