@@ -62,7 +62,9 @@ SESSION_FLAGS = ["created_event", "viewed_event", "joined_event", "invited_someo
 
 SESSIONS_AGGREGATED = _schema(
     _f("session_id", S, False), _f("distinct_id", S), _f("city", S), _f("country", S),
-    *[_f(c, B) for c in SESSION_FLAGS],
+    _f("created_event", B), _f("viewed_event", B), _f("joined_event", B),
+    _f("invited_someone", B), _f("enabled_contacts", B), _f("clicked_invite", B),
+    _f("scrolled", B), _f("visited_discover", B),
     _f("scroll_event_count", L), _f("started_quiz", B), _f("completed_quiz", B),
     _f("start_timestamp", TS), _f("end_timestamp", TS),
     _f("autocapture_count", L), _f("screen_count", L), _f("session_duration", D),
@@ -80,7 +82,9 @@ PEOPLE_AGGREGATED = _schema(
     _f("avg_session_duration", D), _f("median_session_duration", D),
     _f("total_session_duration", D), _f("min_session_duration", D),
     _f("max_session_duration", D), _f("std_session_duration", D),
-    *[_f(f"{c}_sum", L) for c in PEOPLE_FLAG_SUMS],
+    _f("created_event_sum", L), _f("viewed_event_sum", L), _f("joined_event_sum", L),
+    _f("invited_someone_sum", L), _f("enabled_contacts_sum", L), _f("scrolled_sum", L),
+    _f("visited_discover_sum", L), _f("started_quiz_sum", L), _f("completed_quiz_sum", L),
     _f("total_scrolls", L), _f("avg_scrolls_per_session", D), _f("max_scrolls_per_session", L),
     _f("total_autocaptures", L), _f("avg_autocaptures_per_session", D),
     _f("max_autocaptures_per_session", L),
@@ -98,17 +102,20 @@ INVITE_STATUSES = ["accepted", "invited", "rejected"]
 
 USER_DAILY_ACTIVITY = _schema(
     _f("user_id", S, False), _f("date", DT, False),
-    *[_f(c, L) for c in ACTIVITY_COUNTS],
+    _f("event_count", L), _f("events_created_count", L),
+    _f("accepted", L), _f("invited", L), _f("rejected", L),
     _f("createdAt", TS), _f("phoneNumber", S), _f("fullName", S), _f("username", S),
     _f("email", S), _f("etl_loaded_at", TS),
 )
 
 USER_CHURN_STATE = _schema(
     _f("user_id", S, False),
-    *[f for kind in ("app", "biz") for f in (
-        _f(f"{kind}_churn_state", S), _f(f"{kind}_churn_date", DT),
-        _f(f"{kind}_times_churned", L), _f(f"days_since_last_{kind}_activity", L),
-        _f(f"first_{kind}_active_date", DT), _f(f"last_{kind}_active_date", DT))],
+    _f("app_churn_state", S), _f("app_churn_date", DT), _f("app_times_churned", L),
+    _f("days_since_last_app_activity", L), _f("first_app_active_date", DT),
+    _f("last_app_active_date", DT),
+    _f("biz_churn_state", S), _f("biz_churn_date", DT), _f("biz_times_churned", L),
+    _f("days_since_last_biz_activity", L), _f("first_biz_active_date", DT),
+    _f("last_biz_active_date", DT),
     _f("total_events_created", L), _f("total_events_attended", L),
     _f("total_app_interactions", L), _f("etl_loaded_at", TS),
 )
