@@ -15,6 +15,7 @@ from cadence.functions.joins import first_non_null
 from cadence.functions.stats import exact_median
 from cadence.schemas import PEOPLE_FLAG_SUMS
 
+DURATION_DECIMAL = "decimal(18,6)"
 PROFILE = ["fullName", "phoneNumber", "username", "email", "contactAccessGranted",
            "businessUser", "createdAt", "city", "country"]
 COUNTS = {"scroll_event_count": ("total_scrolls", "avg_scrolls_per_session", "max_scrolls_per_session"),
@@ -34,10 +35,13 @@ def people_aggregated(sessions_agg: DataFrame) -> DataFrame:
     s = sessions_agg.withColumn("_rank", _match_rank())
     order = (F.col("_rank"), F.col("session_id"), F.col("start_timestamp").isNull(), F.col("start_timestamp"))
     dur = F.col("session_duration")
+    # Durations are summed exactly (decimal, microsecond precision), so the
+    # total and mean do not depend on partitioning or summation order.
+    dur_sum = F.sum(dur.cast(DURATION_DECIMAL))
     aggs = [
         F.count("session_id").alias("total_sessions"),
-        F.avg(dur).alias("avg_session_duration"),
-        F.coalesce(F.sum(dur), F.lit(0.0)).alias("total_session_duration"),
+        (dur_sum.cast("double") / F.count(dur)).alias("avg_session_duration"),
+        F.coalesce(dur_sum.cast("double"), F.lit(0.0)).alias("total_session_duration"),
         F.min(dur).alias("min_session_duration"),
         F.max(dur).alias("max_session_duration"),
         F.stddev_samp(dur).alias("std_session_duration"),

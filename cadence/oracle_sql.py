@@ -1,7 +1,8 @@
 """DuckDB twins of the registered queries (the correctness oracle).
 
 Written in the direct form: ``row_number()`` dedups, a correlated ``EXISTS``
-for the in-session flag, ``lag`` for gaps, ``median``, churn read from the
+for the in-session flag, ``lag`` for gaps, ``quantile_disc`` for the median's
+middle values, churn read from the
 dense grid, and unions for the phone / id fallback. The Spark side uses
 scale-oriented forms (keep-first aggregates, running counts, a single
 resolution join, sparse churn), so each comparison also checks that those
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from cadence.functions import flags as fl
 from cadence.plans.catalog import ORACLE_PARAMS as P
-from cadence.plans.catalog import FLOAT_DIGITS, TRIAL_ROWS
+from cadence.plans.catalog import FLOAT_DIGITS, ROUNDED_FOR_COMPARISON, TRIAL_ROWS
 from cadence.schemas import PEOPLE_AGGREGATED
 from cadence.sources.adapters import duckdb_input_ctes
 
@@ -63,11 +64,11 @@ _COUNTS = [("scroll_event_count", "total_scrolls", "avg_scrolls_per_session", "m
 
 
 _PEOPLE_ALL = PEOPLE_AGGREGATED.fieldNames()
-_PEOPLE_DOUBLES = {f.name for f in PEOPLE_AGGREGATED.fields if f.dataType.typeName() == "double"}
 
 
 def _round_doubles(cols) -> str:
-    return ", ".join(f"round({c}, {FLOAT_DIGITS}) AS {c}" if c in _PEOPLE_DOUBLES else c for c in cols)
+    return ", ".join(f"round({c}, {FLOAT_DIGITS}) AS {c}" if c in ROUNDED_FOR_COMPARISON else c
+                     for c in cols)
 
 
 def _kind_churn(a: str, kind: str) -> str:
@@ -125,9 +126,12 @@ def _ctes() -> str:
                                           ("$touch_y", "touch_y")])
     people_cols = [
         "CAST(count(session_id) AS BIGINT) AS total_sessions",
-        "avg(session_duration) AS avg_session_duration",
-        "median(session_duration) AS median_session_duration",
-        "coalesce(sum(session_duration), 0.0) AS total_session_duration",
+        "CAST(sum(CAST(session_duration AS DECIMAL(18,6))) AS DOUBLE) / count(session_duration)"
+        " AS avg_session_duration",
+        "(quantile_disc(session_duration, 0.5) - quantile_disc(-session_duration, 0.5)) / 2"
+        " AS median_session_duration",
+        "coalesce(CAST(sum(CAST(session_duration AS DECIMAL(18,6))) AS DOUBLE), 0.0)"
+        " AS total_session_duration",
         "min(session_duration) AS min_session_duration",
         "max(session_duration) AS max_session_duration",
         "stddev_samp(session_duration) AS std_session_duration",
