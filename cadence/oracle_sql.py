@@ -118,7 +118,9 @@ def _churn_ctes(src: str, prefix: str) -> str:
   LEFT JOIN {prefix}totals t ON t.user_id = coalesce(a.user_id, b.user_id))"""
 
 
-def _ctes() -> str:
+def _ctes(derive_inputs: bool = True) -> str:
+    """The oracle's CTEs. With ``derive_inputs`` the six inputs are derived
+    from the driver tables; without, they must exist as tables/views."""
     parsed_cols = ",\n    ".join(
         f"{_prop(k)} AS {n}" for k, n in [("$session_id", "session_id"), ("$lib", "lib"),
                                           ("$screen_name", "screen_name"), ("$geoip_city_name", "city"),
@@ -143,8 +145,9 @@ def _ctes() -> str:
     people_cols += ["min(start_timestamp) AS first_session_date", "max(start_timestamp) AS last_session_date",
                     *[_first(c) for c in _PEOPLE_PROFILE]]
     days = "(epoch_us(last_session_date) - epoch_us(first_session_date)) / 86400e6"
+    inputs = f"{duckdb_input_ctes()}," if derive_inputs else ""
     return f"""
-{duckdb_input_ctes()},
+{inputs}
 parsed AS (
   SELECT event AS event_name, distinct_id, timestamp,
     {parsed_cols}
@@ -385,3 +388,9 @@ _BODIES = {
 def oracle_sql() -> dict[str, str]:
     ctes = _ctes()
     return {name: f"WITH {ctes}\n{body}" for name, body in _BODIES.items()}
+
+
+def oracle_over_inputs(name: str) -> str:
+    """The twin of query ``name`` over input tables named like the engine's
+    inputs (users, product_events, sessions, app_events, invites, excluded)."""
+    return f"WITH {_ctes(derive_inputs=False)}\n{_BODIES[name]}"
