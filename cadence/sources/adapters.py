@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.params import MOBILE_LIB
+
 # Dialect helpers: (spark, duckdb) templates.
 _K = {
     "spark": "CAST(get_json_object(props, '$.k') AS INT)",
@@ -107,7 +109,7 @@ _DISTINCT_ID = (
     f"WHEN user_id % 3 = 1 THEN {_EV_PHONE} "
     f"WHEN event_id % 2 = 0 THEN {_EV_PHONE} ELSE 'u' || CAST(user_id AS STRING) END")
 _P_SESSION = f"CASE WHEN event_id % 17 = 0 THEN NULL ELSE {_SESSION_KEY} END"
-_P_LIB = "CASE WHEN event_id % 5 = 4 THEN 'web' ELSE 'posthog-react-native' END"
+_P_LIB = f"CASE WHEN event_id % 5 = 4 THEN 'web' ELSE '{MOBILE_LIB}' END"
 _P_SCREEN = ("CASE k % 5 WHEN 0 THEN 'Discover' WHEN 1 THEN 'Home' WHEN 2 THEN 'Profile' "
              "WHEN 3 THEN 'discover' ELSE NULL END")
 _P_CITY = "CASE WHEN k % 4 = 0 THEN NULL ELSE 'City ' || CAST(k % 7 AS STRING) END"

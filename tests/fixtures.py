@@ -6,8 +6,9 @@ import datetime as dt
 import json
 
 from cadence import schemas
+from cadence.params import MOBILE_LIB
 
-RN = "posthog-react-native"
+RN = MOBILE_LIB
 END_DATE = dt.date(2024, 2, 10)
 RUN_TS = dt.datetime(2024, 2, 10, 12, 0, 0)
 
