@@ -157,6 +157,7 @@ def session_keep(first_event: str) -> str:
     """Sessions whose metadata is kept (one in nineteen is withheld)."""
     return f"{first_event} % 19 <> 7"
 
+
 APP_EVENT_EXPRS = [
     "CASE WHEN k % 10 = 9 THEN 'x' || CAST(user_id AS STRING) ELSE 'u' || CAST(user_id AS STRING) END AS user_id",
     "CASE WHEN k % 25 = 24 THEN NULL ELSE timestamp END AS createdAt",
