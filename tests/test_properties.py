@@ -80,3 +80,20 @@ def test_churn_equals_brute_force(spark, rows, thr):
                        "biz": (r.biz_churn_state, r.biz_times_churned)}
            for r in churn.churn_state(df, end, thr).collect()}
     assert got == _brute_churn(data, end, thr)
+
+
+@SETTINGS
+@given(vals=st.lists(st.tuples(users, st.one_of(st.none(), st.sampled_from([0.0, 0.5, 1.25, 7.0, 1e6]),
+                                                 st.floats(0, 100, allow_nan=False))),
+                     min_size=1, max_size=60))
+def test_exact_median_with_tiny_bins(spark, vals):
+    """bins=2 forces every level of the bin refinement to do real work."""
+    df = spark.createDataFrame(vals, "k string, v double")
+    got = {r.k: r.m for r in exact_median(df, "k", "v", "m", max_window_values=0, bins=2).collect()}
+    want = {}
+    for k in {k for k, _ in vals}:
+        xs = sorted(v for kk, v in vals if kk == k and v is not None)
+        if xs:
+            n = len(xs)
+            want[k] = (xs[(n + 1) // 2 - 1] + xs[n // 2]) / 2
+    assert got == want
