@@ -33,7 +33,12 @@ def _match_rank():
 def people_aggregated(sessions_agg: DataFrame) -> DataFrame:
     """The people_aggregated columns (without ``etl_loaded_at``)."""
     s = sessions_agg.withColumn("_rank", _match_rank())
-    order = (F.col("_rank"), F.col("session_id"), F.col("start_timestamp").isNull(), F.col("start_timestamp"))
+    # Row order of the sessions stage: phone matches first, then session id;
+    # one session fanned out to several rows of a user comes in the users'
+    # (fullName, phoneNumber, username, email) order, nulls last.
+    order = [F.col("_rank"), F.col("session_id"), F.col("start_timestamp").isNull(), F.col("start_timestamp")]
+    for c in ("fullName", "phoneNumber", "username", "email"):
+        order += [F.col(c).isNull(), F.col(c)]
     dur = F.col("session_duration")
     # Durations are summed exactly (decimal, microsecond precision), so the
     # total and mean do not depend on partitioning or summation order.

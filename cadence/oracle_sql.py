@@ -50,7 +50,9 @@ def _flag(pred: str) -> str:
 
 
 def _first(col: str) -> str:
-    return f"first({col} ORDER BY match_rank, session_id) FILTER (WHERE {col} IS NOT NULL) AS {col}"
+    order = ("match_rank, session_id, start_timestamp NULLS LAST, fullName NULLS LAST, "
+             "phoneNumber NULLS LAST, username NULLS LAST, email NULLS LAST")
+    return f"first({col} ORDER BY {order}) FILTER (WHERE {col} IS NOT NULL) AS {col}"
 
 
 _PEOPLE_FLAGS = ["created_event", "viewed_event", "joined_event", "invited_someone", "enabled_contacts",
