@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from cadence.oracle_sql import oracle_sql
+from cadence.plans.catalog import QUERIES
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
