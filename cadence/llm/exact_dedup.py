@@ -75,9 +75,11 @@ def classes(docs: DataFrame, first_bytes: int = FIRST_BYTES, growth: int = GROWT
 
 
 def _count(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows and the first row of each (group, chunk); null ids come last."""
+    """Rows and the first row of each (group, chunk); null ids come last. Cut,
+    so that the join that follows shuffles both sides itself and adaptive
+    execution can split a hot group."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("first")
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), first)
+    return cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), first))
 
 
 def _closed(level: DataFrame, kept_cols: list[str]) -> DataFrame:
