@@ -5,17 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, exact_dedup, mixing, url_filter
+from cadence.llm import chat, exact_dedup, langid, mixing, topk, url_filter
 from cadence.llm.common import table
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/")]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -31,7 +40,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_chat_format, op9_mix_sources, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_exact_dedup, op5_topk_search, op6_chat_format, op9_mix_sources, op10_url_filter)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -39,6 +48,18 @@ ORACLE_SQL = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
                row_number() OVER (PARTITION BY norm ORDER BY doc_id) = 1 AS kept, sha256(norm) AS text_sha256
         FROM n""",
+    "op5_topk_search": r"""
+        WITH v AS (
+            SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS vec
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum([q.vec[i] * c.vec[i] FOR i IN range(1, len(q.vec) + 1)]) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op6_chat_format": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
