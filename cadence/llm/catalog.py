@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, exact_dedup, langid, mixing, topk, url_filter
+from cadence.llm import chat, exact_dedup, langid, lm, mixing, packing, topk, url_filter
 from cadence.llm.common import table
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
              ("block", "net/fr/")]
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -20,6 +25,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
@@ -40,7 +49,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_exact_dedup, op5_topk_search, op6_chat_format, op9_mix_sources, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_exact_dedup, op4_lm_score, op5_topk_search, op6_chat_format, op9_mix_sources, op10_url_filter)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
