@@ -113,7 +113,7 @@ def _search_pair(k: int):
         tree = BallTree(left["vec_id"].to_numpy()[order],
                         np.array(left["vec"].tolist(), np.int64).reshape(len(left), dims)[order])
         out = []
-        for qid, q, floor in zip(right["query_id"], right["vec"], right["floor"]):
+        for qid, q, floor in zip(right["query_id"], right["query"], right["floor"]):
             found = tree.search(qid, np.asarray(q, np.int64), k, None if pd.isna(floor) else int(floor))
             out += [(qid, i, s) for s, i in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
@@ -130,12 +130,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int
     """``query_id, rank, vec_id, score``: the k best rows of ``vectors`` for
     each row of ``queries``; both frames as ``quantised`` returns them."""
     vectors = cut(vectors)
-    queries = cut(queries.select(F.col("vec_id").alias("query_id"), "vec"))
+    queries = cut(queries.select(F.col("vec_id").alias("query_id"), F.col("vec").alias("query")))
     shards = max(1, -(-vectors.count() // shard_rows))
     blocks = max(1, -(-queries.count() // block_rows))
     dealt = vectors.withColumn("dims", F.size("vec")) \
         .withColumn("shard", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(shards)).cast("int"))
-    asked = queries.withColumn("dims", F.size("vec")) \
+    asked = queries.withColumn("dims", F.size("query")) \
         .withColumn("block", F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(blocks)).cast("int"))
 
     def pairs(candidates: DataFrame, questions: DataFrame, which: list[int]) -> DataFrame:
