@@ -130,18 +130,24 @@ def _level_values(counts: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return value
 
 
-def _flat(batch: pa.RecordBatch, name: str = "tokens") -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of a batch and each row's token count."""
-    col = batch.column(name)
-    tokens = col.flatten().to_numpy(zero_copy_only=False)
-    lengths = np.diff(col.offsets.to_numpy(zero_copy_only=False))
-    return tokens.astype(np.int64, copy=False), lengths
+def _slices(batch: pa.RecordBatch, most: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """A batch in runs of rows of about ``most`` tokens: the rows, all their
+    tokens and each row's token count. Bounds the working arrays."""
+    ends = batch.column("tokens").offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+    start = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + most, side="right")) - 1)
+        part = batch.slice(start, stop - start)
+        tokens = part.column("tokens").flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+        yield part, tokens, np.diff(ends[start:stop + 1])
+        start = stop
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        word, n = np.unique(_flat(batch)[0], return_counts=True)
-        yield pa.record_batch({"word": pa.array(word), "n": pa.array(n.astype(np.int64))})
+        for _, tokens, _ in _slices(batch, 2_000_000):
+            word, n = np.unique(tokens, return_counts=True)
+            yield pa.record_batch({"word": pa.array(word), "n": pa.array(n.astype(np.int64))})
 
 
 def _previous(tokens: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
@@ -211,8 +217,7 @@ def train(docs: DataFrame, usable: Column) -> tuple[Model, DataFrame, int, int]:
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shipped.value
-        for batch in batches:
-            tokens, lengths = _flat(batch)
+        for _, tokens, lengths in (part for batch in batches for part in _slices(batch, 2_000_000)):
             at = _look_up(heavy, tokens)
             before = _previous(at, lengths, int(_look_up(heavy, np.array([end]))[0]))
             both = (at >= 0) & (before >= 0)
@@ -253,8 +258,7 @@ def score(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shipped.value)
-        for batch in batches:
-            tokens, lengths = _flat(batch)
+        for batch, tokens, lengths in (part for whole in batches for part in _slices(whole)):
             owner = np.repeat(np.arange(len(lengths)), lengths)
             at = _look_up(m.words, tokens)
             known = at >= 0
