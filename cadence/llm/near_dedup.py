@@ -14,11 +14,11 @@ with L / (n1 + n2 - L) >= THRESHOLD.
 
 Exact copies become one node first. A bucket of at most ``SMALL`` nodes is
 compared pair by pair. In a larger one every node is compared with a leader,
-as many pairs as rows however large the bucket, and the bucket is divided by
-``EXTRA`` further entries of its nodes, each part a bucket of its own with a
-leader of its own; parts are divided once more. Links are joined into classes
-by alternating large-star and small-star steps; nothing is collected on the
-driver.
+as many pairs as rows however large the bucket, and the bucket (of two
+neighbouring entries) is divided by ``EXTRA`` further entries of its nodes, each
+part a bucket of its own with a leader of its own. Links are joined into
+classes by alternating large-star and small-star steps; nothing is collected
+on the driver.
 
 Defined cases: null text is empty; texts without words are copies of each
 other; a class is named by its smallest id (a null id sorts first); equal ids
@@ -46,7 +46,6 @@ REACH = 2
 LEAST_COMMON = 4
 SMALL = 16
 EXTRA = 2
-DIVISIONS = 2
 
 
 def words_text(text: str = "text") -> Column:
@@ -213,15 +212,12 @@ def _links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame:
         F.xxhash64(F.lit(i), F.col("entries")[i], F.lit(j), F.col("entries")[j]) for i, j in bands])).alias("band", "key"))
     live = _buckets(rows)
     texts = cut(texts_of(live.select("node").distinct()))   # one shuffle of the texts, for those that can have a link
-    pairs = _pairs(live)
-    for level in range(DIVISIONS):
-        # Large buckets are divided by further entries of their nodes.
-        step = F.explode(F.array(*[F.lit(REACH + 1 + level * EXTRA + j) for j in range(EXTRA)]))
-        parts = live.where(F.col("size") > SMALL).join(entries, "node").withColumn("step", step) \
-            .withColumn("by", ((F.col("band") + F.col("step")) % SKETCHES).cast("int")) \
-            .select("node", "band", F.xxhash64("key", "by", F.expr("element_at(entries, by + 1)")).alias("key"))
-        live = _buckets(parts)
-        pairs = pairs.unionByName(_pairs(live))
+    # Large buckets of two neighbouring entries are divided by further ones.
+    step = F.explode(F.array(*[F.lit(REACH + 1 + j) for j in range(EXTRA)]))
+    parts = live.where((F.col("size") > SMALL) & (F.col("band") < SKETCHES)).join(entries, "node") \
+        .withColumn("step", step).withColumn("by", ((F.col("band") + F.col("step")) % SKETCHES).cast("int")) \
+        .select("node", "band", F.xxhash64("key", "by", F.expr("element_at(entries, by + 1)")).alias("key"))
+    pairs = _pairs(live).unionByName(_pairs(_buckets(parts)))
 
     common = F.size(F.filter(F.zip_with("ea", "eb", lambda x, y: x == y), lambda same: same))
     pairs = cut(pairs.distinct()
