@@ -262,8 +262,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The one document of each class that stays, with all its columns."""
-    kept = classes(docs, threshold).where("kept").select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_kept_digest")) \
-        .distinct()
+    kept = cut(classes(docs, threshold).where("kept")
+               .select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_digest")).distinct())
     rows = docs.withColumn("_digest", F.unhex(F.sha2(words_text().cast("binary"), 256)))
-    out = rows.join(kept, (F.col("_digest") == F.col("_kept_digest")) & F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    return out.dropDuplicates(["_digest"]).drop("_digest")
+    # One shuffle of the rows: equal digests meet for the join and for the choice among repeated rows.
+    out = rows.join(kept, "_digest").where(F.col("doc_id").eqNullSafe(F.col("_kept_id")))
+    return out.dropDuplicates(["_digest"]).select(*docs.columns)
