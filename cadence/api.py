@@ -13,7 +13,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from cadence.params import DEFAULT_THRESHOLD_DAYS, Params
+from cadence.params import Params
 from cadence.plans import pipeline
 from cadence.plans.pipeline import Inputs
 
@@ -48,7 +48,7 @@ def user_daily_activity(product_events: DataFrame, app_events: DataFrame, invite
     return pipeline.user_daily_activity(pipeline.daily_frames(inp, p), p)
 
 
-def user_churn_state(daily_activity: DataFrame, threshold_days: int = DEFAULT_THRESHOLD_DAYS,
+def user_churn_state(daily_activity: DataFrame, threshold_days: int | None = None,
                      end_date: dt.date | str | None = None, params: Params | None = None) -> DataFrame:
     """Churn state per user from a daily activity table (dense grid or any
     frame with ``user_id, date`` and the five activity counts)."""

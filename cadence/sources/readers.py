@@ -48,7 +48,8 @@ def cap_rows(df: DataFrame, n: int | None, order_by: Sequence[str | Column] | No
 def read_inputs(spark: SparkSession, sources: dict[str, str], since: dt.datetime | None = None,
                 limit: int | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:
     """All inputs; ``since`` applies to product events only, ``limit``
-    to every source (as the reference's trial-run option does)."""
+    to every source (as the reference's trial-run option does) but never to the
+    exclusion list, without which excluded people would come back."""
     out = {}
     for name in schemas.INPUTS:
         if name not in sources:
@@ -56,5 +57,5 @@ def read_inputs(spark: SparkSession, sources: dict[str, str], since: dt.datetime
         df = read_source(spark, sources[name], name, fmt)
         if name == "product_events":
             df = since_filter(df, since)
-        out[name] = cap_rows(df, limit)
+        out[name] = df if name == "excluded" else cap_rows(df, limit)
     return out
