@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def utc_literal(ts: dt.datetime) -> Column:
+    """A timestamp literal; a value without a zone is UTC, not the driver's zone."""
+    return F.lit(ts if ts.tzinfo else ts.replace(tzinfo=dt.timezone.utc))
+
+
 def _default(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.BooleanType):
         return F.lit(False)
@@ -32,7 +37,7 @@ def conform(df: DataFrame, schema: T.StructType, run_ts: dt.datetime | None = No
     cols = []
     for field in schema.fields:
         if field.name == "etl_loaded_at" and run_ts is not None:
-            c = F.lit(run_ts).cast(field.dataType)
+            c = utc_literal(run_ts).cast(field.dataType)
         elif field.name in present:
             c = F.col(field.name).cast(field.dataType)
             if isinstance(field.dataType, T.BooleanType):
@@ -60,4 +65,4 @@ def null_key_violations(df: DataFrame, schema: T.StructType) -> Column | None:
 
 def stamp(df: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Add ``etl_loaded_at`` = the run timestamp."""
-    return df.withColumn("etl_loaded_at", F.lit(run_ts).cast("timestamp"))
+    return df.withColumn("etl_loaded_at", utc_literal(run_ts).cast("timestamp"))

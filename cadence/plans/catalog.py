@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence import schemas
-from cadence.functions.conform import conform
+from cadence.functions.conform import conform, utc_literal
 from cadence.operators import activity, churn, identity, people, sessions
 from cadence.params import Params
 from cadence.plans import incremental, pipeline
@@ -317,22 +317,17 @@ def load_empty_skipped(spark, sf_dir):
 # ------------------------------------------------------------- I1
 
 def _split(i: Inputs) -> tuple[Inputs, DataFrame]:
-    old_events = i.product_events.where(F.col("timestamp") < F.lit(P.since))
+    old_events = i.product_events.where(F.col("timestamp") < utc_literal(P.since))
     delta = readers.since_filter(i.product_events, P.since)
     old = Inputs(old_events, i.sessions, i.users, i.app_events, i.invites, i.excluded)
     return old, delta
 
 
-# Session metadata blocks are 6 hours long, so a one-day lookback is exact here.
-SESSION_LOOKBACK = dt.timedelta(days=1)
-
-
 @register("incremental_sessions")
 def incremental_sessions(spark, sf_dir):
     i = inputs(spark, sf_dir)
     old_inp, delta = _split(i)
-    merged, _ = incremental.refresh_sessions(pipeline.sessions_aggregated(old_inp, P), i, delta, P,
-                                             lookback=SESSION_LOOKBACK)
+    merged, _ = incremental.refresh_sessions(pipeline.sessions_aggregated(old_inp, P), i, delta, P)
     return merged
 
 

@@ -9,13 +9,12 @@
   reread - and identities are resolved when the spine is derived. The grid
   and churn depend on ``end_date`` and are derived from the spine each run.
 
-Each result equals a full refresh over old + new events (tests check this).
+Each result equals a full refresh over old + new events (tests check this), as
+long as the other inputs do not change for sessions that no new event touches.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,24 +37,15 @@ def events_of_sessions(product_events: DataFrame, keys: DataFrame) -> DataFrame:
             .drop("session_id"))
 
 
-def refresh_sessions(old: DataFrame, inp: Inputs, delta_events: DataFrame, p: Params,
-                     lookback: dt.timedelta | None = None) -> tuple[DataFrame, DataFrame]:
+def refresh_sessions(old: DataFrame, inp: Inputs, delta_events: DataFrame,
+                     p: Params) -> tuple[DataFrame, DataFrame]:
     """(merged sessions_aggregated, touched session ids).
 
-    The touched sessions are recomputed from all of their events. With
-    ``lookback`` only events from ``min(new event time) - lookback`` on are
-    read - a time predicate that prunes files and row groups of a
-    time-clustered event table - which is exact as long as no session spans
-    more than ``lookback``. Without it (the default) the whole event table
-    is searched.
+    The touched sessions are recomputed from all of their events, those
+    without a timestamp included.
     """
     keys = touched_sessions(delta_events, inp.excluded, p.mobile_lib)
-    history = inp.product_events
-    if lookback is not None:
-        first_new = delta_events.agg(F.min("timestamp")).first()[0]
-        if first_new is not None:
-            history = history.where(F.col("timestamp") >= F.lit(first_new - lookback))
-    scoped = Inputs(events_of_sessions(history, keys), inp.sessions, inp.users,
+    scoped = Inputs(events_of_sessions(inp.product_events, keys), inp.sessions, inp.users,
                     inp.app_events, inp.invites, inp.excluded)
     fresh = pipeline.sessions_aggregated(scoped, p)
     return old.join(keys, "session_id", "left_anti").unionByName(fresh), keys

@@ -137,16 +137,18 @@ def run(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] |
 
 
 def run_incremental(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] | str,
-                    p: Params, state_dir: str, lookback: dt.timedelta | None = None) -> list[StageResult]:
+                    p: Params, state_dir: str) -> list[StageResult]:
     """I1 from the command line: the streaming refresh over new event files
     only (``trigger(availableNow=True)``), then all four tables from the
-    refreshed state."""
+    newest state. They are written even if no event file is new: the grid and
+    churn move on with ``end_date``, app events and invites may be new, and a
+    run that ended between the stream and the writes is caught up."""
     from cadence.streaming import incremental as stream
     prepare(spark)
-    query = stream.start(spark, sources, p, state_dir=state_dir, lookback=lookback)
+    query = stream.start(spark, sources, p, state_dir=state_dir)
     query.awaitTermination()
-    epoch = stream.last_epoch(query)
-    if epoch < 0:  # nothing new since the last run: the tables are current
+    epoch = stream.latest_epoch(spark, state_dir)
+    if epoch < 0:  # no event file has ever arrived
         return [StageResult(t, "skipped-empty") for t in OUTPUT_TABLES]
     inp = Inputs.of(readers.read_inputs(spark, sources))
     out = []
@@ -177,9 +179,6 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--limit", type=int, default=None, help="row cap per source, for trial runs")
     ap.add_argument("--incremental", metavar="STATE_DIR", default=None,
                     help="process only product-event files not seen before (state kept in STATE_DIR)")
-    ap.add_argument("--session-lookback-hours", type=float, default=None,
-                    help="with --incremental: search a touched session's events only this far back "
-                         "(exact when no session is longer); default searches all events")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("cadence-job").getOrCreate()
@@ -190,9 +189,7 @@ def main(argv: list[str] | None = None) -> int:
     if not (":" in args.target or "/" in args.target):
         sinks.ensure_database(spark, args.target)
     if args.incremental:
-        lookback = (dt.timedelta(hours=args.session_lookback_hours)
-                    if args.session_lookback_hours is not None else None)
-        results = run_incremental(spark, sources, args.target, p, args.incremental, lookback)
+        results = run_incremental(spark, sources, args.target, p, args.incremental)
     else:
         results = run(spark, sources, args.target, p, limit=args.limit)
     for r in results:

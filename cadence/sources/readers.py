@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence import schemas
+from cadence.functions.conform import utc_literal
 
 
 def read_source(spark: SparkSession, source: str, name: str, fmt: str = "parquet") -> DataFrame:
@@ -32,7 +33,7 @@ def since_filter(product_events: DataFrame, since: dt.datetime | None) -> DataFr
     """``timestamp >= since``; ``None`` is a full load."""
     if since is None:
         return product_events
-    return product_events.where(F.col("timestamp") >= F.lit(since))
+    return product_events.where(F.col("timestamp") >= utc_literal(since))
 
 
 def cap_rows(df: DataFrame, n: int | None, order_by: Sequence[str | Column] | None = None) -> DataFrame:

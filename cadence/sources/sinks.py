@@ -1,13 +1,11 @@
 """Writers for the four outputs.
 
 ``write_table`` overwrites or appends a parquet path or a catalog table.
-An empty frame is not written, leaving the previous table in place (S8);
-callers pass frames that are already materialised (the job checkpoints
-its stage outputs), so the emptiness probe reads stored rows rather than
-re-running the stage. The number of rows written is observed during the
-write itself (S9, no second pass), and REQUIRED columns are asserted
-inside the same projection, so a null key fails the write instead of
-loading bad rows.
+An overwrite first computes the rows into a reliable checkpoint, REQUIRED
+columns asserted in the same projection: a null key or a failed stage is met
+before the old table is touched. An empty frame is not written, leaving the
+previous table in place (S8). The number of rows written is observed during
+the write itself (S9, no second pass).
 """
 
 from __future__ import annotations
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.functions.conform import null_key_violations
+from cadence.session import checkpoint_dir
 
 
 @dataclass
@@ -61,10 +60,16 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
-    if skip_empty and (probe if probe is not None else df).isEmpty():
+    if skip_empty and probe is not None and probe.isEmpty():
+        return WriteResult(target, mode, 0, True)
+    out = _guard_required(df, schema)
+    if mode == "overwrite":
+        checkpoint_dir(df.sparkSession)
+        out = out.checkpoint()
+    if skip_empty and probe is None and out.isEmpty():
         return WriteResult(target, mode, 0, True)
     obs = Observation("write")
-    out = _guard_required(df, schema).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -22,9 +22,9 @@ depend on ``end_date``).
 
 from __future__ import annotations
 
-import datetime as dt
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cadence import schemas
@@ -55,7 +55,7 @@ def read_state(spark: SparkSession, state_dir: str, table: str, epoch: int) -> D
     return spark.read.parquet(_version_path(state_dir, table, epoch))
 
 
-def _batch_fn(sources: dict[str, str], state_dir: str, p: Params, lookback=None):
+def _batch_fn(sources: dict[str, str], state_dir: str, p: Params):
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         prepare(spark)
@@ -66,7 +66,7 @@ def _batch_fn(sources: dict[str, str], state_dir: str, p: Params, lookback=None)
         # Read by three steps: keep the micro-batch for its duration (a lost
         # block is recomputed from the batch's files).
         delta = batch.select(*schemas.PRODUCT_EVENTS.fieldNames()).persist()
-        new_s, keys = incremental.refresh_sessions(old_s, inp, delta, p, lookback)
+        new_s, keys = incremental.refresh_sessions(old_s, inp, delta, p)
         # Written version N is read back: the lineage cut for the people step.
         new_s.write.mode("overwrite").parquet(_version_path(state_dir, "sessions_aggregated", epoch))
         new_s = spark.read.parquet(_version_path(state_dir, "sessions_aggregated", epoch))
@@ -75,25 +75,39 @@ def _batch_fn(sources: dict[str, str], state_dir: str, p: Params, lookback=None)
         new_counts = incremental.refresh_product_counts(old_counts, delta)
         new_counts.write.mode("overwrite").parquet(_version_path(state_dir, "product_counts", epoch))
         delta.unpersist()
+        spark.createDataFrame([(epoch,)], "epoch long").write.mode("append").parquet(_log_path(state_dir))
     return apply
 
 
 def start(spark: SparkSession, sources: dict[str, str], p: Params, state_dir: str | None = None,
-          available_now: bool = True, processing_time: str | None = None,
-          lookback: dt.timedelta | None = None) -> StreamingQuery:
+          available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the incremental stream over ``sources['product_events']`` (a
-    folder of parquet files). Returns the running query. ``lookback`` bounds
-    how far back the events of touched sessions are searched (see
-    ``cadence.plans.incremental.refresh_sessions``)."""
+    folder of parquet files). Returns the running query."""
     prepare(spark)
     state_dir = state_dir or f"{checkpoint_dir(spark).rstrip('/')}/incremental-state"
     stream = spark.readStream.schema(schemas.PRODUCT_EVENTS).parquet(sources["product_events"])
-    w = (stream.writeStream.foreachBatch(_batch_fn(sources, state_dir, p, lookback))
+    w = (stream.writeStream.foreachBatch(_batch_fn(sources, state_dir, p))
          .option("checkpointLocation", f"{state_dir}/_stream"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 hour")
     return w.start()
 
 
+def _log_path(state_dir: str) -> str:
+    return f"{state_dir.rstrip('/')}/epochs"
+
+
+def latest_epoch(spark: SparkSession, state_dir: str) -> int:
+    """The newest complete state version, whichever run wrote it (-1 if none)."""
+    try:
+        log = spark.read.schema("epoch long").parquet(_log_path(state_dir))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    newest = log.agg(F.max("epoch")).first()[0]
+    return -1 if newest is None else int(newest)
+
+
 def last_epoch(query: StreamingQuery) -> int:
     """The last batch id this run processed with data (-1 if it found no new
     files; progress entries of empty triggers are ignored)."""

@@ -56,6 +56,36 @@ def test_required_null_fails_the_write(spark):
         sinks.write_table(df, target, "overwrite", schema=schemas.USER_CHURN_STATE)
 
 
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_failed_overwrite_keeps_the_old_table(spark, kind):
+    target = scratch_path(spark, "sink")
+    if kind == "table":
+        sinks.ensure_database(spark, "cadence_test_db")
+        target = "cadence_test_db.t_" + target.rsplit("-", 1)[1]
+    good = conform(spark.createDataFrame([("a",), ("b",), ("c",)], "user_id string"), schemas.USER_CHURN_STATE)
+    bad = conform(spark.createDataFrame([("a",), (None,)], "user_id string"), schemas.USER_CHURN_STATE)
+    sinks.write_table(good, target, "overwrite")
+    with pytest.raises(Exception, match="REQUIRED"):
+        sinks.write_table(bad, target, "overwrite", schema=schemas.USER_CHURN_STATE)
+    assert sinks.read_back(spark, target).count() == 3
+
+
+def test_timestamps_without_a_zone_are_utc(spark, monkeypatch):
+    import datetime as dt
+    import time
+    from cadence.functions.conform import stamp
+    try:
+        monkeypatch.setenv("TZ", "America/New_York")
+        time.tzset()
+        at = dt.datetime(2024, 1, 15)
+        got = stamp(spark.range(1), at).select(F.col("etl_loaded_at").cast("long")).first()[0]
+        kept = readers.since_filter(spark.sql("SELECT timestamp_seconds(1705276800) AS timestamp"), at).count()
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert got == 1705276800 and kept == 1
+
+
 def test_catalog_table_and_database(spark):
     sinks.ensure_database(spark, "cadence_test_db")
     sinks.ensure_database(spark, "cadence_test_db")  # idempotent
