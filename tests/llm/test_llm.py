@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -296,6 +297,43 @@ def test_near_dedup_equals_brute_force(docs, texts):
     assert got == brute_classes(texts)
 
 
+def crowd(n, seed=5):
+    """Copies of one text, each with edits of its own that put it about as far
+    from most others as the threshold, and texts that only share half of it."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(240)]
+    texts = {}
+    for i in range(n):
+        words = list(base) if i % 4 else base[:120] + [f"o{i}x{k}" for k in range(120)]
+        for at in rng.sample(range(240), rng.randrange(1, 8)):
+            words[at] = f"e{i}x{at}"
+        texts[i] = " ".join(words)
+    return texts
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_near_dedup_loses_no_link_in_large_buckets(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    texts = crowd(160)
+    want = brute_classes(texts)
+    assert 20 < len(set(want.values())) < 160
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()} == want
+
+
+def test_block_pairs_equal_all_pairs():
+    texts = crowd(60)
+    keys = [near_dedup.shingles(np.array([zlib.crc32(w.encode()) for w in t.split(" ")], np.uint64)) for t in texts.values()]
+    rows = pa.table({"node": range(60), "comp": range(60), "block": [i % 2 for i in range(60)],
+                     "entries": [near_dedup.sketch(k).view(np.int64) for k in keys], "signature": [near_dedup.signature(k) for k in keys],
+                     "x": [0] * 60, "y": [1] * 60, "band": [0] * 60})
+    got = near_dedup._block_pairs(0.8)(rows)
+    got = set(zip(got["a"].to_pylist(), got["b"].to_pylist()))
+    near = {(i, j) for i in range(60) for j in range(i + 1, 60)
+            if (i + j) % 2 and near_dedup.similarity(keys[i], keys[j]) >= 0.8}
+    assert near and near <= got and all((i + j) % 2 for i, j in got)
+
+
 def test_near_dedup_awkward(awkward, none):
     rows = near_dedup.classes(awkward).collect()
     assert len(rows) == len(AWKWARD)
