@@ -12,17 +12,20 @@ candidate pair is linked if the best alignment of the two shingle sequences,
 inside the band that a similarity of ``THRESHOLD`` allows, matches L shingles
 with L / (n1 + n2 - L) >= THRESHOLD.
 
-Exact copies become one node first. A bucket of at most ``SMALL`` nodes is
-compared pair by pair. In a larger one every node is compared with a leader,
-then, in buckets whose nodes are not all of one class yet, with a second
-leader: as many pairs as rows however large the bucket. What the leaders leave
-is done in full: in large buckets that still hold several classes, blocks of
-about ``BLOCK`` nodes meet block by block, and two nodes of different classes
-are a candidate pair if their entries agree as above and ``SIGNATURE`` one-byte
-minima put their similarity within three standard errors of the threshold or
-above (of pairs with exactly 0.8 about 1 in 700 falls below). Only candidates
-leave a block, each pair once. Links are joined into classes by alternating
-large-star and small-star steps; nothing is collected on the driver.
+Exact copies become one node first. Every node of a bucket is compared with
+the bucket's leader, its smallest node, so a group that shares many buckets
+mostly shares its leader too. Only nodes that are not of one class yet are
+compared further: pair by pair in a bucket of at most ``SMALL`` nodes, with a
+second leader in a larger one, as many pairs as rows however large it is.
+What the leaders leave is done in full: in large buckets that still hold
+several classes, blocks of about ``BLOCK`` nodes meet block by block, and two
+nodes of different classes are a candidate pair if their entries agree as
+above and ``SIGNATURE`` one-byte minima put their similarity within three
+standard errors of the threshold or above (of pairs with exactly 0.8 about 1 in
+700 falls below). Only candidates leave a block, each pair once. This step's
+work grows with the square of a bucket that stays of several classes, in tasks
+of bounded size. Links are joined into classes by alternating large-star and
+small-star steps; nothing is collected on the driver.
 
 Defined cases: null text is empty; texts without words are copies of each
 other; a class is named by its smallest id (a null id sorts first); equal ids
@@ -249,28 +252,31 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _buckets(rows: DataFrame) -> DataFrame:
     """``rows`` (key, node, ...) of the buckets with two nodes or more, with the
-    bucket's size and its leader, a node that depends on the key by a hash.
+    bucket's size and its leader, the smallest node.
     The aggregate is cut so that adaptive execution can split a hot bucket."""
-    salt = F.xxhash64("key")
-    stats = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.col("node").bitwiseXOR(salt)).alias("least"))
-                .where("size > 1").select("key", "size", F.col("least").bitwiseXOR(salt).alias("lead")))
+    stats = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lead")).where("size > 1"))
     return cut(rows.join(stats, "key"))
 
 
-def _pairs(live: DataFrame) -> DataFrame:
-    """Candidate pairs (a < b) of bucketed rows: all of a small bucket's, and
-    those with the leader of a large one."""
-    small = live.where(F.col("size") <= SMALL).select("key", "node")
-    inside = small.join(small.select("key", F.col("node").alias("other")), "key").where("node < other") \
-        .select(F.col("node").alias("a"), F.col("other").alias("b"))
-    star = live.where((F.col("size") > SMALL) & (F.col("node") != F.col("lead")))
-    return inside.unionByName(star.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")))
+def _with(node: str, other: str, rows: DataFrame) -> DataFrame:
+    """The pairs (a < b) of two columns of nodes."""
+    return rows.select(F.least(node, other).alias("a"), F.greatest(node, other).alias("b")).where("a < b")
 
 
-def _unsettled(large: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows of the large buckets whose nodes are of several classes so
-    far, with each node's class, a second leader and the leader's class."""
-    rows = cut(large.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+def _further_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of different classes in unsettled buckets: all of a small
+    bucket's, and those with the second leader of a large one."""
+    small = rows.where(F.col("size") <= SMALL).select("key", "node", "comp")
+    other = small.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
+    inside = small.join(other, "key").where("node < other AND comp <> other_comp")
+    leaders = rows.where((F.col("size") > SMALL) & (F.col("comp") != F.col("second_comp")))
+    return _with("node", "other", inside).unionByName(_with("node", "second", leaders))
+
+
+def _unsettled(live: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of the buckets whose nodes are of several classes so far, with
+    each node's class, a second leader and the leader's class."""
+    rows = cut(live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     stats = cut(rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
                                         F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "comp")).alias("m"))
                 .where("low < high").select("key", F.col("m.node").alias("second"), F.col("m.comp").alias("second_comp")))
@@ -313,14 +319,13 @@ def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFr
     def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
         return components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
 
-    comp = cut(components(linked(agreeing(_pairs(live)))))
-    large = live.where(F.col("size") > SMALL).select("key", "band", "node", "size")
-    unsettled = _unsettled(large, comp)
+    comp = cut(components(linked(agreeing(_with("node", "lead", live)))))
+    unsettled = _unsettled(live.select("key", "band", "node", "size"), comp)
     if unsettled.isEmpty():
         return comp
-    second = unsettled.where("comp <> second_comp").select(F.least("node", "second").alias("a"), F.greatest("node", "second").alias("b"))
-    comp = cut(joined(comp, linked(agreeing(second))))
-    unsettled = _unsettled(unsettled.select("key", "band", "node", "size"), comp)
+    comp = cut(joined(comp, linked(agreeing(_further_pairs(unsettled)))))
+    large = unsettled.where(F.col("size") > SMALL).select("key", "band", "node", "size")
+    unsettled = _unsettled(large, comp)
     return joined(comp, linked(cut(_rest(unsettled, entries, texts, threshold))))
 
 
