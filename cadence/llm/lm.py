@@ -6,15 +6,17 @@ words, of word pairs and of each word's discounted pair mass: an entry of
 level j is inserted j times (entry, 1) ... (entry, j), and is read back by
 probing level after level until one is absent.
 
-What the filter holds is chosen by share of the training tokens, the same at
-every size: words with at least ``WORD_SHARE`` of them and pairs of words with
-at least ``PAIR_SHARE``. No corpus has more than 1 / share such entries, which
-bounds the filter (about 6 MB) and the exact counts of the frequent words
-(16 MB) that are broadcast. Rarer words share the remaining mass evenly in the
-model. The add-one base score needs the exact count of every word; those of
+Every counted word and pair is held, whatever the corpus. The filter consists
+of shards by the entry's hash, about ``SHARD_TOKENS`` training tokens each,
+built in Spark tasks and sized from the levels they hold. Up to
+``BROADCAST_BYTES`` in all it is broadcast. A larger one stays in the
+shards: slices of the texts send each shard the entries they need, each once,
+and get the levels back, by joins on shard and on slice. The add-one base
+score needs the exact count of every word; frequent words (``WORD_SHARE`` of
+the training tokens, so at most 1 / share words) are broadcast, those of
 rarer words are found by a join of the texts' rare words with the counts.
 
-    P(w)     = q(w) / Z, or the rare words' mass shared evenly
+    P(w)     = q(w) / Z; a word that was never counted has q = 1
     P(w | h) = max(q(h w) - D, 0) / q(h) + (1 - m(h) / q(h)) P(w)
 
 Defined cases: a null text is empty and has one token, the end; a null id is
@@ -33,14 +35,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import SPACES, cut, id_crc, text_or_empty
+from cadence.session import scratch_path
 
 WORD_SHARE = 1e-6
-PAIR_SHARE = 1e-5
+SHARD_TOKENS = 1 << 20
+BROADCAST_BYTES = 32 << 20
 BITS_PER_ENTRY = 12
 PROBES = 7
 LEVELS_PER_OCTAVE = 2
 DISCOUNT = 0.75
 WORDS, PAIRS, MASS = 1, 2, 3
+LEAST = {WORDS: 1.0, PAIRS: 1.0, MASS: 1 - DISCOUNT}
+MOST = 256   # levels fit in a byte
+_SHARD_BIT = np.uint64(40)
 
 
 def token_hashes(text: str = "text") -> Column:
@@ -65,11 +72,23 @@ def entry(tag: int, first: np.ndarray, second: np.ndarray | None = None) -> np.n
     return _mix(key + second.view(np.uint64)) if second is not None else key
 
 
+def mass_entry(word_keys: np.ndarray) -> np.ndarray:
+    """Key of a word's pair mass, in the shard of the word's own key."""
+    low = np.uint64((1 << 40) - 1)
+    return word_keys & ~low | _mix(word_keys + np.uint64(MASS)) & low
+
+
+def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    return (keys >> _SHARD_BIT) % np.uint64(shards)
+
+
 class LogFrequencyBloom:
-    """Quantised counts in a Bloom filter, one membership per level."""
+    """Quantised counts in a Bloom filter, one membership per level. ``bits``
+    holds the shards one after another, ``size`` the bits of each."""
 
-    def __init__(self, bits: np.ndarray, size: int):
-        self.bits, self.size = bits, size
+    def __init__(self, bits: np.ndarray, size: int | np.ndarray):
+        self.bits, self.size = bits, np.atleast_1d(np.asarray(size, np.uint64))
+        self.start = np.concatenate([[0], np.cumsum(-(-self.size.astype(np.int64) // 8) * 8)[:-1]])
 
     @classmethod
     def empty(cls, insertions: int) -> LogFrequencyBloom:
@@ -80,8 +99,13 @@ class LogFrequencyBloom:
         """For each probe, a function from key numbers to bit places."""
         h = _mix(keys + np.uint64(level * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
         step = ((h >> np.uint64(32)) | np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        if len(self.size) == 1:
+            size, start = np.broadcast_to(self.size, len(keys)), np.broadcast_to(self.start, len(keys))
+        else:
+            shard = shard_of(keys, len(self.size)).astype(np.int64)
+            size, start = self.size[shard], self.start[shard]
         for i in range(PROBES):
-            yield lambda of, i=i: ((h[of] + np.uint64(i) * step[of]) % np.uint64(self.size)).astype(np.int64)
+            yield lambda of, i=i: start[of] + ((h[of] + np.uint64(i) * step[of]) % size[of]).astype(np.int64)
 
     def add(self, keys: np.ndarray, levels: np.ndarray) -> None:
         for level in range(1, int(levels.max(initial=0)) + 1):
@@ -118,13 +142,10 @@ def quantise(counts: np.ndarray, least: float) -> np.ndarray:
     return (1 + np.floor(LEVELS_PER_OCTAVE * np.log2(np.maximum(counts / least, 1)) + 1e-9)).astype(np.int16)
 
 
-def _level_values(counts: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """Mean count of each level (index 0: absent, 0)."""
-    most = int(levels.max(initial=0))
-    n = np.bincount(levels, minlength=most + 1)
-    total = np.bincount(levels, counts, minlength=most + 1)
+def _level_values(n: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Mean count of each level (index 0: absent, 0) from its entries and their sum."""
     value = total / np.maximum(n, 1)
-    for j in range(1, most + 1):   # levels that hold nothing can only be reached by a false positive
+    for j in range(1, len(n)):   # levels that hold nothing can only be reached by a false positive
         if not n[j]:
             value[j] = value[j - 1]
     return value
@@ -167,42 +188,100 @@ def _look_up(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1)
 
 
-class Model:
-    """The broadcast part: the filter, its level values and the frequent words."""
+def _count_pairs(end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, tokens, lengths in _slices(batch, 2_000_000):
+                p = Probes(*_numbered(tokens, end), lengths)
+                yield pa.record_batch({"first": pa.array(p.kinds[p.first]), "second": pa.array(p.kinds[p.second]),
+                                       "n": pa.array(np.bincount(p.pair, minlength=len(p.first)).astype(np.int64))})
+    return run
+
+
+def _numbered(tokens: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens and the end, and each token's number (the end's is last)."""
+    kinds, at = np.unique(np.append(tokens, end), return_inverse=True)
+    return kinds, at.astype(np.int64)
+
+
+class Probes:
+    """The filter entries that some texts need, each once: ``keys`` are the
+    words', their pair masses' and the pairs'."""
+
+    def __init__(self, kinds: np.ndarray, at: np.ndarray, lengths: np.ndarray):
+        self.kinds, self.cur = kinds, at[:-1]
+        self.prev = _previous(self.cur, lengths, at[-1])
+        pair, self.pair = np.unique(self.prev << 32 | self.cur, return_inverse=True)
+        self.first, self.second = pair >> 32, pair & (1 << 32) - 1
+
+    def keys(self) -> np.ndarray:
+        words = entry(WORDS, self.kinds)
+        return np.concatenate([words, mass_entry(words), entry(PAIRS, self.kinds[self.first], self.kinds[self.second])])
+
+    def log_probs(self, levels: np.ndarray, values: dict, total: int) -> np.ndarray:
+        """log10 P(token | token before it in its text), given the level of each key."""
+        k = len(self.kinds)
+        q, mass, q2 = (values[tag][np.minimum(part, len(values[tag]) - 1)] for tag, part in
+                       ((WORDS, levels[:k]), (MASS, levels[k:2 * k]), (PAIRS, levels[2 * k:])))
+        mass = np.where(q > 0, mass, 0.0)
+        p1 = np.where(q > 0, q, 1.0) / (total + 1)
+        left = 1 - np.minimum(mass / np.maximum(q, 1e-300), 0.98)
+        # A pair counts only if its words are held too.
+        q2 = np.where((mass[self.first] > 0) & (q[self.second] > 0), q2, 0.0)
+        p = left[self.first] * p1[self.second]
+        p += np.maximum(q2 - DISCOUNT, 0) / np.maximum(q[self.first], q2 + 1e-300) * (q2 > 0)
+        return np.log10(np.minimum(p, 1.0))[self.pair]
 
-    FIELDS = ("bits", "size", "values", "z", "unknown", "words", "counts", "end")
 
-    def __init__(self, *parts):
-        for name, part in zip(self.FIELDS, parts):
-            setattr(self, name, part)
-        self.filter = LogFrequencyBloom(self.bits, self.size)
+class Model:
+    """What every task gets: the filter (None if it stays in its shards), its
+    level values, the exact counts of the frequent words and the end."""
+
+    def __init__(self, bloom, values: dict, total: int, words: np.ndarray, counts: np.ndarray, end: int):
+        self.bloom, self.values, self.total, self.words, self.counts, self.end = bloom, values, total, words, counts, end
 
     def parts(self) -> tuple:
-        return tuple(getattr(self, name) for name in self.FIELDS)
-
-    def _read(self, tag: int, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
-        value = self.values[tag]
-        return value[self.filter.levels(entry(tag, first, second), len(value) - 1)]
-
-    def log_probs(self, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """log10 P(token | token before it in its text)."""
-        kinds, at = np.unique(np.append(tokens, self.end), return_inverse=True)
-        q = self._read(WORDS, kinds)
-        mass = np.where(q > 0, self._read(MASS, kinds), 0.0)
-        p1 = np.where(q > 0, q, self.unknown) / self.z
-        left = 1 - np.minimum(mass / np.maximum(q, 1e-300), 0.98)
-        cur = at[:-1]
-        prev = _previous(cur, lengths, at[-1])
-        p = left[prev] * p1[cur]
-        # Only pairs of held words whose first word has pair mass can be in the filter.
-        maybe = np.nonzero((mass[prev] > 0) & (q[cur] > 0))[0]
-        q2 = self._read(PAIRS, kinds[prev[maybe]], kinds[cur[maybe]])
-        p[maybe] += np.maximum(q2 - DISCOUNT, 0) / np.maximum(q[prev[maybe]], q2 + 1e-300) * (q2 > 0)
-        return np.log10(np.minimum(p, 1.0))
-
-
-def train(docs: DataFrame, usable: Column) -> tuple[Model, DataFrame, int, int]:
-    """The model, the exact word counts (``word, n``), their total and their number."""
+        bloom = self.bloom and (self.bloom.bits, self.bloom.size)
+        return bloom, self.values, self.total, self.words, self.counts, self.end
+
+    @classmethod
+    def of(cls, bloom, *rest) -> Model:
+        return cls(bloom and LogFrequencyBloom(*bloom), *rest)
+
+
+def _most(values: dict) -> int:
+    return max(len(v) for v in values.values()) - 1
+
+
+def _entry_rows(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tag, first, second = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tag", "first", "second"))
+            words = entry(WORDS, first)
+            key = np.where(tag == WORDS, words, np.where(tag == MASS, mass_entry(words), entry(PAIRS, first, second)))
+            yield pa.RecordBatch.from_arrays([pa.array(shard_of(key, shards).astype(np.int32)), batch.column("tag"),
+                                              pa.array(key.view(np.int64)), batch.column("x")], names=["shard", "tag", "key", "x"])
+    return run
+
+
+def _build_shard(rows: pa.Table) -> pa.Table:
+    """One shard of the filter, and its entries and their sum by (tag, level)."""
+    tag, key, x = (rows[c].to_numpy() for c in ("tag", "key", "x"))
+    levels = np.zeros(len(key), np.int16)
+    for t, least in LEAST.items():
+        levels[tag == t] = quantise(x[tag == t], least)
+    bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64)))
+    bloom.add(key.view(np.uint64), levels)
+    cell = tag.astype(np.int64) * MOST + levels
+    return pa.table({"shard": rows["shard"].slice(0, 1), "size": pa.array(bloom.size.astype(np.int64)),
+                     "bits": pa.array([bloom.bits.tobytes()], pa.binary()),
+                     "held": pa.array([np.bincount(cell, minlength=4 * MOST)], pa.list_(pa.int64())),
+                     "total": pa.array([np.bincount(cell, x, 4 * MOST)], pa.list_(pa.float64()))})
+
+
+def train(docs: DataFrame, usable: Column) -> tuple[Model, DataFrame, int, DataFrame, int, int]:
+    """The model, the filter's shards (``shard, size, bits``) and their number,
+    the exact word counts (``word, n``), their total and their number."""
     spark = docs.sparkSession
     texts = docs.where(usable).select(token_hashes().alias("tokens"))
     counts = cut(texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
@@ -211,73 +290,134 @@ def train(docs: DataFrame, usable: Column) -> tuple[Model, DataFrame, int, int]:
     frequent = counts.where(F.col("n") >= total * WORD_SHARE).toPandas().sort_values("word")
     words, word_n = frequent["word"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)
 
-    paired = words[word_n >= total * PAIR_SHARE]   # both words of a frequent pair are as frequent
     end = spark.range(1).select(F.xxhash64(F.lit(""))).first()[0]
-    shipped = spark.sparkContext.broadcast(paired)
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy = shipped.value
-        for _, tokens, lengths in (part for batch in batches for part in _slices(batch, 2_000_000)):
-            at = _look_up(heavy, tokens)
-            before = _previous(at, lengths, int(_look_up(heavy, np.array([end]))[0]))
-            both = (at >= 0) & (before >= 0)
-            pair, n = np.unique(before[both] << 20 | at[both], return_counts=True)
-            yield pa.record_batch({"pair": pa.array(pair), "n": pa.array(n.astype(np.int64))})
-
-    # Places in ``paired`` fit in 20 bits: it has at most 1 / PAIR_SHARE words.
-    pairs = texts.mapInArrow(count_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")) \
-        .where(F.col("n") >= total * PAIR_SHARE).toPandas().sort_values("pair")
-    pair, pair_n = pairs["pair"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64)
-    first, second = paired[pair >> 20], paired[pair & (1 << 20) - 1]
-    led, mass = np.zeros(0, np.int64), np.zeros(0)
-    if len(pair):
-        led, which = np.unique(first, return_inverse=True)
-        mass = np.bincount(which, np.maximum(pair_n - DISCOUNT, 0))
-    held = [(WORDS, entry(WORDS, words), word_n.astype(float), max(1.0, total * WORD_SHARE)),
-            (PAIRS, entry(PAIRS, first, second), pair_n.astype(float), max(1.0, total * PAIR_SHARE)),
-            (MASS, entry(MASS, led), mass, max(1e-3, mass.min(initial=1.0)))]
-    levels = {tag: quantise(n, least) for tag, _, n, least in held}
-    bloom = LogFrequencyBloom.empty(sum(int(x.sum(dtype=np.int64)) for x in levels.values()))
+    path = scratch_path(spark, "lm-pairs")
+    texts.mapInArrow(_count_pairs(end), "first long, second long, n long") \
+        .groupBy("first", "second").agg(F.sum("n").alias("n")).write.parquet(path)
+    pairs = spark.read.parquet(path)
+    mass = pairs.groupBy("first").agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("x"))
+
+    def rows(df: DataFrame, tag: int, first: str, second: Column, x: str) -> DataFrame:
+        return df.select(F.lit(tag).alias("tag"), F.col(first).alias("first"), second.alias("second"), F.col(x).cast("double").alias("x"))
+
+    shards = -(-total // SHARD_TOKENS) or 1   # there are at most as many pairs as tokens
+    held = rows(pairs, PAIRS, "first", F.col("second"), "n").unionByName(rows(counts, WORDS, "word", F.lit(0).cast("long"), "n")) \
+        .unionByName(rows(mass, MASS, "first", F.lit(0).cast("long"), "x"))
+    built = cut(held.mapInArrow(_entry_rows(shards), "shard int, tag int, key long, x double").groupBy("shard")
+                .applyInArrow(_build_shard, "shard int, size long, bits binary, held array<long>, total array<double>"))
+    n, sums = np.zeros(4 * MOST), np.zeros(4 * MOST)
+    for cell in built.select(F.posexplode(F.arrays_zip("held", "total")).alias("at", "c")).groupBy("at") \
+            .agg(F.sum("c.held").alias("n"), F.sum("c.total").alias("s")).where("n > 0").collect():
+        n[cell["at"]], sums[cell["at"]] = cell["n"], cell["s"]
     values = {}
-    for tag, keys, n, _ in held:
-        bloom.add(keys, levels[tag])
-        values[tag] = _level_values(n, levels[tag])
-    rest = total - int(word_n.sum()) + 1
-    z = float(values[WORDS][levels[WORDS]].sum() + rest)
-    unknown = rest / (kinds - len(words) + 1)
-    return Model(bloom.bits, bloom.size, values, z, unknown, words, word_n, end), counts, total, kinds
+    for tag in LEAST:
+        in_tag = n[tag * MOST:(tag + 1) * MOST]
+        most = int(np.flatnonzero(in_tag).max(initial=0)) + 1
+        values[tag] = _level_values(in_tag[:most], sums[tag * MOST:tag * MOST + most])
+    bloom = None
+    if (built.agg(F.sum(F.length("bits"))).first()[0] or 0) <= BROADCAST_BYTES:
+        parts = {r["shard"]: r for r in built.select("shard", "size", "bits").collect()}
+        sizes = np.array([parts[k]["size"] if k in parts else 64 for k in range(shards)], np.uint64)
+        bits = b"".join(bytes(parts[k]["bits"]) if k in parts else bytes(8) for k in range(shards))
+        bloom = LogFrequencyBloom(np.frombuffer(bits, np.uint8), sizes)
+    return Model(bloom, values, total, words, word_n, end), built.select("shard", "size", "bits"), shards, counts, total, kinds
+
+
+def _sharded(slices: DataFrame, built: DataFrame, shards: int, values: dict, total: int) -> DataFrame:
+    """``rid, score`` of the texts of ``slices``: each slice sends every shard
+    the entries it needs, and is scored when it has their levels."""
+    shipped = slices.sparkSession.sparkContext.broadcast(values)
+
+    def probes(columns, i: int) -> tuple[Probes, np.ndarray, np.ndarray]:
+        """The slice's probes, their order by shard and where each shard starts."""
+        kinds, at, lengths = (columns[c][i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+                              for c in ("kinds", "at", "lengths"))
+        p = Probes(kinds, at, lengths)
+        shard = shard_of(p.keys(), shards).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        return p, order, np.searchsorted(shard[order], np.arange(shards + 1))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                p, order, start = probes(batch, i)
+                keys = p.keys()[order]
+                asked = np.flatnonzero(np.diff(start))
+                yield pa.record_batch({
+                    "slice": pa.array(np.full(len(asked), batch["slice"][i].as_py(), np.int64)),
+                    "shard": pa.array(asked.astype(np.int32)),
+                    "keys": pa.array([keys[start[k]:start[k + 1]].tobytes() for k in asked], pa.binary())})
+
+    def read(shard: pa.Table, asked: pa.Table) -> pa.Table:
+        found = []
+        if asked.num_rows and shard.num_rows:
+            bloom = LogFrequencyBloom(np.frombuffer(shard["bits"][0].as_py(), np.uint8), shard["size"][0].as_py())
+        for keys in asked["keys"].to_pylist():
+            keys = np.frombuffer(keys, np.uint64)
+            levels = bloom.levels(keys, _most(shipped.value)) if shard.num_rows else np.zeros(len(keys))
+            found.append(levels.astype(np.uint8).tobytes())
+        return pa.table({"slice": asked["slice"], "shard": asked["shard"], "levels": pa.array(found, pa.binary())})
+
+    def finish(one: pa.Table, answers: pa.Table) -> pa.Table:
+        answers = answers.sort_by("shard")
+        rids = one["rids"][0].values.to_numpy()
+        lengths = one["lengths"][0].values.to_numpy()
+        p, order, _ = probes(one, 0)
+        levels = np.empty(len(order), np.int64)
+        levels[order] = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8)
+        lm = np.bincount(np.repeat(np.arange(len(lengths)), lengths), p.log_probs(levels, shipped.value, total), len(lengths))
+        return pa.table({"rid": rids, "score": lm})
+
+    asked = slices.mapInArrow(ask, "slice long, shard int, keys binary")
+    answers = built.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(read, "slice long, shard int, levels binary")
+    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(finish, "rid long, score double")
 
 
 def score(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
-    model, counts, total, kinds = train(docs, usable)
+    model, built, shards, counts, total, kinds = train(docs, usable)
     shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
     rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.monotonically_increasing_id().alias("rid"), token_hashes().alias("tokens"))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    one = pa.struct([("slice", pa.int64()), ("rids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
+                     ("kinds", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*shipped.value)
+        m = Model.of(*shipped.value)
         for batch, tokens, lengths in (part for whole in batches for part in _slices(whole)):
             owner = np.repeat(np.arange(len(lengths)), lengths)
             at = _look_up(m.words, tokens)
             known = at >= 0
             base = np.bincount(owner[known], np.log10(m.counts[at[known]] + 1.0), len(lengths))
             rare = np.concatenate([[0], np.cumsum(np.bincount(owner[~known], minlength=len(lengths)))])
-            lm = np.bincount(owner, m.log_probs(tokens, lengths), len(lengths))
+            kinds, numbers = _numbered(tokens, m.end)
+            lm, sent = np.zeros(len(lengths)), [None] * len(lengths)
+            if m.bloom:
+                p = Probes(kinds, numbers, lengths)
+                lm = np.bincount(owner, p.log_probs(m.bloom.levels(p.keys(), _most(m.values)), m.values, m.total), len(lengths))
+            else:   # the slice goes with its first text
+                rids = batch.column("rid").to_numpy(zero_copy_only=False)
+                sent[0] = {"slice": rids[0], "rids": rids, "lengths": lengths.astype(np.int32), "kinds": kinds,
+                           "at": numbers.astype(np.int32)}
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), batch.column("rid"),
                  pa.array(lengths.astype(np.int64)), pa.array(np.bincount(owner[known], minlength=len(lengths)).astype(np.int64)),
                  pa.array(base), pa.array(lm),
-                 pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(tokens[~known]))],
-                names=["doc_id", "held_out", "rid", "n_tokens", "n_known", "base", "score", "rare"])
+                 pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(tokens[~known])), pa.array(sent, one)],
+                names=["doc_id", "held_out", "rid", "n_tokens", "n_known", "base", "score", "rare", "sent"])
 
     scored = cut(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, rid long, n_tokens long, n_known long, "
-                                      "base double, score double, rare array<long>"))
+                                      "base double, score double, rare array<long>, sent struct<slice: long, rids: array<long>, "
+                                      "lengths: array<int>, kinds: array<long>, at: array<int>>"))
     rare = (scored.select("rid", F.explode("rare").alias("word")).join(counts, "word")
             .groupBy("rid").agg(F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_base")))
+    texts = scored.drop("rare", "sent")
+    if model.bloom is None:
+        texts = texts.drop("score").join(
+            _sharded(scored.where("sent IS NOT NULL").select("sent.*"), built, shards, model.values, total), "rid")
     per_token = float(np.log10(total + kinds + 1))
-    return scored.join(rare, "rid", "left").select(
+    return texts.join(rare, "rid", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),

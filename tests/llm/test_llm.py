@@ -193,6 +193,43 @@ def test_log_frequency_filter_reads_levels_back():
     assert (bloom.levels(lm.entry(lm.WORDS, rng.integers(-2**62, 2**62, 5000)), 40) > 0).mean() < 0.02
 
 
+@pytest.mark.parametrize("broadcast", [1 << 25, 0])
+def test_lm_holds_every_word_and_pair(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(lm, "BROADCAST_BYTES", broadcast)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 40_000)
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.3)) % 10**6}" for _ in range(rng.randrange(400))) for _ in range(800)]
+    tokens = [[""] + t.split() + [""] for t in texts]   # the end before a text's first word, and after its last
+    train = [ws for i, ws in enumerate(tokens) if i % 5]
+    words = collections.Counter(w for ws in train for w in ws[1:])
+    pairs = collections.Counter(p for ws in train for p in zip(ws, ws[1:]))
+    total = sum(words.values())
+    assert total > 1e5 and len(pairs) > 2e4 and min(pairs.values()) == 1
+    mass = collections.Counter()
+    for (h, _), n in pairs.items():
+        mass[h] += n - 0.75
+
+    def mean_of_level(counts, least):
+        levels = {k: 1 + math.floor(2 * math.log2(n / least) + 1e-9) for k, n in counts.items()}
+        alike = collections.defaultdict(list)
+        for k, level in levels.items():
+            alike[level].append(counts[k])
+        return {k: sum(alike[level]) / len(alike[level]) for k, level in levels.items()}
+
+    q, q2, m = mean_of_level(words, 1), mean_of_level(pairs, 1), mean_of_level(mass, 0.25)
+
+    def log_p(h, w):
+        left = 1 - min(m[h] / q[h], 0.98) if h in m else 1
+        seen = max(q2[h, w] - 0.75, 0) / max(q[h], q2[h, w]) if (h, w) in q2 else 0
+        return math.log10(min(1, seen + left * q.get(w, 1) / (total + 1)))
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs, F.col("doc_id") % 5 != 0, F.col("doc_id") % 5 == 0).collect()}
+    assert len(got) == len(texts)
+    far = [abs(got[i] - sum(log_p(h, w) for h, w in zip(ws, ws[1:]))) / len(ws) for i, ws in enumerate(tokens)]
+    assert max(far) < 0.1 and sum(far) / len(far) < 0.02   # false positives of the filter
+
+
 def test_lm_awkward(awkward, none):
     assert lm.score_documents(awkward).count() == len(AWKWARD) and lm.score_documents(none).count() == 0
 
