@@ -19,7 +19,7 @@ buckets are added up first, and only their sums are ordered per source.
 Defined cases: null text is 0 words; null source is a source of its own;
 a document without words takes 0; repeated rows each take their own share; an
 empty table gives an empty mix; extra columns are ignored. Reruns agree:
-order depends on seed, id and size only, and rows equal in these are alike.
+order depends on seed, id and content only, and rows equal in these are alike.
 """
 
 from __future__ import annotations
@@ -105,13 +105,23 @@ def schedule(plan: DataFrame, total: int, block_words: int = BLOCK_WORDS) -> Dat
     return ranked.unionByName(unhit)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """128 bits that tell rows with different contents apart, whatever their ids."""
+    told = [docs[c] for c in docs.columns] + [docs[c].isNull() for c in docs.columns]
+    return F.struct(F.xxhash64(F.lit(1), *told).alias("a"), F.xxhash64(F.lit(2), *told).alias("b"))
+
+
 def mix_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-               block_words: int = BLOCK_WORDS, seed: int = 7) -> DataFrame:
+               block_words: int = BLOCK_WORDS, seed: int = 7, key: Column | None = None) -> DataFrame:
     """Every piece of a document that the mix takes, and documents it does not
-    take (``slot`` null): ``doc_id, size, source_size, target, row, epoch,
-    slot, start, words``. ``row`` tells rows apart, ``start`` is the piece's
-    first word in the document; ordering by ``slot`` gives the mixed stream."""
-    narrow = cut(docs.select("doc_id", "source", word_count().alias("size")))
+    take (``slot`` null): ``doc_id, size, source_size, target, key, row, epoch,
+    slot, start, words``. ``key`` is the given one or that of id, source and
+    text, ``row`` tells rows apart, ``start`` is the piece's first word in the
+    document; ordering by ``slot`` gives the mixed stream."""
+    key = row_key(docs.select("doc_id", "source", "text")) if key is None else key
+    # The place of a document without words changes nothing: any number spreads them.
+    spread = F.when(F.col("size") == 0, F.monotonically_increasing_id())
+    narrow = cut(docs.select("doc_id", "source", word_count().alias("size"), key.alias("key")).withColumn("spread", spread))
     head = narrow.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     rows, total = head[0], head[1]
     buckets = -(-rows // _group_rows(rows)) if rows else 1
@@ -120,16 +130,16 @@ def mix_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     plan = plan.join(slots.groupBy("sid").agg(F.count(F.lit(1)).alias("blocks")), "sid", "left")
 
     # Where each document begins in its source's shuffled order.
-    h = F.xxhash64(F.lit(seed), "doc_id")
+    h = F.xxhash64(F.lit(seed), "doc_id", "key", "spread")
     placed = narrow.withColumn("h", h).withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    order = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size")
+    order = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size", "key")
     inside = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = placed.withColumn("within", inside).withColumn("nth", F.row_number().over(order))
     sums = _prefix(placed.groupBy("source", "bucket").agg(F.sum("size").alias("s")), ["source"], "bucket", "s", "base")
     sums = sums.join(plan, sums["source"].eqNullSafe(plan["source"])) \
         .select(sums["source"].alias("src"), F.col("bucket").alias("b"), "base", "sid", "source_size", "target", "blocks")
     d = placed.join(sums, F.col("source").eqNullSafe(F.col("src")) & (F.col("bucket") == F.col("b")))
-    d = d.select("doc_id", "size", "source_size", "target", "sid", "blocks",
+    d = d.select("doc_id", "size", "source_size", "target", "sid", "blocks", "key",
                  F.struct("sid", "bucket", "nth").alias("row"), (F.col("base") + F.col("within")).alias("begin"),
                  F.floor("target").alias("goal"))
 
@@ -145,27 +155,32 @@ def mix_blocks(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     d = d.where("rank IS NOT NULL OR epoch = 0")
     w_lo = F.greatest("lo", F.expr("rank * goal div blocks"))
     w_hi = F.least("hi", F.expr("(rank + 1) * goal div blocks"))
-    pieces = d.select("doc_id", "size", "source_size", "target", "sid", "row", "epoch", "rank",
+    pieces = d.select("doc_id", "size", "source_size", "target", "sid", "key", "row", "epoch", "rank",
                       (w_lo - F.col("lo")).alias("start"), (w_hi - w_lo).alias("words"))
     joined = pieces.join(slots, ["sid", "rank"], "left")
-    return joined.select("doc_id", "size", "source_size", "target", "row", "epoch", "slot", "start",
+    return joined.select("doc_id", "size", "source_size", "target", "key", "row", "epoch", "slot", "start",
                          F.when(F.col("slot").isNotNull(), F.col("words")).alias("words"))
 
 
+def _taken(docs: DataFrame, **options) -> DataFrame:
+    return mix_blocks(docs, **options).groupBy("row", "key", "doc_id", "size", "source_size", "target") \
+        .agg(F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"))
+
+
 def taken(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row of ``docs``."""
-    per_row = mix_blocks(docs, **options).groupBy("row", "doc_id", "size", "source_size", "target") \
-        .agg(F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("taken"))
-    return per_row.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
+    return _taken(docs, **options).select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", "taken")
 
 
 def remix(docs: DataFrame, **options) -> DataFrame:
     """``docs`` repeated as the mix says: a document appears once for each
     whole or half-taken repeat (``taken / size`` rounded half up); documents
-    without words stay once. Needs ids that tell documents apart."""
-    copies = taken(docs.select("doc_id", "source", "text"), **options).select(
-        F.col("doc_id").alias("mixed_id"),
-        F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies"))
-    out = docs.join(copies, docs["doc_id"].eqNullSafe(copies["mixed_id"]))
-    out = out.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return out.select(*[docs[c] for c in docs.columns])
+    without words stay once. Rows are told apart by all their columns, not by
+    id; rows equal in all appear as often as they do together."""
+    key = row_key(docs)
+    one = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5))
+    copies = _taken(docs, key=key, **options).groupBy("key").agg(F.sum(one).cast("int").alias("_copies")) \
+        .where("_copies > 0").withColumnRenamed("key", "_mixed")
+    rows = docs.withColumn("_key", key)
+    out = rows.join(copies, F.col("_key") == F.col("_mixed")).dropDuplicates(["_key"])
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

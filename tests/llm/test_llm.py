@@ -412,6 +412,22 @@ def test_mix_awkward(spark, awkward, none):
     assert got[1] == (3.0, 3) and got[2] == (3.0, 3) and got[0][1] == 996 and got[3] == (0.0, 0)
 
 
+def test_remix_tells_documents_with_one_id_apart(spark):
+    rows = [((None, 7, i)[i % 3], " ".join([f"t{i}"] * (i + 1)), "ab"[i % 2]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en"))
+    size = {t: i + 1 for i, (_, t, _) in enumerate(rows)}
+    mixed = mixing._taken(docs, key=mixing.row_key(docs)).collect()
+    own = {r["size"]: math.floor(r["taken"] / r["size"] + 0.5) for r in mixed}
+    got = collections.Counter(r["text"] for r in mixing.remix(docs).collect())
+    assert len(own) == 60 and all(got[t] == own[n] for t, n in size.items())
+    words, target = collections.Counter(), {}
+    for _, t, s in rows:
+        words[s] += got[t] * size[t]
+        target[s] = sum(size[x] for _, x, y in rows) * {"a": 5, "b": 2}[s] / 7
+    assert all(abs(words[s] - target[s]) <= 60 for s in words)
+    assert mixing.remix(docs.unionByName(docs)).count() >= 60
+
+
 # --- url filter
 
 def test_url_rules_and_verdicts(spark):
