@@ -127,8 +127,16 @@ def _rebuild_on(spine: DataFrame, frames: dict, inp: Inputs, p: Params) -> dict:
 
 def run(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] | str, p: Params,
         limit: int | None = None, fmt: str = "parquet") -> list[StageResult]:
-    """Run both branches; return one result per output table."""
+    """Run both branches; return one result per output table. With ``p.since``
+    the tables cover only the events read, so targets that hold tables of
+    earlier runs are refused: nothing is read or written then."""
     prepare(spark)
+    if p.since is not None:
+        held = [t for t in OUTPUT_TABLES if sinks.exists(spark, _target(targets, t))]
+        if held:
+            e = ValueError(f"--since reads only newer events and would overwrite {', '.join(held)} without the older rows; "
+                           "use another target, --full-load or --incremental")
+            return [_failed(t, e) for t in OUTPUT_TABLES]
     inp = Inputs.of(readers.read_inputs(spark, sources, since=p.since, limit=limit, fmt=fmt))
     with ThreadPoolExecutor(max_workers=2) as pool:
         a = pool.submit(_sessions_branch, inp, p, targets)

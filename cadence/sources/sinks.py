@@ -84,5 +84,13 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     return WriteResult(target, mode, rows, False, table_rows)
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    """Whether a target (path or table) is there."""
+    if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def read_back(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(target) if _is_path(target) else spark.read.table(target)

@@ -148,3 +148,13 @@ def test_cli_main_exit_code(spark, sources, tmp_path):
                    "--threshold", "2", "--full-load"])
     assert rc == 0
     assert spark.read.parquet(str(tmp_path / "out" / "user_churn_state")).count() > 0
+
+
+def test_since_leaves_the_older_rows_of_stored_tables(spark, sources):
+    target = scratch_path(spark, "job-since")
+    old = spark.range(3).selectExpr("CAST(id AS STRING) AS user_id")
+    sinks.write_table(old, f"{target}/user_churn_state", "overwrite")
+    results = job.run(spark, sources, target, ORACLE_PARAMS)
+    assert ORACLE_PARAMS.since and {r.status for r in results} == {"failed"} and len(results) == 4
+    assert all("--since" in r.error and "user_churn_state" in r.error for r in results)
+    assert sorted(r["user_id"] for r in sinks.read_back(spark, f"{target}/user_churn_state").collect()) == ["0", "1", "2"]
