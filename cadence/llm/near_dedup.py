@@ -8,9 +8,9 @@ sketch entry, so agreement falls with edits and with reordering. Documents
 that agree in two entries at most ``REACH`` apart (a bucket) and in at least
 ``LEAST_COMMON`` of all are candidates; of pairs with a similarity of exactly
 0.8 about 1 in 2,000 is missed, of those with 0.85 less than 1 in 100,000. A
-candidate pair is linked if the best alignment of the two shingle sequences,
-inside the band that a similarity of ``THRESHOLD`` allows, matches L shingles
-with L / (n1 + n2 - L) >= THRESHOLD.
+candidate pair is linked if the best alignment of the two sequences of plain
+(not labelled) shingles matches L shingles with L / (n1 + n2 - L) >= THRESHOLD;
+an alignment that reaches this lies in the band that THRESHOLD allows.
 
 Exact copies become one node first. Every node of a bucket is compared with
 the bucket's leader, its smallest node, so a group that shares many buckets
@@ -73,12 +73,19 @@ _SIGNATURE_ODD = _mix(np.arange(1001, SIGNATURE + 1001, dtype=np.uint64)) | np.u
 BANDS = [(i, (i + d) % SKETCHES) for d in range(1, REACH + 1) for i in range(SKETCHES)]
 
 
-def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
-    """Hashes of the occurrence-labelled shingles of a sequence of word hashes."""
+def plain_shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Hashes of the shingles of a sequence of word hashes."""
     n = max(1, len(words) - width + 1) if len(words) else 0
     h = np.zeros(n, np.uint64)
     for k in range(min(width, len(words))):
         h = _mix(h + words[k:k + n] + np.uint64(k + 1))
+    return h
+
+
+def shingles(words: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Hashes of the occurrence-labelled shingles of a sequence of word hashes."""
+    h = plain_shingles(words, width)
+    n = len(h)
     order = np.argsort(h, kind="stable")
     s = h[order]
     new = np.ones(n, bool)
@@ -120,27 +127,73 @@ def signature(keys: np.ndarray) -> bytes:
     return out.tobytes()
 
 
+def _increasing(positions: list[int]) -> int:
+    """Length of the longest increasing run of positions."""
+    tails: list[int] = []
+    for x in positions:
+        k = bisect_left(tails, x)
+        tails[k:k + 1] = [x]
+    return len(tails)
+
+
+def _aligned(x: np.ndarray, y: np.ndarray) -> int:
+    """Length of the longest common subsequence, by bit-parallel rows: bit j of
+    ``row`` is 0 where the best alignment with y[:j + 1] gains a match."""
+    both = min(len(x), len(y))
+    differ = np.flatnonzero(x[:both] != y[:both])
+    head = int(differ[0]) if len(differ) else both
+    x, y = x[head:], y[head:]
+    both = min(len(x), len(y))
+    differ = np.flatnonzero(x[len(x) - both:][::-1] != y[len(y) - both:][::-1])
+    tail = int(differ[0]) if len(differ) else both
+    x, y = x[:len(x) - tail], y[:len(y) - tail]
+    if not len(x) or not len(y):
+        return head + tail
+    order = np.argsort(y, kind="stable")
+    kinds, start = np.unique(y[order], return_index=True)
+    ends = np.append(start[1:], len(y))
+    places = {k: order[i:j] for k, i, j in zip(kinds.tolist(), start.tolist(), ends.tolist())}
+    kept: dict[int, int] = {}
+    most = (64 << 20) // (len(y) // 8 + 64)   # masks kept, for bounded memory on long texts
+    full = (1 << len(y)) - 1
+    row = full
+    for k in x.tolist():
+        if k not in places:
+            continue
+        mask = kept.get(k)
+        if mask is None:
+            bits = np.zeros(len(y), np.uint8)
+            bits[places[k]] = 1
+            mask = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            if len(kept) < most:
+                kept[k] = mask
+        hit = row & mask
+        row = ((row + hit) | (row - hit)) & full
+    return head + tail + len(y) - row.bit_count()
+
+
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
-    """L / (n1 + n2 - L) for the best alignment inside the band, 0 if it
-    cannot reach ``threshold``. ``a`` and ``b`` hold distinct (labelled) shingles."""
+    """L / (n1 + n2 - L) for the best alignment of two sequences of shingles,
+    0 if it cannot reach ``threshold``. Shingles may repeat."""
     both = len(a) + len(b)
     if not both:
         return 1.0
-    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    band = int(both * (1 - threshold) / (1 + threshold) + 1e-9)
-    near = np.abs(i - j) <= band
-    i, j = i[near], j[near]
-    if len(i) < threshold * (both - len(i)) - 1e-9:
+    kinds, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    in_a, in_b = np.bincount(x, minlength=len(kinds)), np.bincount(y, minlength=len(kinds))
+    shared = np.minimum(in_a, in_b)
+    most = int(shared.sum())   # no alignment matches more
+    if most < threshold * (both - most) - 1e-9:
         return 0.0
-    j = j[np.argsort(i)]
-    matched = len(j)
-    if matched and not (j[1:] > j[:-1]).all():
-        tails: list[int] = []
-        for x in j.tolist():   # longest increasing run of positions: the alignment
-            k = bisect_left(tails, x)
-            tails[k:k + 1] = [x]
-        matched = len(tails)
-    return matched / (both - matched)
+    x, y = x[shared[x] > 0], y[shared[y] > 0]
+    if len(x) == len(y) == np.count_nonzero(shared):   # each shared shingle once in each
+        place = np.empty(len(kinds), np.int64)
+        place[y] = np.arange(len(y))
+        j = place[x]
+        matched = len(j) if (j[1:] > j[:-1]).all() else _increasing(j.tolist())
+    else:
+        matched = _aligned(x, y)
+    return matched / (both - matched) if matched >= threshold * (both - matched) - 1e-9 else 0.0
 
 
 def _word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
@@ -207,7 +260,7 @@ def _verify(threshold: float):
             def keys(text: str) -> np.ndarray:
                 if text not in known:
                     words = np.array([number.setdefault(w, len(number)) for w in text.split(" ")], np.uint64)
-                    known[text] = shingles(_mix(words + np.uint64(1)))
+                    known[text] = plain_shingles(_mix(words + np.uint64(1)))
                 return known[text]
 
             ok = [similarity(keys(a), keys(b), threshold) >= threshold

@@ -386,6 +386,42 @@ def test_alignment_minds_order():
     assert near_dedup.similarity(a, a) == 1 and near_dedup.similarity(a, b) == 0
 
 
+def repeated_line_pages(items, seed=1):
+    """A page with the same line after each item, and the page with one more item in front."""
+    rng = random.Random(seed)
+    line = " ".join(f"line{k}" for k in range(12))
+    page = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) + " " + line for _ in range(items + 1)]
+    return " ".join(page[1:]), " ".join(page)
+
+
+def test_alignment_of_pages_with_a_repeated_line(spark):
+    def keys(t):
+        return near_dedup.plain_shingles(np.array([zlib.crc32(w.encode()) for w in t.split(" ")], np.uint64))
+
+    def longest(x, y):
+        row = [0] * (len(y) + 1)
+        for p in x:
+            last, row = row, [0]
+            for j, q in enumerate(y):
+                row.append(last[j] + 1 if p == q else max(last[j + 1], row[j]))
+        return row[-1]
+
+    pages = {n: repeated_line_pages(n) for n in (10, 20, 30)}
+    for n, (a, b) in pages.items():
+        x, y = keys(a), keys(b)
+        best = longest(x.tolist(), y.tolist())
+        assert near_dedup.similarity(x, y) == best / (len(x) + len(y) - best) > 0.9
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        x = rng.integers(0, rng.integers(2, 30), 40)
+        y = np.delete(x, rng.integers(0, 40, 3))
+        y = np.insert(y, rng.integers(0, len(y), 2), 7)
+        assert near_dedup._aligned(x, y) == longest(x.tolist(), y.tolist())
+    rows = [(10 * n + k, t) for n, pair in pages.items() for k, t in enumerate(pair) if n > 10]
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {200: 200, 201: 200, 300: 300, 301: 300}
+
+
 # --- mixing
 
 def test_mix_meets_targets(docs, texts):
