@@ -11,8 +11,9 @@ evidence is the log odds of its strongest 5-grams, and a logistic regression
 on that evidence gives the score. Evidence for the regression comes from the
 half of the sample that a document is not in.
 
-The fit uses a sample of at most about ``MAX_PER_CLASS`` labelled rows a class
-(by a hash of the id); every text is read whole, and every row is scored.
+The character model counts all rows. The 5-gram weights and the regression use
+a sample of at most about ``MAX_PER_CLASS`` labelled rows a class (by a hash of
+the id); every text is read whole, and every row is scored.
 
 Defined cases: a null text counts as empty, and an empty text has the score of
 no evidence; rows without a label are only scored; labels other than 0 and 1
@@ -214,8 +215,8 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column, max_per_class: i
     return cut(rows.select("text", "toxic", F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(2)).cast("int").alias("fold")))
 
 
-def _train_characters(sample: DataFrame) -> np.ndarray:
-    """log P(c | a, b) over symbols, from the sample's texts."""
+def _train_characters(docs: DataFrame) -> np.ndarray:
+    """log P(c | a, b) over symbols, from the texts of all rows."""
     n = OTHER + 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +229,7 @@ def _train_characters(sample: DataFrame) -> np.ndarray:
         gram = np.nonzero(total)[0]
         yield pa.record_batch({"gram": pa.array(gram, pa.int32()), "n": pa.array(total[gram], pa.int64())})
 
-    sums = sample.select("text").mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    sums = docs.select(text_or_empty().alias("text")).mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     total = np.zeros(n ** 3)
     total[sums["gram"]] = sums["n"]
     total = total.reshape(n, n, n) + 0.1
@@ -241,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, max_per_class: int
     if sample is None:
         return None
     sc = docs.sparkSession.sparkContext
-    logp = _train_characters(sample)
+    logp = _train_characters(docs)
     shipped = sc.broadcast(logp)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

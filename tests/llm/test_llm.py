@@ -297,6 +297,15 @@ def test_deobfuscation():
         ["an idiot and loser", "moron", "stupid clown", "plain text, 12 a b", ""]
 
 
+def test_character_model_counts_rows_without_a_label(spark):
+    rows = [(i, "you are an idiot" if i % 2 else "a plain text") for i in range(20)] + [(100 + i, "qzx " * 50) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    logp, _, _ = toxicity.train(docs, labels, F.lit(True))
+    q, z, x = (ord(c) - 96 for c in "qzx")
+    assert logp[q, z, x] > math.log(0.99) and logp[0, q, z] > math.log(0.99)
+
+
 def test_toxicity_awkward(spark, awkward, none):
     labels = spark.createDataFrame([(2, 0), (4, 1), (4, 1), (6, 0), (8, 1), (7, 5), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.score_documents(awkward, labels).collect()
