@@ -1,9 +1,10 @@
 """Toxicity: noisy-channel deobfuscation, then a score of the restored text.
 
-Spans that may be disguised (letters mixed with look-alike signs, a letter
-three or more times in a row, single letters spaced out) become character
-lattices; the likeliest path under a character trigram model, found by
-Viterbi, replaces the span. Everything else has one path only and stays.
+Spans that may be disguised (words with a look-alike sign anywhere or a letter
+twice or more in a row in any case, and three or more single letters or signs
+with any separators between them) become character lattices; the likeliest
+path under a character trigram model, found by Viterbi, replaces the span, and
+may be the span itself. Everything else has one path only and stays.
 
 The restored text is scored by its character 5-grams. Training counts, per
 hashed 5-gram, the toxic and the clean documents that contain it; a document's
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +43,18 @@ STRONG = 1.5
 # Signs that stand for letters.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
              "@": "a", "$": "s", "!": "i", "|": "li", "+": "t", "(": "c"}
-SIGN_COST, KEEP_COST, DROP_COST = 0.7, 6.0, 0.1
+# A sign read as a letter, kept inside a word, kept at a word's end or as a mark before it; a separator dropped; a double read as one.
+SIGN_COST, KEEP_COST, EDGE_COST, DROP_COST, HALVE_COST = 0.7, 6.0, 2.0, 0.1, 4.5
 _SIGNS = re.escape("".join(LOOKALIKE))
 _LETTER = r"[^\W\d_]"
-# A sign between or before letters; a letter three times; single letters with one separator between them.
+_MARKS = re.escape("".join(c for c in LOOKALIKE if not c.isdigit()))
+_ONE = rf"(?:{_LETTER}|[{_SIGNS}])"
+_RUN = rf"[\w{_MARKS}]"
+# Single letters or signs apart; a word that holds a letter and a sign or a double.
 _SPAN = re.compile(
-    rf"(?<!\w){_LETTER}(?:([ ._*-]){_LETTER}(?!\w))(?:\1{_LETTER}(?!\w))+"
-    rf"|(?:{_LETTER}|[{_SIGNS}])*(?:[{_SIGNS}]{_LETTER}|({_LETTER})\2\2)(?:{_LETTER}|[{_SIGNS}](?=[{_SIGNS}]*{_LETTER}))*")
-_HINT_SIGNS = np.array([ord(c) for c in LOOKALIKE], np.uint32)
+    rf"(?P<apart>(?<![^\W_]){_ONE}(?:(?:[^\w{_MARKS}]|_)+{_ONE}(?![^\W_])){{2,}})"
+    rf"|(?<!{_RUN})(?={_RUN}*?(?:[{_SIGNS}]|(?i:({_LETTER})\2)))(?={_RUN}*?{_LETTER}){_RUN}+")
+_MEMO_CHARS = 64   # longer spans are decoded each time
 OTHER = 27   # symbols: 0 boundary, 1-26 letters, 27 anything else
 
 
@@ -69,74 +75,73 @@ class Restorer:
     """Viterbi over character lattices, with a memo of spans."""
 
     def __init__(self, logp: np.ndarray, memo: int = 100_000):
-        self.logp, self.memo, self.most = logp, {}, memo
+        self.logp, self.memo, self.most = logp.tolist(), {}, memo
 
-    def lattice(self, span: str) -> list[list[tuple[str, float]]]:
+    def lattice(self, span: str, apart: bool) -> list[list[tuple[str, float]]]:
         """Per step the possible texts and their channel costs."""
         span, steps, i = span.lower(), [], 0
+        last = len(span.rstrip("".join(LOOKALIKE)))   # only signs from here on
+        marks = len(span) - len(span.lstrip("".join(c for c in LOOKALIKE if not c.isdigit())))
         while i < len(span):
             c, n = span[i], 1
             while i + n < len(span) and span[i + n] == c:
                 n += 1
             if c in LOOKALIKE:
-                steps += [[*((x, SIGN_COST) for x in LOOKALIKE[c]), (c, KEEP_COST)]] * n
-            elif c in " ._*-":
-                steps += [[("", DROP_COST)]] * n   # only spaced-out spans hold separators
-            elif n >= 3:
-                steps.append([(c, 0.0), (c * 2, 0.0)])
-            else:
+                read = LOOKALIKE[c]
+                words = ["".join(x) for x in product(read, repeat=n)] if n <= 3 else [x * n for x in read]
+                steps.append([*((x, SIGN_COST * n) for x in words),
+                              (c * n, EDGE_COST if i >= last or i < marks else KEEP_COST)])
+                if n > 1:
+                    steps[-1] += [(x, SIGN_COST + HALVE_COST) for x in read]
+            elif apart and not c.isalpha():
+                steps.append([("", DROP_COST * n), (c * n, KEEP_COST)])
+            elif not c.isalpha() or n == 1:
                 steps.append([(c * n, 0.0)])
+            else:
+                steps.append([(c, 0.0 if n >= 3 else HALVE_COST), (c * 2, 0.0)])
             i += n
         return steps
 
-    def decode(self, span: str) -> str:
+    def decode(self, span: str, apart: bool = False) -> str:
         found = self.memo.get(span)
         if found is not None:
             return found
         # State: last two symbols. Each holds its best cost and a back pointer.
         layers: list[dict] = [{(0, 0): (0.0, None, "")}]
-        for options in self.lattice(span):
+        for options in self.lattice(span, apart):
             nxt: dict = {}
             for (a, b), (cost, _, _) in layers[-1].items():
                 for text, channel in options:
                     x, y, c = a, b, cost + channel
-                    for ch in text:
+                    for k, ch in enumerate(text):
                         s = _symbol(ch)
-                        c -= self.logp[x, y, s]
+                        if k and s == OTHER and ch == text[k - 1]:   # a row of one mark counts once
+                            continue
+                        c -= self.logp[x][y][s]
                         x, y = y, s
                     if (x, y) not in nxt or c < nxt[x, y][0]:
                         nxt[x, y] = (c, (a, b), text)
             layers.append(nxt)
-        state = min(layers[-1], key=lambda s: layers[-1][s][0] - self.logp[s[0], s[1], 0])
+        state = min(layers[-1], key=lambda s: layers[-1][s][0] - self.logp[s[0]][s[1]][0])
         out = []
         for layer in reversed(layers[1:]):
             _, back, text = layer[state]
             out.append(text)
             state = back
         found = "".join(reversed(out))
-        if len(self.memo) < self.most:
+        if len(span) <= _MEMO_CHARS and len(self.memo) < self.most:
             self.memo[span] = found
         return found
 
+    def _read(self, m: re.Match) -> str:
+        apart = m["apart"] is not None
+        if apart and sum(c.isalpha() for c in m[0]) < 2:   # numbers in a row
+            return m[0]
+        return self.decode(m[0], apart)
+
     def restore(self, texts: list[str]) -> list[str]:
         """Texts with their disguised spans decoded."""
-        out = []
-        for t, hint in zip(texts, _hints(texts)):
-            out.append(_SPAN.sub(lambda m: self.decode(m[0]), t) if hint else t)
-        return out
-
-
-def _hints(texts: list[str]) -> np.ndarray:
-    """Whether a text can hold a span: cheap tests on the characters first."""
-    chars, starts = code_points(texts, gap=1)
-    alpha = ((chars | 32) - 97 < 26) | (chars > 127)
-    sign = np.isin(chars, _HINT_SIGNS)
-    hit = np.zeros(len(chars), bool)
-    hit[:-1] |= sign[:-1] & alpha[1:]
-    hit[:-2] |= alpha[:-2] & (chars[:-2] | 32 == chars[1:-1] | 32) & (chars[1:-1] | 32 == chars[2:] | 32)
-    apart = np.isin(chars, [32, 46, 95, 42, 45])
-    hit[:-4] |= alpha[:-4] & apart[1:-3] & alpha[2:-2] & apart[3:-1] & alpha[4:]
-    return np.add.reduceat(hit, starts) > 0 if len(starts) else np.zeros(0, bool)
+        return [_SPAN.sub(self._read, t) for t in texts]
 
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")

@@ -297,6 +297,19 @@ def test_deobfuscation():
         ["an idiot and loser", "moron", "stupid clown", "plain text, 12 a b", ""]
 
 
+def test_deobfuscation_of_combined_disguises():
+    plain = "you are an idiot and a loser the moron is stupid trash worthless clown ass hate shit losers what a hello! see covid19 (wow) (see) " * 50
+    plain += "letter good book all too well tell see free soon mp3, item2 yes! no! " * 50
+    from cadence.llm.common import code_points
+    s, n = toxicity.symbols(code_points([plain], 2)[0]), 28
+    c = np.bincount((s[:-2] * n + s[1:-1]) * n + s[2:], minlength=n ** 3).reshape(n, n, n) + 0.1
+    r = toxicity.Restorer(np.log(c / c.sum(axis=2, keepdims=True)))
+    given = ["a$$", "hat3", "s h 1 t", "i d 1 0 t", "m/o/r/o/n", "m  o  r  o  n", "iidiioott", "IdIIiot", "i.d.i.0.t", "l00$3r$", "m_o_r_o_n"]
+    assert r.restore(given) == ["ass", "hate", "shit", "idiot", "moron", "moron", "idiot", "idiot", "idiot", "losers", "moron"]
+    clean = ["hello! what a letter", "covid19", "mp3, item2", "yes! no!", "(see", "good book all too well", "1 2 3 4", "10 + 2", "2024", "wow!!!", ""]
+    assert r.restore(clean) == clean
+
+
 def test_character_model_counts_rows_without_a_label(spark):
     rows = [(i, "you are an idiot" if i % 2 else "a plain text") for i in range(20)] + [(100 + i, "qzx " * 50) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
