@@ -26,18 +26,19 @@ from cadence.llm.common import ngram_hashes
 BITS = 16
 ORDERS = (3, 4, 5)
 
-# The labelled url table (1: block) by host word, combined with
-# a few neutral hosts, paths and endings below.
-BLOCK_HOSTS = ["casino-win", "spam-farm", "adult-x", "ads-track", "cheap-pills", "free-bets", "poker-bonus", "xxx-cams",
-               "porn-tube", "viagra-shop", "lottery-prize", "payday-loans", "click-ads", "win-money", "adult-dating",
-               "casino-slots", "replica-watch", "malware-drop", "phish-login", "bet-online", "pills-rx", "track-pixel"]
+# The labelled url table (1: block) by general host word, written
+# by hand, with common endings and paths; no name of the test tables is in it.
+BLOCK_HOSTS = ["casino", "onlinecasino", "casino-games", "poker", "poker-room", "betting", "sports-betting", "slots", "jackpot",
+               "lottery", "roulette", "porn", "porno-videos", "xxx", "sex-chat", "adult-video", "adultdating", "escort", "viagra",
+               "pills-online", "pharmacy-pills", "payday-loan", "quick-cash", "adserver", "banner-ads", "adclick", "tracker",
+               "tracking-pixel", "spam", "spammer", "phishing", "malware", "warez", "torrent-crack", "replica-watches"]
 ALLOW_HOSTS = ["news", "wiki", "docs", "library", "university", "museum", "weather", "recipes", "science", "forum",
                "travel", "history", "health", "school", "journal", "garden", "music", "sports", "city", "theatre",
-               "handbook", "archive", "research", "thonther", "tionerth", "therened", "ingthand", "eratthon", "ththeand",
-               "theanst", "erenhe", "andther", "tionreed", "thingat", "ththre", "theron"]
-PREFIXES = ["", "www.", "m.", "blog."]
-ENDINGS = ["example.com", "example.net", "example.org"]
-PATHS = ["/", "/en/12", "/de/item/345.html", "/fr/page/7"]
+               "handbook", "archive", "research", "kitchen", "mountain", "river", "painting", "hotel", "software", "energy",
+               "books", "gallery", "clinic", "bicycle", "street", "village", "law", "photography", "parents", "railway"]
+PREFIXES = ["", "www.", "en.", "my."]
+ENDINGS = ["com", "org", "net", "co.uk", "info"]
+PATHS = ["/", "/about", "/2020/05/article.html", "/index.php"]
 
 
 def seed_urls() -> list[tuple[str, int]]:
@@ -46,7 +47,7 @@ def seed_urls() -> list[tuple[str, int]]:
     for label, names in ((1, BLOCK_HOSTS), (0, ALLOW_HOSTS)):
         for i, name in enumerate(names):
             for j in (i, i + 1):
-                out.append((f"http://{PREFIXES[j % 4]}{name}.{ENDINGS[j % 3]}{PATHS[(i + j) % 4]}", label))
+                out.append((f"http://{PREFIXES[j % 4]}{name}.{ENDINGS[j % 5]}{PATHS[(i + j) % 4]}", label))
     return out
 
 
