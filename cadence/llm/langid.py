@@ -158,12 +158,14 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model, ["doc_id"], F.coalesce(~trained_rows(), F.lit(False)))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents with a language: those that are ``und`` or whose best
-    language is no likelier than ``least`` go."""
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The documents that are not ``und``, however near their languages are;
+    with nothing learned, all that hold a letter."""
     model = train(docs, trained_rows())
+    if not model.langs:
+        model = Model(["any"], np.zeros((len(ORDERS) << BITS, 1)), np.zeros(1))
     own = [f"_in_{i}" for i in range(len(docs.columns))]
     # Own column names, so that a document's columns cannot clash with the result's.
     wide = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)])
-    kept = predict(wide, model, own).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    kept = predict(wide, model, own).where(F.col("lang_pred") != "und")
     return kept.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])

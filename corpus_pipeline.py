@@ -3,8 +3,7 @@
 Each stage works on all rows that its predecessor kept, and all but the last
 return the columns of ``documents``:
 
-1. language ID: documents without a language (no letter, or no language more
-   likely than not) go;
+1. language ID: documents without a language (no letter) go;
 2. exact dedup: one row of each group of equal texts stays;
 3. MinHash near-dedup: one document of each class of near-duplicates stays;
 4. mixing: a document appears as often as the mix to target weights takes it;

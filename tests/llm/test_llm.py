@@ -143,6 +143,16 @@ def test_language_awkward(awkward, none):
     assert kept.columns == awkward.columns and not {1, 2, 3, 7} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_language_stage_keeps_texts_whose_languages_are_near(spark):
+    langs = "abcd"
+    rows = [(i, f"{'xyzv'[i % 4]}one word", langs[i % 4]) for i in range(80)] + [(100, "word", "a"), (101, "12", "a"), (102, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    everything = set(range(80)) | {100}
+    assert {r["doc_id"] for r in langid.keep_identified(docs).collect()} == everything
+    none = langid.keep_identified(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r["doc_id"] for r in none.collect()} == everything
+
+
 # --- exact dedup
 
 def test_exact_dedup_awkward(awkward, none):
@@ -500,6 +510,12 @@ def test_url_rules_and_verdicts(spark):
     assert got[4]["verdict"] == "block" and got[5]["verdict"] == "allow" and (got[9]["host"], got[9]["path"]) == ("casino-win.example.org", "/en/1")
 
 
+def test_url_table_has_no_name_of_the_test_tables(spark):
+    hosts = {url_filter.split_url(r["url"])[0].split(".")[0]
+             for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect()}
+    assert not hosts & set(url_filter.BLOCK_HOSTS + url_filter.ALLOW_HOSTS)
+
+
 # --- pipeline
 
 def test_pipeline_stages(spark, docs, texts):
