@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import chat, exact_dedup, langid, lm, mixing, near_dedup, packing, topk, toxicity, url_filter
+from cadence.llm import align, chat, exact_dedup, langid, lm, mixing, near_dedup, packing, topk, toxicity, url_filter
 from cadence.llm.common import table
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
@@ -57,7 +57,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_exact_dedup, op4_lm_score, op5_topk_search, op6_chat_format, op7_toxicity, op8_near_dedup, op9_mix_sources, op10_url_filter)}
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_exact_dedup, op4_lm_score, op5_topk_search, op6_chat_format, op7_toxicity, op8_near_dedup, op9_mix_sources, op10_url_filter,
+                                   op13_token_align)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
