@@ -56,7 +56,7 @@ class Sides:
                         for i, p in ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))]
         self.lengths = tuple(np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both sides, None unless both give a space and the text back."""
         if not text:
             return None
@@ -99,7 +99,7 @@ def _cut_rows(a_path: str, b_path: str, steps: int, kind: pa.DataType):
         sides, task, rows, pieces = Sides(a_path, b_path), TaskContext.get().partitionId(), 0, 0
         small = tuple(_small(len(n)) for n in sides.lengths)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             for first, last in text_slices(texts, SLICE_CHARS):
                 coded = [sides.encode(t) for t in texts[first:last]]
                 ids = batch.column("doc_id").slice(first, last - first)
