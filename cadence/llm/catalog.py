@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import align, chat, exact_dedup, langid, lm, mixing, near_dedup, packing, topk, toxicity, url_filter
+from cadence.llm import align, chat, exact_dedup, langid, lm, mixing, near_dedup, packing, pivots, topk, toxicity, url_filter
 from cadence.llm.common import table
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
@@ -57,13 +57,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.classes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_exact_dedup, op4_lm_score, op5_topk_search, op6_chat_format, op7_toxicity, op8_near_dedup, op9_mix_sources, op10_url_filter,
-                                   op13_token_align)}
+                                   op11_embedding_dedup, op13_token_align)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -83,6 +87,18 @@ ORACLE_SQL = {
             FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_embedding_dedup": r"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS vec FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.vec) = len(b.vec)
+              WHERE list_cosine_similarity(a.vec, b.vec) >= 0.98),
+        reached AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN l ON l.a = r.other),
+        c AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT c.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, c.vec_id = component_id AS kept
+        FROM c LEFT JOIN n ON n.a = c.vec_id""",
     "op6_chat_format": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
