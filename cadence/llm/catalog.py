@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.llm import align, chat, exact_dedup, langid, lm, mixing, near_dedup, packing, pivots, topk, toxicity, url_filter
+from cadence.llm import align, chat, exact_dedup, langid, lm, mixing, near_dedup, packing, pivots, prefix_trie, topk, toxicity, url_filter
 from cadence.llm.common import table
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
@@ -61,13 +61,17 @@ def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.classes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.measure(table(spark, sf_dir, "conversations"))
+
+
 def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                        public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_language_id, op3_exact_dedup, op4_lm_score, op5_topk_search, op6_chat_format, op7_toxicity, op8_near_dedup, op9_mix_sources, op10_url_filter,
-                                   op11_embedding_dedup, op13_token_align)}
+                                   op11_embedding_dedup, op12_prefix_trie, op13_token_align)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -99,6 +103,33 @@ ORACLE_SQL = {
         n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
         SELECT c.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, c.vec_id = component_id AS kept
         FROM c LEFT JOIN n ON n.a = c.vec_id""",
+    "op12_prefix_trie": r"""
+        WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        i AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base,
+                     xor(list_reduce(list_prepend(4294967295, flatten([[ascii(x), -1, -1, -1, -1, -1, -1, -1, -1]
+                                                                      FOR x IN string_split(CAST(conv_id AS VARCHAR), '')])),
+                                     lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END),
+                         4294967295) % 4 AS h
+              FROM t),
+        r AS (SELECT i.conv_id, 0 AS own, pos, role, text FROM i JOIN t ON t.conv_id = i.base AND pos < h
+              UNION ALL SELECT i.conv_id, 1, pos, role, text FROM i JOIN t ON t.conv_id = i.conv_id AND pos >= h),
+        d AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth FROM r),
+        k AS (SELECT conv_id, depth, text, string_agg(sha256(role || chr(0) || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS key FROM d
+              UNION ALL SELECT conv_id, 0, '', '' FROM i),
+        n AS (SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, len(regexp_extract_all(any_value(text), '[^\x20\x09-\x0D]+')) AS words
+              FROM k GROUP BY depth, key),
+        p AS (SELECT n.depth, n.key, k.key AS parent FROM n JOIN k ON k.conv_id = n.conv_id AND k.depth = n.depth - 1),
+        c AS (SELECT parent, count(*) AS n FROM p GROUP BY parent),
+        s AS (SELECT a.key, sum(CASE WHEN c.n IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+              FROM n JOIN k a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN c ON c.parent = n.key GROUP BY a.key),
+        e AS (SELECT key, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ids
+              FROM (SELECT conv_id, arg_max(key, depth) AS key FROM k GROUP BY conv_id) GROUP BY key)
+        SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, above.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(c.n, 0) AS BIGINT) AS n_children,
+               CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, coalesce(e.ids, sha256('')) AS ends_sha256
+        FROM n JOIN s ON s.key = n.key LEFT JOIN p ON p.key = n.key LEFT JOIN n above ON above.key = p.parent
+        LEFT JOIN c ON c.parent = n.key LEFT JOIN e ON e.key = n.key""",
     "op6_chat_format": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
