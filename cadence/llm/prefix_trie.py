@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadence.llm.common import WORD, cut
+from cadence.session import scratch_path
 
 BASE = 50_000
 RANGE_ROWS = 1 << 18
@@ -272,21 +273,29 @@ def prefix_sums(arcs: DataFrame, base: int = BASE, range_rows: int = RANGE_ROWS)
     return stretches.join(before, "head").select("id", *[(F.col(w) + F.col(f"before_{w}")).alias(w) for w in WEIGHTS])
 
 
+def _table(df: DataFrame) -> DataFrame:
+    """Stored as a table. A checkpoint keeps the estimated size of its plan, a product over the
+    joins of all levels that gets too long to plan with; a table has the size of its files."""
+    path = scratch_path(df.sparkSession, "trie-level")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _rank(elements: DataFrame, base: int, level: int) -> tuple[DataFrame, bool]:
     """Prefix sums of a stored list, and whether it has no more than ``base`` elements."""
     if elements.count() <= base:
-        return cut(elements.coalesce(1).mapInArrow(_contract_rows, STRETCH).select("id", *WEIGHTS)), True
+        return _table(elements.coalesce(1).mapInArrow(_contract_rows, STRETCH).select("id", *WEIGHTS)), True
     heads_up = F.xxhash64("id", F.lit(level)) % 2 == 0
     taker = elements.where(~heads_up).select(F.col("id").alias("head"), F.col("next").alias("id"), *[F.col(w).alias(f"head_{w}") for w in WEIGHTS])
-    taken = cut(elements.where(heads_up).join(taker, "id"))
+    taken = _table(elements.where(heads_up).join(taker, "id"))
     grown = taken.select(F.col("head").alias("id"), F.col("next").alias("new_next"), *[F.col(w).alias(f"more_{w}") for w in WEIGHTS])
     left = elements.join(taken.select("id"), "id", "left_anti").join(grown, "id", "left") \
         .select("id", F.coalesce("new_next", "next").alias("next"), *[(F.col(w) + F.coalesce(f"more_{w}", F.lit(0))).alias(w) for w in WEIGHTS])
-    ranked, _ = _rank(cut(left), base, level + 1)
+    ranked, _ = _rank(_table(left), base, level + 1)
     sums = ranked.select(F.col("id").alias("head"), *WEIGHTS)
     back = taken.select("id", "head", *[f"head_{w}" for w in WEIGHTS]).join(sums, "head") \
         .select("id", *[(F.col(w) + F.col(f"head_{w}")).alias(w) for w in WEIGHTS])
-    return cut(ranked.unionByName(back)), False
+    return _table(ranked.unionByName(back)), False
 
 
 def end_digests(ends: DataFrame, chunk: int = CHUNK) -> DataFrame:
