@@ -77,13 +77,17 @@ def extract_events(product_events: DataFrame, excluded: DataFrame, mobile_lib: s
     ``observation`` (optional) collects, in the same pass, the number of
     events read and of malformed ``properties`` (D16).
     """
+    return exclude_ids(mobile_events(product_events, mobile_lib, observation), excluded)
+
+
+def mobile_events(product_events: DataFrame, mobile_lib: str, observation: Observation | None = None) -> DataFrame:
+    """Parsed mobile events with a session id, excluded ids still among them."""
     parsed = parse_properties(product_events, flag_malformed=observation is not None)
     if observation is not None:
         parsed = parsed.observe(observation, F.count(F.lit(1)).alias("events_read"),
                                 F.count_if("properties_malformed").alias("malformed_properties"))
         parsed = parsed.drop("properties_malformed")
-    kept = parsed.where((F.col("lib") == F.lit(mobile_lib)) & F.col("session_id").isNotNull())
-    return exclude_ids(kept, excluded)
+    return parsed.where((F.col("lib") == F.lit(mobile_lib)) & F.col("session_id").isNotNull())
 
 
 def session_behaviour(events: DataFrame) -> DataFrame:
@@ -101,6 +105,44 @@ def session_behaviour(events: DataFrame) -> DataFrame:
     )
 
 
+BEHAVIOUR_FLAGS = ["viewed_event", "joined_event", "invited_someone", "enabled_contacts", "clicked_invite",
+                   "started_quiz", "completed_quiz", "visited_discover"]
+
+
+def event_state(events: DataFrame) -> DataFrame:
+    """A1-A3 as a state that can be merged: one row per (session_id, distinct_id)
+    of ``mobile_events``.
+
+    ``seen``, ``city`` and ``country`` are the smallest (no time, time[, value])
+    of their rows, flags are ORed and touches added up. ``distinct_id`` is part of
+    the key, so the exclusion list (P3) can still be applied to the state.
+    """
+    time = [F.col("timestamp").isNull().alias("no_time"), F.col("timestamp").alias("time")]
+    valued = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(*time, F.col(c).alias("value")))).alias(c)
+    return events.groupBy("session_id", "distinct_id").agg(
+        F.min(F.struct(*time)).alias("seen"), valued("city"), valued("country"),
+        *[F.bool_or(pred).alias(name) for name, pred in flags.event_flags("event_name").items()],
+        F.bool_or(flags.visited_discover("screen_name")).alias("visited_discover"),
+        (F.count("touch_x") + F.count("touch_y")).cast("long").alias("touches"))
+
+
+def merge_event_states(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The state of both frames' events: minima, ORs and sums, no event is read again."""
+    return old.unionByName(new).groupBy("session_id", "distinct_id").agg(
+        *[F.min(c).alias(c) for c in ("seen", "city", "country")],
+        *[F.bool_or(c).alias(c) for c in BEHAVIOUR_FLAGS], F.sum("touches").cast("long").alias("touches"))
+
+
+def behaviour_of_state(state: DataFrame, excluded: DataFrame) -> DataFrame:
+    """``session_behaviour`` from an ``event_state``, the exclusion list applied."""
+    first_id = F.min(F.when(F.col("distinct_id").isNotNull(), F.struct("seen", "distinct_id")))
+    return exclude_ids(state, excluded).groupBy("session_id").agg(
+        first_id.getField("distinct_id").alias("distinct_id"),
+        *[F.min(c).getField("value").alias(c) for c in ("city", "country")],
+        *[F.bool_or(c).alias(c) for c in BEHAVIOUR_FLAGS],
+        (F.sum("touches") > 0).alias("scrolled"), F.sum("touches").cast("long").alias("scroll_event_count"))
+
+
 def attach_metadata(behaviour: DataFrame, sessions: DataFrame, excluded: DataFrame) -> DataFrame:
     """P5 + J1: session metadata (excluded ids removed) by (session_id, distinct_id)."""
     meta = exclude_ids(sessions.select("session_id", F.col("distinct_id").alias("_meta_id"), *META_COLS),
@@ -193,10 +235,20 @@ def sessions_aggregated(product_events: DataFrame, sessions: DataFrame, users: D
     materialises them once so the event aggregation is not recomputed.
     """
     events = extract_events(product_events, excluded, mobile_lib, observation)
-    with_meta = attach_metadata(session_behaviour(events), sessions, excluded)
+    return from_behaviour(session_behaviour(events), sessions, users, app_events, excluded, stage)
+
+
+def from_behaviour(behaviour: DataFrame, sessions: DataFrame, users: DataFrame, app_events: DataFrame,
+                   excluded: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None,
+                   few_users: bool = False) -> DataFrame:
+    """The sessions_aggregated rows of per-session behaviour. With
+    ``few_users`` only the app events of the matched users are shuffled by time."""
+    with_meta = attach_metadata(behaviour, sessions, excluded)
     matched = match_users(with_meta, users).where(F.col("user_id").isNotNull()).where(not_idle())
     if stage is not None:
         matched = stage(matched)
+    if few_users:
+        app_events = app_events.join(matched.select("user_id").distinct(), "user_id", "left_semi")
     hits = created_during(matched, app_events)
     return (matched.join(hits, ["user_id", "start_timestamp", "end_timestamp"], "left")
             .withColumn("created_event", F.coalesce("created_event", F.lit(False))))

@@ -383,6 +383,8 @@ _BODIES = {
     "load_empty_skipped": "SELECT * FROM churn",
     "incremental_sessions": f"SELECT {_SESSIONS_OUT} FROM sessions_agg",
     "incremental_people": "SELECT * FROM people",
+    "incremental_all_inputs_sessions": f"SELECT {_SESSIONS_OUT} FROM sessions_agg",
+    "incremental_all_inputs_people": "SELECT * FROM people",
     "incremental_spine": "SELECT * FROM spine",
 }
 

@@ -316,34 +316,39 @@ def load_empty_skipped(spark, sf_dir):
 
 # ------------------------------------------------------------- I1
 
-def _split(i: Inputs) -> tuple[Inputs, DataFrame]:
-    old_events = i.product_events.where(F.col("timestamp") < utc_literal(P.since))
-    delta = readers.since_filter(i.product_events, P.since)
-    old = Inputs(old_events, i.sessions, i.users, i.app_events, i.invites, i.excluded)
-    return old, delta
+def _refreshed(spark, sf_dir, sides: bool = False) -> incremental.State:
+    """The state of the events before ``since``, refreshed by the later ones. With
+    ``sides`` the other inputs were as of ``since``, too: younger users, metadata, app events
+    and invites not yet there and nobody excluded."""
+    i = inputs(spark, sf_dir)
+    at = utc_literal(P.since)
+    known = lambda df, c: df.where(F.col(c).isNull() | (F.col(c) < at))
+    old = Inputs(i.product_events, known(i.sessions, "start_timestamp"), known(i.users, "createdAt"), known(i.app_events, "createdAt"),
+                 known(i.invites, "createdAt"), i.excluded.where(F.lit(False))) if sides else i
+    first = incremental.refresh(incremental.empty_state(spark), old, i.product_events.where(F.col("timestamp") < at), P)
+    return incremental.refresh(first, i, readers.since_filter(i.product_events, P.since), P)
 
 
 @register("incremental_sessions")
 def incremental_sessions(spark, sf_dir):
-    i = inputs(spark, sf_dir)
-    old_inp, delta = _split(i)
-    merged, _ = incremental.refresh_sessions(pipeline.sessions_aggregated(old_inp, P), i, delta, P)
-    return merged
+    return _refreshed(spark, sf_dir).sessions_aggregated
 
 
 @register("incremental_people")
 def incremental_people(spark, sf_dir):
-    i = inputs(spark, sf_dir)
-    old_inp, delta = _split(i)
-    old_sessions = pipeline.sessions_aggregated(old_inp, P)
-    old_people = pipeline.people_aggregated(old_sessions, P)
-    new_sessions, keys = incremental.refresh_sessions(old_sessions, i, delta, P)
-    return round_floats(incremental.refresh_people(old_people, old_sessions, new_sessions, keys, P))
+    return round_floats(_refreshed(spark, sf_dir).people_aggregated)
 
 
 @register("incremental_spine")
 def incremental_spine(spark, sf_dir):
-    i = inputs(spark, sf_dir)
-    old_inp, delta = _split(i)
-    old_counts = activity.product_daily_counts(old_inp.product_events)
-    return incremental.spine_from_state(incremental.refresh_product_counts(old_counts, delta), i)
+    return incremental.spine_from_state(_refreshed(spark, sf_dir).counts, inputs(spark, sf_dir))
+
+
+@register("incremental_all_inputs_sessions")
+def incremental_all_inputs_sessions(spark, sf_dir):
+    return _refreshed(spark, sf_dir, sides=True).sessions_aggregated
+
+
+@register("incremental_all_inputs_people")
+def incremental_all_inputs_people(spark, sf_dir):
+    return round_floats(_refreshed(spark, sf_dir, sides=True).people_aggregated)

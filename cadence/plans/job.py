@@ -147,26 +147,27 @@ def run(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] |
 def run_incremental(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] | str,
                     p: Params, state_dir: str) -> list[StageResult]:
     """I1 from the command line: the streaming refresh over new event files
-    only (``trigger(availableNow=True)``), then all four tables from the
-    newest state. They are written even if no event file is new: the grid and
+    only (``trigger(availableNow=True)``), one over changed side inputs, then all
+    four tables from the newest state. They are written even if no event file is new: the grid and
     churn move on with ``end_date``, app events and invites may be new, and a
     run that ended between the stream and the writes is caught up."""
     from cadence.streaming import incremental as stream
     prepare(spark)
     query = stream.start(spark, sources, p, state_dir=state_dir)
     query.awaitTermination()
-    epoch = stream.latest_epoch(spark, state_dir)
-    if epoch < 0:  # no event file has ever arrived
+    stream.catch_up(spark, sources, p, state_dir)
+    state = stream.latest(spark, state_dir)
+    if state is None:  # no event file has ever arrived
         return [StageResult(t, "skipped-empty") for t in OUTPUT_TABLES]
     inp = Inputs.of(readers.read_inputs(spark, sources))
     out = []
     for table in ("sessions_aggregated", "people_aggregated"):
         try:
-            out.append(_write(stream.read_state(spark, state_dir, table, epoch), targets, table))
+            out.append(_write(getattr(state, table), targets, table))
         except Exception as e:
             out.append(_failed(table, e))
     try:
-        daily = stream.daily_from_state(spark, state_dir, epoch, inp, p)
+        daily = stream.daily_from_state(state, inp, p)
         for table in ("user_daily_activity", "user_churn_state"):
             out.append(_write(daily[table], targets, table))
     except Exception as e:

@@ -3,18 +3,17 @@
 New product-event files are picked up by a file-source stream whose
 checkpoint records which files were processed, so "only data newer than the
 last run" is exactly the set of files the stream has not seen. Each
-micro-batch (``foreachBatch``) applies ``cadence.plans.incremental``:
-
-* sessions touched by the batch are recomputed from all of their events;
-* people of those sessions are recomputed from the merged sessions;
-* the batch's product-event counts per (distinct_id, day) are merged into
-  the stored counts (sums); the spine resolves identities at read time.
-
-State is versioned by epoch: batch N reads version N-1 and writes version N
-with overwrite. Epoch ids are consecutive and a failed batch is replayed with
-the same id and the same files, so a replay rewrites the same version from
-the same parent (idempotent), and no folder listing is needed. The state
-folder lives under ``spark.checkpoint.dir`` unless given. Run with
+micro-batch (``foreachBatch``) is merged into the stored state by
+``cadence.plans.incremental.refresh``, which also compares the side inputs with
+the state; ``catch_up`` does so when no event file is new.
+
+State versions take turns in a ring of ``SLOTS`` folders, so the state never
+grows by old copies: version n overwrites the slot of version n - SLOTS. Its
+tables are written first and its one-row commit (version, epoch) last; the newest
+commit names the state. A version that fails half-way has no commit of its own
+and leaves the slots of the versions before it alone. A replayed batch starts
+from the newest version of an earlier epoch, as it did the first time.
+The state folder lives under ``spark.checkpoint.dir`` unless given. Run with
 ``trigger(availableNow=True)`` for a daily job, or a processing-time trigger
 for a continuous one. The grid and churn are derived from the spine (they
 depend on ``end_date``).
@@ -24,58 +23,81 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cadence import schemas
-from cadence.operators import activity
+from cadence.operators import activity, identity
 from cadence.params import Params
 from cadence.plans import incremental, pipeline
+from cadence.plans.incremental import State
 from cadence.plans.pipeline import Inputs
 from cadence.session import checkpoint_dir, prepare
 from cadence.sources import readers
 
-STATE_TABLES = ("sessions_aggregated", "people_aggregated", "product_counts")
-COUNTS_SCHEMA = "key string, date date, event_count bigint"
+SLOTS = 3
+_COMMIT = "version long, epoch long"
 
 
-def _version_path(state_dir: str, table: str, epoch: int) -> str:
-    return f"{state_dir.rstrip('/')}/{table}/v{epoch:010d}"
+def _slot(state_dir: str, version: int, table: str) -> str:
+    return f"{state_dir.rstrip('/')}/slot{version % SLOTS}/{table}"
 
 
-def _empty(spark: SparkSession, table: str) -> DataFrame:
-    schema = COUNTS_SCHEMA if table == "product_counts" else schemas.OUTPUTS[table]
-    return spark.createDataFrame([], schema)
+def commits(spark: SparkSession, state_dir: str) -> list[tuple[int, int]]:
+    """(version, epoch) of the versions held, oldest first."""
+    found = []
+    for k in range(SLOTS):
+        try:
+            found += [tuple(r) for r in spark.read.schema(_COMMIT).parquet(_slot(state_dir, k, "commit")).collect()]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return sorted(found)
 
 
-def read_state(spark: SparkSession, state_dir: str, table: str, epoch: int) -> DataFrame:
-    """State ``table`` after batch ``epoch`` (empty before the first batch)."""
-    if epoch < 0:
-        return _empty(spark, table)
-    return spark.read.parquet(_version_path(state_dir, table, epoch))
+def read_state(spark: SparkSession, state_dir: str, version: int) -> State:
+    """The state of a version (-1: empty)."""
+    if version < 0:
+        return incremental.empty_state(spark)
+    schema = lambda s: s if isinstance(s, T.StructType) else T.StructType.fromDDL(s)
+    return State(**{name: spark.read.schema(schema(incremental.STATE_SCHEMAS[name])).parquet(_slot(state_dir, version, name))
+                    for name in State.names()})
+
+
+def latest(spark: SparkSession, state_dir: str) -> State | None:
+    """The newest state, None before the first batch."""
+    held = commits(spark, state_dir)
+    return read_state(spark, state_dir, held[-1][0]) if held else None
+
+
+def _advance(spark: SparkSession, sources: dict[str, str], state_dir: str, p: Params, delta: DataFrame, parent: int, epoch: int) -> bool:
+    """Write the version after ``parent``; False if nothing has changed."""
+    inp = Inputs.of({**readers.read_inputs(spark, {k: v for k, v in sources.items() if k != "product_events"}), "product_events": delta})
+    version = parent + 1
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = _slot(state_dir, version, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    if incremental.refresh(read_state(spark, state_dir, parent), inp, delta, p, keep) is None:
+        return False
+    spark.createDataFrame([(version, epoch)], _COMMIT).coalesce(1).write.mode("overwrite").parquet(_slot(state_dir, version, "commit"))
+    return True
 
 
 def _batch_fn(sources: dict[str, str], state_dir: str, p: Params):
     def apply(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         prepare(spark)
-        inp = Inputs.of(readers.read_inputs(spark, sources))
-        old_s = read_state(spark, state_dir, "sessions_aggregated", epoch - 1)
-        old_p = read_state(spark, state_dir, "people_aggregated", epoch - 1)
-        old_counts = read_state(spark, state_dir, "product_counts", epoch - 1)
-        # Read by three steps: keep the micro-batch for its duration (a lost
-        # block is recomputed from the batch's files).
+        held = commits(spark, state_dir)
+        if any(e >= epoch for _, e in held):   # committed before the stream could note it
+            return
+        # Read twice: keep the micro-batch for its duration (a lost block is
+        # recomputed from the batch's files).
         delta = batch.select(*schemas.PRODUCT_EVENTS.fieldNames()).persist()
-        new_s, keys = incremental.refresh_sessions(old_s, inp, delta, p)
-        # Written version N is read back: the lineage cut for the people step.
-        new_s.write.mode("overwrite").parquet(_version_path(state_dir, "sessions_aggregated", epoch))
-        new_s = spark.read.parquet(_version_path(state_dir, "sessions_aggregated", epoch))
-        new_p = incremental.refresh_people(old_p, old_s, new_s, keys, p)
-        new_p.write.mode("overwrite").parquet(_version_path(state_dir, "people_aggregated", epoch))
-        new_counts = incremental.refresh_product_counts(old_counts, delta)
-        new_counts.write.mode("overwrite").parquet(_version_path(state_dir, "product_counts", epoch))
+        _advance(spark, sources, state_dir, p, delta, held[-1][0] if held else -1, epoch)
         delta.unpersist()
-        spark.createDataFrame([(epoch,)], "epoch long").write.mode("append").parquet(_log_path(state_dir))
     return apply
 
 
@@ -92,20 +114,14 @@ def start(spark: SparkSession, sources: dict[str, str], p: Params, state_dir: st
     return w.start()
 
 
-def _log_path(state_dir: str) -> str:
-    return f"{state_dir.rstrip('/')}/epochs"
-
-
-def latest_epoch(spark: SparkSession, state_dir: str) -> int:
-    """The newest complete state version, whichever run wrote it (-1 if none)."""
-    try:
-        log = spark.read.schema("epoch long").parquet(_log_path(state_dir))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return -1
-    newest = log.agg(F.max("epoch")).first()[0]
-    return -1 if newest is None else int(newest)
+def catch_up(spark: SparkSession, sources: dict[str, str], p: Params, state_dir: str) -> bool:
+    """Bring the newest state up to changed side inputs, without new events. Not while the
+    stream runs. False if there is no state or nothing it depends on has changed."""
+    held = commits(spark, state_dir)
+    if not held:
+        return False
+    none = spark.createDataFrame([], schemas.PRODUCT_EVENTS)
+    return _advance(spark, sources, state_dir, p, none, *held[-1])
 
 
 def last_epoch(query: StreamingQuery) -> int:
@@ -115,20 +131,13 @@ def last_epoch(query: StreamingQuery) -> int:
     return max(done) if done else -1
 
 
-def spine_from_state(spark: SparkSession, state_dir: str, epoch: int, inp: Inputs) -> DataFrame:
-    """The canonical activity spine: stored product counts + app events and
+def daily_from_state(state: State, inp: Inputs, p: Params) -> dict[str, DataFrame]:
+    """user_daily_activity and user_churn_state from the stored counts, app events and
     invites (whole tables), resolved with the current users."""
-    return incremental.spine_from_state(read_state(spark, state_dir, "product_counts", epoch), inp)
-
-
-def daily_from_state(spark: SparkSession, state_dir: str, epoch: int, inp: Inputs,
-                     p: Params) -> dict[str, DataFrame]:
-    """user_daily_activity and user_churn_state from the stored counts."""
-    from cadence.operators import identity
-    spine = spine_from_state(spark, state_dir, epoch, inp)
+    spine = incremental.spine_from_state(state.counts, inp).checkpoint()
     profile = identity.user_profile(identity.user_lookup(inp.users))
-    ranges = activity.user_ranges(spine, profile, p.end_date)
-    frames = {"daily": activity.user_daily_activity(spine, profile, p.end_date),
+    ranges = activity.user_ranges(spine, profile, p.end_date).checkpoint()
+    frames = {"daily": activity.user_daily_activity(spine, profile, p.end_date, ranges),
               "in_range": activity.activity_in_range(spine, ranges, p.end_date)}
     return {"user_daily_activity": pipeline.user_daily_activity(frames, p),
             "user_churn_state": pipeline.user_churn_state(frames["in_range"], p)}

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from oracle_compare import normalise
-from cadence.plans import pipeline
+from cadence import schemas
+from cadence.plans import incremental, pipeline
 from cadence.plans.catalog import ORACLE_PARAMS
 from cadence.plans.pipeline import Inputs
 from cadence.sources import adapters, readers
@@ -50,13 +51,14 @@ def _full(spark, sources):
     return s, pipeline.people_aggregated(s, ORACLE_PARAMS), pipeline.daily_frames(inp, ORACLE_PARAMS)["spine"]
 
 
-def _check(spark, sources, state_dir, epoch):
+def _check(spark, sources, state_dir):
     s, p, sp = _full(spark, sources)
+    state = stream_inc.latest(spark, state_dir)
     for name, full in (("sessions_aggregated", s), ("people_aggregated", p)):
-        got = stream_inc.read_state(spark, state_dir, name, epoch)
-        assert _rows(got.select(*full.columns)) == _rows(full), name
+        assert _rows(getattr(state, name).select(*full.columns)) == _rows(full), name
     inp = Inputs.of(readers.read_inputs(spark, sources))
-    assert _rows(stream_inc.spine_from_state(spark, state_dir, epoch, inp)) == _rows(sp)
+    assert _rows(incremental.spine_from_state(state.counts, inp)) == _rows(sp)
+    return state
 
 
 def test_stream_equals_full_refresh(spark, staged):
@@ -66,7 +68,8 @@ def test_stream_equals_full_refresh(spark, staged):
     q.awaitTermination(300)
     epoch = stream_inc.last_epoch(q)
     assert epoch >= 0
-    _check(spark, sources, state, epoch)
+    _check(spark, sources, state)
+    assert not stream_inc.catch_up(spark, sources, ORACLE_PARAMS, state)   # nothing has changed
 
     # A new file arrives: the restarted stream processes only that file.
     parts[2].coalesce(1).write.mode("append").parquet(sources["product_events"])
@@ -75,13 +78,25 @@ def test_stream_equals_full_refresh(spark, staged):
     epoch2 = stream_inc.last_epoch(q2)
     assert epoch2 == epoch + 1
     assert q2.lastProgress["numInputRows"] == parts[2].count()
-    _check(spark, sources, state, epoch2)
+    held = _check(spark, sources, state)
 
     inp = Inputs.of(readers.read_inputs(spark, sources))
-    daily = stream_inc.daily_from_state(spark, state, epoch2, inp, ORACLE_PARAMS)
+    daily = stream_inc.daily_from_state(held, inp, ORACLE_PARAMS)
     frames = pipeline.daily_frames(inp, ORACLE_PARAMS)
     assert _rows(daily["user_churn_state"]) == _rows(pipeline.user_churn_state(frames["in_range"], ORACLE_PARAMS))
 
+    # A user's phone and the metadata of a session change, no event file is new.
+    users = spark.read.parquet(sources["users"])
+    sources = {**sources, "users": f"{base}/users2"}
+    users.withColumn("phoneNumber", F.when(F.col("user_id") == users.agg(F.min("user_id")).first()[0], F.lit("+15559999")).otherwise(F.col("phoneNumber"))) \
+        .write.parquet(sources["users"])
+    for _ in range(stream_inc.SLOTS + 1):   # versions take turns in the slots
+        assert stream_inc.catch_up(spark, sources, ORACLE_PARAMS, state)
+        last, sources = sources, {**sources, "users": f"{base}/users" if sources["users"].endswith("2") else f"{base}/users2"}
+    _check(spark, last, state)
+    held = stream_inc.commits(spark, state)
+    assert len(held) == stream_inc.SLOTS and held[-1][0] == epoch2 + stream_inc.SLOTS + 1 and {e for _, e in held} == {epoch2}
+
 
 def test_cli_incremental_mode(spark, staged, tmp_path):
     """The job's --incremental mode: first run processes every file and the
@@ -111,13 +126,87 @@ def test_cli_incremental_mode(spark, staged, tmp_path):
     assert _rows(got) == _rows(pipeline.user_churn_state(frames["in_range"], later).drop("etl_loaded_at"))
 
 
+def _events(*rows):
+    return [(n, i, t and dt.datetime(2024, 1, t), '{"$session_id": "%s", "$lib": "%s"%s}' % (sid, ORACLE_PARAMS.mobile_lib, more))
+            for n, i, t, sid, more in rows]
+
+
+def _small(spark, **changed):
+    """Six inputs by hand; a change replaces one of them."""
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    rows = {
+        "product_events": _events(("view_event", "+1", 3, "s", ', "$geoip_city_name": "A"'), ("join_event", "+1", None, "s", ""), ("x", "u2", 2, "t", ', "$touch_x": 1'),
+                                  ("x", "+9", 1, "v", ""), ("start_quiz", "+1", 4, "v", ""), ("x", "+3", 4, "w", "")),
+        "sessions": [("s", "+1", day(3), day(3, 2), 5.0, 1, 2), ("t", "u2", day(2), day(2, 1), 7.0, 1, 1), ("v", "+9", day(1), day(1, 1), 1.0, 2, 2),
+                     ("v", "+1", day(4), day(4, 1), 2.0, 2, 2), ("w", "+3", day(4), day(4, 1), 3.0, 2, 2)],
+        "users": [("u1", "Ann", "+1", "ann", None, True, None, day(1)), ("u2", "Bob", "+2", "bob", None, None, False, day(1)),
+                  ("u3", "Bob", "+2", "cob", None, None, False, day(1)), ("u4", "Dee", "+9", None, None, None, None, None)],
+        "app_events": [("u1", day(3, 1)), ("u2", day(9))],
+        "invites": [("u1", day(3), "accepted")],
+        "excluded": [("+8",)],
+    }
+    assert set(changed) <= set(rows)
+    rows.update(changed)
+    return Inputs.of({k: spark.createDataFrame(v, schemas.INPUTS[k]) for k, v in rows.items()}), rows
+
+
+D = lambda d, h=0: dt.datetime(2024, 1, d, h)
+CHANGES = {
+    "metadata": lambda r: {"sessions": r["sessions"][1:] + [("s", "+1", D(9), D(9, 1), 8.0, 3, 3), ("s", "+1", D(3), D(3), 8.0, 3, 3)]},
+    "user gone": lambda r: {"users": r["users"][1:]},
+    "other user of a name and phone first": lambda r: {"users": [*r["users"][:2], ("u3", "Bob", "+2", "aob", None, None, False, None), r["users"][3]]},
+    "new user takes an unmatched phone": lambda r: {"users": [*r["users"], ("u5", "Eve", "+3", None, None, None, None, None)]},
+    "second user of a phone": lambda r: {"users": [*r["users"], ("u5", "Eve", "+1", None, None, None, None, None)]},
+    "profile": lambda r: {"users": [("u1", "Ann", "+1", "ann", "a@b.c", True, None, D(1)), *r["users"][1:]]},
+    "app events": lambda r: {"app_events": [("u1", D(3, 5)), ("u2", D(2, 1)), ("u2", D(2, 1)), (None, D(2))]},
+    "excluded": lambda r: {"excluded": [("+9",), ("u2",)]},
+    "nobody excluded": lambda r: {"excluded": []},
+    "invites": lambda r: {"invites": [("u2", D(3), "rejected"), ("u1", D(5), "pending")]},
+}
+
+
+def test_changes_of_every_input_equal_a_full_refresh(spark):
+    """One input after the other changes, without new events; then all are as at first."""
+    inp, rows = _small(spark)
+    full = lambda i: pipeline.sessions_aggregated(i, ORACLE_PARAMS)
+    state = incremental.refresh(incremental.empty_state(spark), inp, inp.product_events, ORACLE_PARAMS)
+    none = inp.product_events.where("false")
+    for name, change in [*CHANGES.items(), ("as at first", lambda r: {})]:
+        now, _ = _small(spark, **change(rows))
+        state = incremental.refresh(state, now, none, ORACLE_PARAMS) or state
+        want = full(now).checkpoint()
+        assert _rows(state.sessions_aggregated.select(*want.columns)) == _rows(want), name
+        people = pipeline.people_aggregated(want, ORACLE_PARAMS)
+        assert _rows(state.people_aggregated.select(*people.columns)) == _rows(people), name
+        spine = pipeline.daily_frames(now, ORACLE_PARAMS)["spine"]
+        assert _rows(incremental.spine_from_state(state.counts, now).select(*spine.columns)) == _rows(spine), name
+
+
 def test_old_events_of_a_touched_session_count(spark):
-    """A session touched by a new event is recomputed from all its events, however
-    old, and from those without a timestamp."""
-    from cadence.plans import incremental
-    events = spark.createDataFrame(
-        [("e", "p", dt.datetime(2023, 1, 1), '{"$session_id": "s"}'), ("e", "p", None, '{"$session_id": "s"}'),
-         ("e", "p", dt.datetime(2024, 1, 4), '{"$session_id": "t"}')],
-        "event string, distinct_id string, timestamp timestamp, properties string")
-    keys = spark.createDataFrame([("s",)], "session_id string")
-    assert incremental.events_of_sessions(events, keys).count() == 2
+    """A session touched by a new event has the behaviour of all its events, however
+    old, and of those without a timestamp, and no old event is read for it."""
+    inp, rows = _small(spark)
+    later = spark.createDataFrame(_events(("view_event", "u7", 5, "s", ""), ("x", "+1", 2, "t", "")), schemas.PRODUCT_EVENTS)
+    first = incremental.refresh(incremental.empty_state(spark), inp, inp.product_events, ORACLE_PARAMS)
+    unread = dataclasses.replace(inp, product_events=None)
+    state = incremental.refresh(first, unread, later, ORACLE_PARAMS)
+    want = pipeline.sessions_aggregated(dataclasses.replace(inp, product_events=inp.product_events.unionByName(later)), ORACLE_PARAMS)
+    assert _rows(state.sessions_aggregated.select(*want.columns)) == _rows(want)
+    assert state.sessions_aggregated.where("session_id = 's' AND joined_event").count() == 1
+
+
+def test_refresh_reads_no_old_event(spark, staged, tmp_path):
+    """The files that a second batch reads are the state's, the side inputs' and its own."""
+    base, sources, parts = staged
+    inp = Inputs.of(readers.read_inputs(spark, sources))
+    state = incremental.refresh(incremental.empty_state(spark), inp, parts[0], ORACLE_PARAMS)
+    read = []
+
+    def keep(name, df):
+        read.extend(df.inputFiles())
+        return incremental.as_table(name, df)
+
+    parts[2].write.parquet(str(tmp_path / "delta"))
+    incremental.refresh(state, inp, spark.read.parquet(str(tmp_path / "delta")), ORACLE_PARAMS, keep)
+    files = lambda name: {f for f in read if f"/{name}/" in f}
+    assert files("users") and files("delta") and not files("product_events")
