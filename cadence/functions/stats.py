@@ -1,25 +1,17 @@
-"""Exact median per group, with no unbounded group ordered in one task.
-
-Values are first counted per (key, value) - a partial aggregate, so repeats
-are reduced map-side. If every key has at most ``MAX_WINDOW_VALUES``
-distinct values (a checked bound), one window per key ranks them. Beyond
-that, the middle ranks are found by exact selection in two refinement
-levels of value bins:
-
-1. per key, ``BINS`` equal-width bins between the key's min and max value;
-   cumulative counts over a key's bins (at most ``BINS`` rows) locate the
-   bin of each middle rank;
-2. inside each such bin, ``BINS`` sub-bins between that bin's own min and
-   max locate the sub-bin;
-3. a window over the distinct values of that one sub-bin gives the values
-   at the middle ranks.
-
-Bin numbers are monotone in the value, so (bin, sub-bin, value) order is
-value order and ranks carry over exactly. Every window is bounded: by
-``BINS`` rows, or by the distinct values inside one sub-bin, a
-``1/BINS**2`` slice of the key's value range. So even a key holding a third
-of all rows never lands in one task. The median is the mean of the values
-at ranks floor((n+1)/2) and floor(n/2)+1, the interpolated median.
+"""Exact median per group by digit-wise selection, no group ordered in one task.
+
+Values are counted per (key, value) first - a partial aggregate, so repeats are
+reduced map-side - and get an order-preserving integer (``ordered_long``). The
+counts are added up per (key, integer) and per (key, leading digits), each shuffled by
+all of its columns, so a key's rows are spread over the tasks whatever its share.
+The middle ranks are then found from the top: cumulative counts over a key's leading
+digits locate those of a rank, the ones below them its integer, and the values of
+that integer the value. No size is probed while planning. The median is the
+mean of the values at ranks floor((n+1)/2) and floor(n/2)+1, the interpolated median.
+
+A window holds the leading digits of one key (at most 2,048 per power of two its values
+span), the integers of one leading part (``2 ** DIGIT``) or the distinct values of one
+integer, which are less than 2**-31 apart (of their size, if above 1).
 """
 
 from __future__ import annotations
@@ -27,88 +19,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-# Keys with at most this many distinct values are ranked with one window.
-MAX_WINDOW_VALUES = 1_000_000
-
-
-def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
-    """Monotone bin number in [0, bins) of ``value`` within [lo, hi]."""
-    raw = F.floor((value - lo) * F.lit(float(bins)) / (hi - lo))
-    return F.when(hi == lo, F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1))).cast("long")
-
-
-def _locate(counts: DataFrame, group: list[str], order: str, targets: DataFrame, offset: str | None) -> DataFrame:
-    """Targets (``group``, ``_k``, ``offset``) joined to the bin of ``counts``
-    (``group``, ``order``, ``_cnt``) holding rank ``_k``."""
-    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = counts.withColumn("_upto", F.sum("_cnt").over(upto))
-    base = F.col(offset) if offset else F.lit(0)
-    return (targets.join(cum, group)
-            .where((base + F.col("_upto") - F.col("_cnt") < F.col("_k")) & (F.col("_k") <= base + F.col("_upto")))
-            .withColumn("_off", base + F.col("_upto") - F.col("_cnt")))
+# Steps of the integer per power of two, and the bits of its lower digit.
+STEPS = 1 << 31
+DIGIT = 20
 
 
-def exact_median(df: DataFrame, key: str, value: str, alias: str,
-                 max_window_values: int = MAX_WINDOW_VALUES, bins: int = BINS) -> DataFrame:
-    """``(key, alias)`` for keys with at least one non-null ``value``.
+def ordered_long(value: Column, steps: int = STEPS) -> Column:
+    """An integer that never falls as a double grows; NaN after all others."""
+    scaled = F.signum(value) * F.log2(F.abs(value) + 1) * F.lit(float(steps))
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(F.floor(scaled).cast("long"))
 
-    When no key has more than ``max_window_values`` distinct values (checked
-    with one aggregate over the counted values), a single window per key
-    finds the middle ranks; above that bound the bin refinement below is
-    used, so no key's values are ever ordered inside one task unbounded.
-    """
-    vc = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
-    widest = vc.groupBy(key).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
-    if widest <= max_window_values:
-        return _window_median(vc, key, value, alias)
-    return _binned_median(vc, key, value, alias, bins)
 
+def _holding(counts: DataFrame, by: list[str], digit: str) -> DataFrame:
+    """The rows of ``counts`` (``by``, ``digit``, ``_c``) in which a rank of ``_ks`` falls, with these
+    ranks counted from the row's first one."""
+    upto = Window.partitionBy(*by).orderBy(digit).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("_c").over(upto) - F.col("_c")
+    inside = F.filter(F.transform("_ks", lambda k: k - F.col("_before")), lambda k: (k > 0) & (k <= F.col("_c")))
+    return counts.withColumn("_before", before).withColumn("_ks", inside).where(F.size("_ks") > 0).drop("_before", "_c")
 
-def _targets(n: Column) -> Column:
-    """The two middle ranks (equal when n is odd)."""
-    return F.array(F.floor((n + 1) / 2).cast("long"), (F.floor(n / 2) + 1).cast("long"))
 
-
-def _window_median(vc: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """One window per key over its distinct values (bounded by the caller)."""
-    upto = Window.partitionBy(key).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = vc.select(key, value, "_c", F.sum("_c").over(upto).alias("_upto"),
-                       F.sum("_c").over(Window.partitionBy(key)).alias("_n"))
-    picked = (ranked.select("*", F.explode(_targets(F.col("_n"))).alias("_k"))
-              .where((F.col("_upto") - F.col("_c") < F.col("_k")) & (F.col("_k") <= F.col("_upto"))))
-    return picked.groupBy(key).agg(((F.min(value) + F.max(value)) / 2).cast("double").alias(alias))
-
-
-def _binned_median(vc: DataFrame, key: str, value: str, alias: str, bins: int) -> DataFrame:
-    """Exact selection through two levels of value bins (see module doc)."""
+def exact_median(df: DataFrame, key: str, value: str, alias: str, steps: int = STEPS, digit: int = DIGIT) -> DataFrame:
+    """``(key, alias)`` for keys with at least one non-null ``value``."""
     v = F.col(value)
-    stats = vc.groupBy(key).agg(F.sum("_c").alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    # Two target ranks per key (equal when n is odd).
-    targets = stats.select(key, F.explode(_targets(F.col("_n"))).alias("_k"))
-
-    # Level 1: bins over the key's whole range.
-    l1 = vc.join(stats.select(key, "_lo", "_hi"), key).withColumn("_b1", _bin(v, F.col("_lo"), F.col("_hi"), bins))
-    c1 = l1.groupBy(key, "_b1").agg(F.sum("_c").alias("_cnt"), F.min(value).alias("_lo2"),
-                                    F.max(value).alias("_hi2"))
-    t1 = _locate(c1, [key], "_b1", targets, None).select(key, "_k", "_b1", "_lo2", "_hi2",
-                                                          F.col("_off").alias("_off1"))
-
-    # Level 2: sub-bins inside each located bin, over that bin's own range.
-    in1 = t1.select(key, "_b1", "_lo2", "_hi2").distinct()
-    l2 = (l1.select(key, value, "_c", "_b1").join(in1, [key, "_b1"])
-          .withColumn("_b2", _bin(v, F.col("_lo2"), F.col("_hi2"), bins)))
-    c2 = l2.groupBy(key, "_b1", "_b2").agg(F.sum("_c").alias("_cnt"))
-    t2 = _locate(c2, [key, "_b1"], "_b2", t1.select(key, "_k", "_b1", "_off1"), "_off1") \
-        .select(key, "_k", "_b1", "_b2", F.col("_off").alias("_off2"))
-
-    # Level 3: exact order inside each located sub-bin.
-    in2 = t2.select(key, "_b1", "_b2").distinct()
-    l3 = l2.select(key, value, "_c", "_b1", "_b2").join(in2, [key, "_b1", "_b2"])
-    upto = (Window.partitionBy(key, "_b1", "_b2").orderBy(value)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = l3.withColumn("_upto", F.sum("_c").over(upto))
-    picked = (t2.join(ranked, [key, "_b1", "_b2"])
-              .where((F.col("_off2") + F.col("_upto") - F.col("_c") < F.col("_k"))
-                     & (F.col("_k") <= F.col("_off2") + F.col("_upto"))))
-    return picked.groupBy(key).agg(((F.min(value) + F.max(value)) / 2).cast("double").alias(alias))
+    values = (df.where(v.isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_fine", ordered_long(v.cast("double"), steps)))
+    fine = (values.groupBy(key, "_fine").agg(F.sum("_c").alias("_c"))
+            .withColumn("_lead", F.shiftright("_fine", digit)))
+    lead = fine.groupBy(key, "_lead").agg(F.sum("_c").alias("_c"))
+    n = F.sum("_c").over(Window.partitionBy(key))
+    ranked = lead.withColumn("_ks", F.array(F.floor((n + 1) / 2).cast("long"), (F.floor(n / 2) + 1).cast("long")))
+    at_lead = _holding(ranked, [key], "_lead")
+    at_fine = _holding(fine.join(at_lead, [key, "_lead"]), [key, "_lead"], "_fine").drop("_lead")
+    at_value = _holding(values.join(at_fine, [key, "_fine"]), [key, "_fine"], value)
+    return at_value.groupBy(key).agg(((F.min(value) + F.max(value)) / 2).cast("double").alias(alias))

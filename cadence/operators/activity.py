@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.operators import identity
@@ -130,13 +130,21 @@ def user_daily_activity(spine: DataFrame, profile: DataFrame, end_date: dt.date,
     ``ranges`` may be passed when already computed (``user_ranges``)."""
     if ranges is None:
         ranges = user_ranges(spine, profile, end_date)
-    grid = daily_grid(ranges, end_date)
-    # The grid (the largest frame) is streamed; the sparse spine is the
-    # hashed build side. Both are partitioned by user_id, so neither moves.
-    counts = spine.select("user_id", "date", *ACTIVITY_COUNTS).hint("shuffle_hash")
-    return (grid.join(counts, ["user_id", "date"], "left")
-            .select("user_id", "date", *[F.coalesce(F.col(c), _zero()).alias(c) for c in ACTIVITY_COUNTS],
-                    "createdAt", "phoneNumber", "fullName", "username", "email"))
+    # Gap expansion: an active day stands for itself and the empty days up to the
+    # user's next one, the first for those before it, too; a user without a day in
+    # range has one row for all. Nothing is joined on (user, date).
+    day = F.col("date")
+    rows = ranges.drop("first_date").join(
+        spine.select(F.col("user_id").alias("_user"), "date", *ACTIVITY_COUNTS),
+        (F.col("user_id") == F.col("_user")) & (day >= F.col("start_date")) & (day <= F.lit(end_date)), "left").drop("_user")
+    by_day = Window.partitionBy("user_id").orderBy("date")
+    first = F.lag("date").over(by_day).isNull()
+    rows = rows.withColumn("_from", F.when(first, F.col("start_date")).otherwise(day)) \
+        .withColumn("_to", F.coalesce(F.date_sub(F.lead("date").over(by_day), 1), F.lit(end_date)))
+    out = rows.withColumn("_day", F.explode(F.sequence(F.col("_from"), F.col("_to"), F.expr("INTERVAL 1 DAY"))))
+    return out.select("user_id", F.col("_day").alias("date"),
+                      *[F.when(F.col("_day") == day, F.col(c)).otherwise(_zero()).alias(c) for c in ACTIVITY_COUNTS],
+                      "createdAt", "phoneNumber", "fullName", "username", "email")
 
 
 def build(product_events: DataFrame, app_events: DataFrame, invites: DataFrame,

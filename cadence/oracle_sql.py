@@ -381,6 +381,9 @@ _BODIES = {
     "user_churn_state_from_grid": "SELECT * FROM churn",
     "load_overwrite_append": "SELECT * FROM churn UNION ALL SELECT * FROM churn",
     "load_empty_skipped": "SELECT * FROM churn",
+    "load_new_database": "SELECT * FROM churn",
+    **{f"source_{name}": f"SELECT {', '.join(schemas.INPUTS[name].fieldNames())} FROM {name}"
+       for name in ("sessions", "users", "app_events", "invites")},
     "incremental_sessions": f"SELECT {_SESSIONS_OUT} FROM sessions_agg",
     "incremental_people": "SELECT * FROM people",
     "incremental_all_inputs_sessions": f"SELECT {_SESSIONS_OUT} FROM sessions_agg",

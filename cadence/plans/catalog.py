@@ -62,6 +62,22 @@ def events_limited_ordered(spark, sf_dir):
     return readers.cap_rows(ev, TRIAL_ROWS, ["timestamp", "distinct_id", "event", "properties"])
 
 
+# ------------------------------------------------------------- S2-S5
+
+def _stored(name: str):
+    """Input ``name`` stored as a table of its own and read by the engine's reader."""
+    def query(spark, sf_dir):
+        prepare(spark)
+        path = scratch_path(spark, f"source-{name}")
+        adapters.load_inputs(spark, sf_dir)[name].write.parquet(path)
+        return readers.read_source(spark, path, name)
+    return query
+
+
+for _name in ("sessions", "users", "app_events", "invites"):
+    register(f"source_{_name}")(_stored(_name))
+
+
 # ------------------------------------------------------------- P1-P4
 
 @register("json_events_extracted")
@@ -314,6 +330,18 @@ def load_empty_skipped(spark, sf_dir):
     return sinks.read_back(spark, target)
 
 
+@register("load_new_database")
+def load_new_database(spark, sf_dir):
+    """A table published in a database that did not exist, twice."""
+    place = scratch_path(spark, "load_new_database")
+    name = "cadence_" + place.rpartition("-")[2]
+    sinks.ensure_database(spark, name, place)
+    df = _churn(spark, sf_dir)
+    for _ in range(2):
+        sinks.write_table(df, f"{name}.user_churn_state", "overwrite", schema=schemas.USER_CHURN_STATE, skip_empty=False)
+    return sinks.read_back(spark, f"{name}.user_churn_state")
+
+
 # ------------------------------------------------------------- I1
 
 def _refreshed(spark, sf_dir, sides: bool = False) -> incremental.State:

@@ -5,8 +5,9 @@
 
 Two independent branches run as concurrent Spark jobs:
 
-* sessions -> people: ``sessions_aggregated`` is checkpointed (reliable,
-  to ``spark.checkpoint.dir``) because it is written and also feeds people;
+* sessions -> people: the matched sessions are checkpointed (reliable, to
+  ``spark.checkpoint.dir``), being read twice; people read the table that the
+  sessions stage has published;
 * daily -> churn: the canonical activity spine is checkpointed because it
   feeds both the grid and churn. Churn reads the sparse in-range spine
   rather than the written grid (same result, no zero rows).
@@ -72,8 +73,12 @@ def _sessions_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
     out = []
     try:
         seen = Observation("sessions_input")
-        sess = pipeline.sessions_aggregated(inp, p, stage=_cut, observation=seen).checkpoint(eager=True)
-        res = _write(sess, targets, "sessions_aggregated")
+        df = pipeline.sessions_aggregated(inp, p, stage=_cut, observation=seen)
+        res = _write(df, targets, "sessions_aggregated")
+        if res.status == "skipped-empty":  # no sessions, no people
+            return [res, StageResult("people_aggregated", "skipped-empty")]
+        # The published table is read back: written once, and the lineage cut for people.
+        sess = sinks.read_back(df.sparkSession, _target(targets, "sessions_aggregated"))
         # Malformed properties are dropped, and reported; D5: a session
         # matched to several users (shared phone) is kept, and reported.
         res.metrics = dict(seen.get)

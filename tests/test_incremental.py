@@ -12,7 +12,7 @@ from cadence import schemas
 from cadence.plans import incremental, pipeline
 from cadence.plans.catalog import ORACLE_PARAMS
 from cadence.plans.pipeline import Inputs
-from cadence.sources import adapters, readers
+from cadence.sources import adapters, readers, sinks
 from cadence.streaming import incremental as stream_inc
 
 SF = "/root/testdata/sf0.001"
@@ -111,18 +111,18 @@ def test_cli_incremental_mode(spark, staged, tmp_path):
     assert job.main(args) == 0
     inp = Inputs.of(readers.read_inputs(spark, sources))
     full = pipeline.user_churn_state(pipeline.daily_frames(inp, ORACLE_PARAMS)["in_range"], ORACLE_PARAMS)
-    got = spark.read.parquet(f"{out}/user_churn_state")
+    got = sinks.read_back(spark, f"{out}/user_churn_state")
     assert _rows(got.drop("etl_loaded_at")) == _rows(full.drop("etl_loaded_at"))
     full_s = pipeline.sessions_aggregated(inp, ORACLE_PARAMS).drop("etl_loaded_at")
-    got_s = spark.read.parquet(f"{out}/sessions_aggregated").drop("etl_loaded_at")
+    got_s = sinks.read_back(spark, f"{out}/sessions_aggregated").drop("etl_loaded_at")
     assert _rows(got_s) == _rows(full_s)
-    days = spark.read.parquet(f"{out}/user_daily_activity").count()
+    days = sinks.read_back(spark, f"{out}/user_daily_activity").count()
     later = dataclasses.replace(ORACLE_PARAMS, end_date=ORACLE_PARAMS.end_date + dt.timedelta(days=3))
     res = job.run_incremental(spark, sources, out, later, state)
     assert {r.status for r in res} == {"ok"}
-    assert spark.read.parquet(f"{out}/user_daily_activity").count() > days
+    assert sinks.read_back(spark, f"{out}/user_daily_activity").count() > days
     frames = pipeline.daily_frames(inp, later)
-    got = spark.read.parquet(f"{out}/user_churn_state").drop("etl_loaded_at")
+    got = sinks.read_back(spark, f"{out}/user_churn_state").drop("etl_loaded_at")
     assert _rows(got) == _rows(pipeline.user_churn_state(frames["in_range"], later).drop("etl_loaded_at"))
 
 

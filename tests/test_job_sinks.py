@@ -70,6 +70,50 @@ def test_failed_overwrite_keeps_the_old_table(spark, kind):
     assert sinks.read_back(spark, target).count() == 3
 
 
+@pytest.mark.parametrize("kind", ["path", "table"])
+@pytest.mark.parametrize("point", ["rows", "files", "switch"])
+def test_a_failure_at_any_point_leaves_the_old_table(spark, monkeypatch, kind, point):
+    """While a version is computed, after its files are written, and in the step that publishes it."""
+    target = scratch_path(spark, "publish")
+    if kind == "table":
+        sinks.ensure_database(spark, "cadence_test_db")
+        target = "cadence_test_db.p_" + target.rsplit("-", 1)[1]
+    rows = lambda n: spark.range(n).selectExpr("CAST(id AS STRING) AS user_id")
+    kept = lambda: sinks.read_back(spark, target).count()
+    for n in range(1, sinks.SLOTS + 3):   # the slots go round
+        sinks.write_table(rows(n), target, "overwrite")
+        assert kept() == n
+
+    def fail(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        bad = rows(9)
+        if point == "rows":
+            bad = bad.withColumn("user_id", F.when(F.col("user_id") == "8", F.raise_error(F.lit("lost"))).otherwise(F.col("user_id")))
+        elif point == "files":
+            m.setattr(sinks, "_publish", fail)
+        else:
+            m.setattr(type(spark.range(1).write), "parquet", fail)
+            m.setattr(type(spark), "sql", lambda self, q, *a, f=type(spark).sql, **k: fail() if "SET LOCATION" in q else f(self, q, *a, **k))
+        with pytest.raises(Exception, match="lost"):
+            sinks.write_table(bad, target, "overwrite")
+    assert kept() == n
+    sinks.write_table(rows(7), target, "overwrite")
+    assert kept() == 7
+
+
+def test_plain_files_are_a_table_until_they_are_overwritten(spark):
+    target = scratch_path(spark, "plain")
+    assert not sinks.exists(spark, target)
+    df = spark.range(4).selectExpr("CAST(id AS STRING) AS user_id")
+    df.write.parquet(target)
+    assert sinks.exists(spark, target) and sinks.read_back(spark, target).count() == 4
+    assert sinks.write_table(df, target, "append").table_rows == 8
+    sinks.write_table(df.limit(3).withColumn("n", F.lit(1)), target, "overwrite", partition_by=["user_id"])
+    assert sinks.read_back(spark, target).count() == 3
+
+
 def test_timestamps_without_a_zone_are_utc(spark, monkeypatch):
     import datetime as dt
     import time
@@ -111,18 +155,18 @@ def test_job_writes_four_tables_equal_to_queries(spark, sources):
     metrics = results[0].metrics
     assert metrics["events_read"] == ev.count()
     assert metrics["malformed_properties"] == ev.where("properties = 'not json'").count() > 0
-    sess = spark.read.parquet(f"{out}/sessions_aggregated")
+    sess = sinks.read_back(spark, f"{out}/sessions_aggregated")
     fan = sess.groupBy("session_id").count().where("count > 1").count()
     assert metrics["sessions_with_several_users"] == fan
     for r in results:
-        got = spark.read.parquet(f"{out}/{r.table}")
+        got = sinks.read_back(spark, f"{out}/{r.table}")
         assert got.columns == schemas.OUTPUTS[r.table].fieldNames()
         assert got.count() == r.rows
     # same rows as the registered (lazy) queries over the same stored inputs
     # (registered queries round doubles for the oracle; the job keeps full precision)
     for table in ("sessions_aggregated", "people_aggregated", "user_daily_activity", "user_churn_state"):
         want = QUERIES[table](spark, SF)
-        got = round_floats(spark.read.parquet(f"{out}/{table}"))
+        got = round_floats(sinks.read_back(spark, f"{out}/{table}"))
         assert _rows(got) == _rows(round_floats(want)), table
 
 
@@ -147,7 +191,7 @@ def test_cli_main_exit_code(spark, sources, tmp_path):
     rc = job.main(["--sources", src, "--target", str(tmp_path / "out"), "--end-date", "2024-01-31",
                    "--threshold", "2", "--full-load"])
     assert rc == 0
-    assert spark.read.parquet(str(tmp_path / "out" / "user_churn_state")).count() > 0
+    assert sinks.read_back(spark, str(tmp_path / "out" / "user_churn_state")).count() > 0
 
 
 def test_since_leaves_the_older_rows_of_stored_tables(spark, sources):

@@ -6,7 +6,9 @@ import statistics
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from cadence.functions.stats import exact_median
+from pyspark.sql import functions as F
+
+from cadence.functions.stats import exact_median, ordered_long
 from cadence.operators import churn, sessions
 
 T0 = dt.datetime(2024, 1, 1)
@@ -86,10 +88,10 @@ def test_churn_equals_brute_force(spark, rows, thr):
 @given(vals=st.lists(st.tuples(users, st.one_of(st.none(), st.sampled_from([0.0, 0.5, 1.25, 7.0, 1e6]),
                                                  st.floats(0, 100, allow_nan=False))),
                      min_size=1, max_size=60))
-def test_exact_median_with_tiny_bins(spark, vals):
-    """bins=2 forces every level of the bin refinement to do real work."""
+def test_exact_median_with_digits_of_other_sizes(spark, vals):
+    """Short prefixes leave the choice to the digits, long ones to the prefix."""
     df = spark.createDataFrame(vals, "k string, v double")
-    got = {r.k: r.m for r in exact_median(df, "k", "v", "m", max_window_values=0, bins=2).collect()}
+    got = {r.k: r.m for r in exact_median(df, "k", "v", "m", **(dict(steps=3, digit=2) if len(vals) % 2 else dict(steps=1 << 40, digit=30))).collect()}
     want = {}
     for k in {k for k, _ in vals}:
         xs = sorted(v for kk, v in vals if kk == k and v is not None)
@@ -97,3 +99,13 @@ def test_exact_median_with_tiny_bins(spark, vals):
             n = len(xs)
             want[k] = (xs[(n + 1) // 2 - 1] + xs[n // 2]) / 2
     assert got == want
+
+
+@SETTINGS
+@given(vals=st.lists(st.floats(allow_nan=True, allow_infinity=True), min_size=1, max_size=60))
+def test_ordered_long_keeps_the_order_of_doubles(spark, vals):
+    vals = sorted({v + 0.0 for v in vals + [0.0, 5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, -1.0, 0.1, 1.0, 2.0]},
+                  key=lambda v: (v != v, v))
+    df = spark.createDataFrame([(float(v), i) for i, v in enumerate(vals)], "v double, i int")
+    got = [r[0] for r in df.select(ordered_long(F.col("v")), "i").orderBy("i").collect()]
+    assert got == sorted(got) and len(set(got)) > 4
