@@ -12,6 +12,7 @@ Spark side (``cadence.sources.adapters.duckdb_input_ctes``).
 
 from __future__ import annotations
 
+from cadence import schemas
 from cadence.functions import flags as fl
 from cadence.plans.catalog import ORACLE_PARAMS as P
 from cadence.plans.catalog import FLOAT_DIGITS, ROUNDED_FOR_COMPARISON, TRIAL_ROWS
@@ -389,6 +390,8 @@ _BODIES = {
     "incremental_all_inputs_sessions": f"SELECT {_SESSIONS_OUT} FROM sessions_agg",
     "incremental_all_inputs_people": "SELECT * FROM people",
     "incremental_spine": "SELECT * FROM spine",
+    "since_over_stored_sessions": f"SELECT {_SESSIONS_OUT} FROM sessions_agg",
+    "since_over_stored_spine": "SELECT * FROM spine",
 }
 
 

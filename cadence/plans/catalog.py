@@ -8,6 +8,7 @@ each. Parameters are fixed per query set (``ORACLE_PARAMS``).
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from collections.abc import Callable
 
@@ -18,7 +19,7 @@ from cadence import schemas
 from cadence.functions.conform import conform, utc_literal
 from cadence.operators import activity, churn, identity, people, sessions
 from cadence.params import Params
-from cadence.plans import incremental, pipeline
+from cadence.plans import history, incremental, pipeline
 from cadence.plans.pipeline import Inputs
 from cadence.session import prepare, scratch_path
 from cadence.sources import adapters, readers, sinks
@@ -380,3 +381,25 @@ def incremental_all_inputs_sessions(spark, sf_dir):
 @register("incremental_all_inputs_people")
 def incremental_all_inputs_people(spark, sf_dir):
     return round_floats(_refreshed(spark, sf_dir, sides=True).people_aggregated)
+
+
+# ------------------------------------------------------------- S1 over stored tables
+
+def _history(spark, sf_dir) -> tuple[history.History, Inputs]:
+    """The history of a full load in which the days from ``since`` on had other events, after a dated run."""
+    i = inputs(spark, sf_dir)
+    folder = scratch_path(spark, "history")
+    wrong = i.product_events.withColumn("distinct_id", F.when(F.col("timestamp") < utc_literal(P.since), F.col("distinct_id")).otherwise("event"))
+    history.replace_days(spark, folder, wrong, dataclasses.replace(P, since=None))
+    return history.replace_days(spark, folder, i.product_events, P), i
+
+
+@register("since_over_stored_sessions")
+def since_over_stored_sessions(spark, sf_dir):
+    held, i = _history(spark, sf_dir)
+    return conform(history.sessions_aggregated(held, i, stage=lambda df: df.checkpoint()), schemas.SESSIONS_AGGREGATED, P.run_ts)
+
+
+@register("since_over_stored_spine")
+def since_over_stored_spine(spark, sf_dir):
+    return history.spine(*_history(spark, sf_dir))

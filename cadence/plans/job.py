@@ -1,7 +1,7 @@
 """The daily job: five sources in, four tables out.
 
 ``python -m cadence.plans.job --sources DIR --target DIR [--end-date D]
-[--since TS | --full-load | --incremental STATE_DIR] [--limit N] [--threshold N]``
+[--since TS | --full-load | --incremental STATE_DIR] [--history DIR] [--limit N] [--threshold N]``
 
 Two independent branches run as concurrent Spark jobs:
 
@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from cadence import schemas
 from cadence.params import DEFAULT_THRESHOLD_DAYS, Params
 from cadence.operators import activity
-from cadence.plans import pipeline
+from cadence.functions.conform import conform
+from cadence.plans import history, pipeline
 from cadence.plans.pipeline import Inputs
 from cadence.session import prepare
 from cadence.sources import readers, sinks
@@ -69,11 +70,14 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _sessions_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
+def _sessions_branch(inp: Inputs, p: Params, targets, held: history.History | None = None) -> list[StageResult]:
     out = []
     try:
         seen = Observation("sessions_input")
-        df = pipeline.sessions_aggregated(inp, p, stage=_cut, observation=seen)
+        if held is None:
+            df = pipeline.sessions_aggregated(inp, p, stage=_cut, observation=seen)
+        else:
+            df = conform(history.sessions_aggregated(held, inp, stage=_cut), schemas.SESSIONS_AGGREGATED, p.run_ts)
         res = _write(df, targets, "sessions_aggregated")
         if res.status == "skipped-empty":  # no sessions, no people
             return [res, StageResult("people_aggregated", "skipped-empty")]
@@ -81,7 +85,7 @@ def _sessions_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
         sess = sinks.read_back(df.sparkSession, _target(targets, "sessions_aggregated"))
         # Malformed properties are dropped, and reported; D5: a session
         # matched to several users (shared phone) is kept, and reported.
-        res.metrics = dict(seen.get)
+        res.metrics = dict(seen.get) if held is None else {}
         res.metrics["sessions_with_several_users"] = (
             sess.groupBy("session_id").count().where(F.col("count") > 1).count())
         out.append(res)
@@ -94,11 +98,11 @@ def _sessions_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
     return out
 
 
-def _daily_branch(inp: Inputs, p: Params, targets) -> list[StageResult]:
+def _daily_branch(inp: Inputs, p: Params, targets, held: history.History | None = None) -> list[StageResult]:
     out = []
     try:
         frames = pipeline.daily_frames(inp, p)
-        spine = _cut(frames["spine"])
+        spine = _cut(frames["spine"] if held is None else history.spine(held, inp))
         frames = _rebuild_on(spine, frames, inp, p)
         out.append(_write(pipeline.user_daily_activity(frames, p), targets, "user_daily_activity",
                           probe=frames["ranges"]))
@@ -131,21 +135,31 @@ def _rebuild_on(spine: DataFrame, frames: dict, inp: Inputs, p: Params) -> dict:
 
 
 def run(spark: SparkSession, sources: dict[str, str], targets: dict[str, str] | str, p: Params,
-        limit: int | None = None, fmt: str = "parquet") -> list[StageResult]:
-    """Run both branches; return one result per output table. With ``p.since``
-    the tables cover only the events read, so targets that hold tables of
-    earlier runs are refused: nothing is read or written then."""
+        limit: int | None = None, fmt: str = "parquet", history_dir: str | None = None) -> list[StageResult]:
+    """Run both branches; return one result per output table.
+
+    With ``history_dir`` the product events go through the reduced history kept there
+    (``plans.history``): a run with ``p.since`` reads the events of that day and later ones only, and the
+    tables still cover all days. Without it such tables would cover only the events
+    read, so targets that hold tables of earlier runs are refused: nothing is read or
+    written then."""
     prepare(spark)
-    if p.since is not None:
+    if p.since is not None and history_dir is None:
         held = [t for t in OUTPUT_TABLES if sinks.exists(spark, _target(targets, t))]
         if held:
             e = ValueError(f"--since reads only newer events and would overwrite {', '.join(held)} without the older rows; "
-                           "use another target, --full-load or --incremental")
+                           "use --history, another target, --full-load or --incremental")
+            return [_failed(t, e) for t in OUTPUT_TABLES]
+    inp = Inputs.of(readers.read_inputs(spark, sources, since=None if history_dir else p.since, limit=limit, fmt=fmt))
+    kept = None
+    if history_dir is not None:
+        try:
+            kept = history.replace_days(spark, history_dir, inp.product_events, p)
+        except Exception as e:
             return [_failed(t, e) for t in OUTPUT_TABLES]
-    inp = Inputs.of(readers.read_inputs(spark, sources, since=p.since, limit=limit, fmt=fmt))
     with ThreadPoolExecutor(max_workers=2) as pool:
-        a = pool.submit(_sessions_branch, inp, p, targets)
-        b = pool.submit(_daily_branch, inp, p, targets)
+        a = pool.submit(_sessions_branch, inp, p, targets, kept)
+        b = pool.submit(_daily_branch, inp, p, targets, kept)
         return a.result() + b.result()
 
 
@@ -193,6 +207,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--limit", type=int, default=None, help="row cap per source, for trial runs")
     ap.add_argument("--incremental", metavar="STATE_DIR", default=None,
                     help="process only product-event files not seen before (state kept in STATE_DIR)")
+    ap.add_argument("--history", metavar="DIR", default=None,
+                    help="keep product events reduced by day in DIR; --since then replaces the days from its day on")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("cadence-job").getOrCreate()
@@ -205,7 +221,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.incremental:
         results = run_incremental(spark, sources, args.target, p, args.incremental)
     else:
-        results = run(spark, sources, args.target, p, limit=args.limit)
+        results = run(spark, sources, args.target, p, limit=args.limit, history_dir=args.history)
     for r in results:
         print(f"{r.table}: {r.status} rows={r.rows}" + (f" error={r.error}" if r.error else "")
               + (f" metrics={r.metrics}" if r.metrics else ""))

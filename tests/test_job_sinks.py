@@ -1,6 +1,7 @@
 """Sinks (S7-S10) and the job runner (two branches, stage isolation)."""
 
 import dataclasses
+import datetime as dt
 import tempfile
 
 import pytest
@@ -202,3 +203,27 @@ def test_since_leaves_the_older_rows_of_stored_tables(spark, sources):
     assert ORACLE_PARAMS.since and {r.status for r in results} == {"failed"} and len(results) == 4
     assert all("--since" in r.error and "user_churn_state" in r.error for r in results)
     assert sorted(r["user_id"] for r in sinks.read_back(spark, f"{target}/user_churn_state").collect()) == ["0", "1", "2"]
+
+
+def test_since_with_a_history_equals_a_full_load(spark, sources, tmp_path):
+    """A dated run over stored tables: events of its days are added, changed and withdrawn, one without a time stays."""
+    at = F.lit(ORACLE_PARAMS.since)
+    events = spark.read.parquet(sources["product_events"])
+    late = F.col("timestamp") >= at
+    before = str(tmp_path / "before")
+    first = events.where(~late | (F.dayofmonth("timestamp") % 2 == 0)) \
+        .unionByName(events.where(late).withColumn("distinct_id", F.lit("gone")).withColumn("timestamp", F.expr("timestamp + INTERVAL 2 DAYS"))) \
+        .unionByName(events.where(~late).limit(5).withColumn("timestamp", F.lit(None).cast("timestamp")))
+    first.write.parquet(before)
+    after = str(tmp_path / "after")
+    now = events.unionByName(spark.read.parquet(before).where("timestamp IS NULL"))
+    now.write.parquet(after)
+    target, kept = str(tmp_path / "out"), str(tmp_path / "history")
+    later = dataclasses.replace(FULL, end_date=FULL.end_date + dt.timedelta(days=4))
+    assert {r.status for r in job.run(spark, {**sources, "product_events": before}, target, later, history_dir=kept)} == {"ok"}
+    res = job.run(spark, {**sources, "product_events": after}, target, ORACLE_PARAMS, history_dir=kept)
+    assert {r.status for r in res} == {"ok"}
+    full = str(tmp_path / "full")
+    job.run(spark, {**sources, "product_events": after}, full, FULL)
+    for table in schemas.OUTPUTS:
+        assert _rows(sinks.read_back(spark, f"{target}/{table}")) == _rows(sinks.read_back(spark, f"{full}/{table}")), table
