@@ -28,6 +28,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadence.llm.common import WORD, cut, text_or_empty
 
@@ -106,8 +107,18 @@ def schedule(plan: DataFrame, total: int, block_words: int = BLOCK_WORDS) -> Dat
 
 
 def row_key(docs: DataFrame) -> Column:
-    """128 bits that tell rows with different contents apart, whatever their ids."""
-    told = [docs[c] for c in docs.columns] + [docs[c].isNull() for c in docs.columns]
+    """128 bits that tell rows with different contents apart, whatever their ids.
+    Maps have no hash and their entries no order: they count as sorted entries."""
+    told = []
+    for f in docs.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.MapType):
+            told.append(F.array_sort(F.transform(F.map_entries(c), lambda e: F.xxhash64(e["key"], e["value"]))))
+        elif "map<" in f.dataType.simpleString() or "variant" in f.dataType.simpleString():
+            told.append(F.to_json(F.struct(c)))
+        else:
+            told.append(c)
+        told.append(c.isNull())
     return F.struct(F.xxhash64(F.lit(1), *told).alias("a"), F.xxhash64(F.lit(2), *told).alias("b"))
 
 
@@ -179,8 +190,11 @@ def remix(docs: DataFrame, **options) -> DataFrame:
     id; rows equal in all appear as often as they do together."""
     key = row_key(docs)
     one = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5))
-    copies = _taken(docs, key=key, **options).groupBy("key").agg(F.sum(one).cast("int").alias("_copies")) \
-        .where("_copies > 0").withColumnRenamed("key", "_mixed")
-    rows = docs.withColumn("_key", key)
-    out = rows.join(copies, F.col("_key") == F.col("_mixed")).dropDuplicates(["_key"])
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    copies = _taken(docs, key=key, **options).groupBy("key").agg(F.sum(one).cast("int").alias("copies")) \
+        .where("copies > 0").withColumnRenamed("key", "mixed")
+    # Own column names, so that a document's columns cannot clash with the others.
+    own = [f"in_{i}" for i in range(len(docs.columns))]
+    rows = docs.select(key.alias("key"), *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)])
+    out = rows.join(copies, F.col("key") == F.col("mixed")).dropDuplicates(["key"])
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))) \
+        .select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])

@@ -9,16 +9,17 @@ that agree in two entries at most ``REACH`` apart (a bucket) and in at least
 ``LEAST_COMMON`` of all are candidates; of pairs with a similarity of exactly
 0.8 about 1 in 2,000 is missed, of those with 0.85 less than 1 in 100,000. A
 candidate pair is linked if the best alignment of the two sequences of plain
-(not labelled) shingles matches L shingles with L / (n1 + n2 - L) >= THRESHOLD;
-an alignment that reaches this lies in the band that THRESHOLD allows.
-
-Exact copies become one node first. Every node of a bucket is compared with
-the bucket's leader, its smallest node, so a group that shares many buckets
-mostly shares its leader too. Only nodes that are not of one class yet are
-compared further: pair by pair in a bucket of at most ``SMALL`` nodes, with a
-second leader in a larger one, as many pairs as rows however large it is.
-What the leaders leave is done in full: in large buckets that still hold
-several classes, blocks of about ``BLOCK`` nodes meet block by block, and two
+(not labelled) shingles matches L shingles with L / (n1 + n2 - L) >= THRESHOLD.
+Such an alignment leaves at most n1 - L and n2 - L shingles unmatched, so it
+lies in the band of that half-width on either side of the diagonal, and only
+the band is computed.
+
+Exact copies become one node first. A bucket's leader is its smallest node, and
+every node is compared with one leader, the smallest of its buckets', then with
+one more where a bucket still holds several classes: two pairs a node at most,
+which join a group that shares many buckets. Only nodes that are not of one class
+yet are compared further, in full: pair by pair in a bucket of at most ``SMALL``
+nodes; in larger ones blocks of about ``BLOCK`` nodes meet block by block, and two
 nodes of different classes are a candidate pair if their entries agree as
 above and ``SIGNATURE`` one-byte minima put their similarity within three
 standard errors of the threshold or above (of pairs with exactly 0.8 about 1 in
@@ -29,7 +30,8 @@ small-star steps; nothing is collected on the driver.
 
 Defined cases: null text is empty; texts without words are copies of each
 other; a class is named by its smallest id (a null id sorts first); equal ids
-with different texts are different documents; extra columns are ignored.
+with different texts are different documents; extra columns of any name and
+type are ignored by ``classes`` and carried by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -52,7 +54,7 @@ MINIMA = 3
 REACH = 2
 LEAST_COMMON = 4
 SMALL = 16
-BLOCK = 512
+BLOCK = 4096
 SIGNATURE = 512
 
 
@@ -136,9 +138,20 @@ def _increasing(positions: list[int]) -> int:
     return len(tails)
 
 
-def _aligned(x: np.ndarray, y: np.ndarray) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows: bit j of
-    ``row`` is 0 where the best alignment with y[:j + 1] gains a match."""
+def _mask(places: list[int], low: int, width: int) -> int:
+    """The bits of the places in the window that begins at ``low``."""
+    inside = places[bisect_left(places, low):bisect_left(places, low + width)]
+    if len(inside) <= 16:
+        return sum(1 << (k - low) for k in inside)
+    bits = np.zeros(width, np.uint8)
+    bits[np.array(inside) - low] = 1
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
+def _aligned(x: np.ndarray, y: np.ndarray, need: int = 0) -> int:
+    """Length of the longest common subsequence, if it is at least ``need`` (else
+    some smaller number), by bit-parallel rows of the band that this allows: bit
+    j of ``row`` is 0 where the best alignment with y[:low + j + 1] gains a match."""
     both = min(len(x), len(y))
     differ = np.flatnonzero(x[:both] != y[:both])
     head = int(differ[0]) if len(differ) else both
@@ -147,29 +160,25 @@ def _aligned(x: np.ndarray, y: np.ndarray) -> int:
     differ = np.flatnonzero(x[len(x) - both:][::-1] != y[len(y) - both:][::-1])
     tail = int(differ[0]) if len(differ) else both
     x, y = x[:len(x) - tail], y[:len(y) - tail]
-    if not len(x) or not len(y):
+    need = max(0, need - head - tail)
+    if need > min(len(x), len(y)) or not len(x) or not len(y):
         return head + tail
-    order = np.argsort(y, kind="stable")
-    kinds, start = np.unique(y[order], return_index=True)
-    ends = np.append(start[1:], len(y))
-    places = {k: order[i:j] for k, i, j in zip(kinds.tolist(), start.tolist(), ends.tolist())}
-    kept: dict[int, int] = {}
-    most = (64 << 20) // (len(y) // 8 + 64)   # masks kept, for bounded memory on long texts
-    full = (1 << len(y)) - 1
-    row = full
-    for k in x.tolist():
-        if k not in places:
-            continue
-        mask = kept.get(k)
-        if mask is None:
-            bits = np.zeros(len(y), np.uint8)
-            bits[places[k]] = 1
-            mask = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
-            if len(kept) < most:
-                kept[k] = mask
-        hit = row & mask
-        row = ((row + hit) | (row - hit)) & full
-    return head + tail + len(y) - row.bit_count()
+    back, ahead = len(x) - need, len(y) - need   # unmatched on either side at most
+    width = back + ahead + 1
+    places: dict[int, list[int]] = {}
+    for at, k in enumerate(y.tolist()):
+        places.setdefault(k, []).append(at)
+    full = (1 << width) - 1
+    top = 1 << (width - 1)
+    row, passed = full, 0
+    for i, k in enumerate(x.tolist()):   # the window of row i begins at i - back
+        if i:
+            passed += not row & 1
+            row = row >> 1 | top
+        if k in places:
+            hit = row & _mask(places[k], i - back, width)
+            row = ((row + hit) | (row - hit)) & full
+    return head + tail + passed + width - row.bit_count()
 
 
 def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
@@ -185,6 +194,7 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
     most = int(shared.sum())   # no alignment matches more
     if most < threshold * (both - most) - 1e-9:
         return 0.0
+    least = int(np.ceil(threshold * both / (1 + threshold) - 1e-6))   # matches that reach the threshold
     x, y = x[shared[x] > 0], y[shared[y] > 0]
     if len(x) == len(y) == np.count_nonzero(shared):   # each shared shingle once in each
         place = np.empty(len(kinds), np.int64)
@@ -192,7 +202,7 @@ def similarity(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> fl
         j = place[x]
         matched = len(j) if (j[1:] > j[:-1]).all() else _increasing(j.tolist())
     else:
-        matched = _aligned(x, y)
+        matched = _aligned(x, y, least)
     return matched / (both - matched) if matched >= threshold * (both - matched) - 1e-9 else 0.0
 
 
@@ -212,8 +222,10 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        signatures = [signature(shingles(w)) for w in _word_hashes(batch.column("words"))]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signatures, pa.binary())], names=["node", "signature"])
+        keys = [shingles(w) for w in _word_hashes(batch.column("words"))]
+        entries = [(sketch(k) >> np.uint64(32)).astype(np.uint32).tobytes() for k in keys]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(entries, pa.binary()),
+                                          pa.array([signature(k) for k in keys], pa.binary())], names=["node", "entries", "signature"])
 
 
 def _block_pairs(threshold: float):
@@ -223,9 +235,9 @@ def _block_pairs(threshold: float):
 
     def run(rows: pa.Table) -> pa.Table:
         node, comp, block = (rows[c].to_numpy() for c in ("node", "comp", "block"))
-        entries = rows["entries"].combine_chunks().flatten().to_numpy().reshape(-1, SKETCHES)
+        entries = np.frombuffer(b"".join(rows["entries"].to_pylist()), np.uint32).reshape(-1, SKETCHES)
         signs = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
-        first, second, band = rows["x"][0].as_py(), rows["y"][0].as_py(), rows["band"][0].as_py()
+        first, second, band = rows["x"][0].as_py(), rows["y"][0].as_py(), rows["key"][0].as_py() & 63
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
         found = []
         for at in range(0, len(left), 128):
@@ -304,7 +316,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """``rows`` (key, node, ...) of the buckets with two nodes or more, with the
+    """``rows`` (key, node) of the buckets with two nodes or more, with the
     bucket's size and its leader, the smallest node.
     The aggregate is cut so that adaptive execution can split a hot bucket."""
     stats = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("lead")).where("size > 1"))
@@ -316,46 +328,54 @@ def _with(node: str, other: str, rows: DataFrame) -> DataFrame:
     return rows.select(F.least(node, other).alias("a"), F.greatest(node, other).alias("b")).where("a < b")
 
 
-def _further_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes in unsettled buckets: all of a small
-    bucket's, and those with the second leader of a large one."""
+def _unsettled(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows (key, node, size) of the buckets whose nodes are of several classes
+    so far, with each node's class and a node of the first and of the last class."""
+    rows = cut(rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    named = F.struct(F.col("comp").alias("c"), F.col("node").alias("n"))
+    stats = cut(rows.groupBy("key").agg(F.min(named).alias("low"), F.max(named).alias("high")).where("low.c < high.c"))
+    return cut(rows.join(stats, "key"))
+
+
+def _one_each(rows: DataFrame, tried: DataFrame) -> DataFrame:
+    """One untried pair a node at most, with a node of another class in one of its
+    unsettled buckets."""
+    other = F.when(F.col("comp") != F.col("low.c"), F.col("low.n")).otherwise(F.col("high.n"))
+    asked = rows.select("node", other.alias("other")).join(tried, "node").where("other <> lead") \
+        .groupBy("node").agg(F.min("other").alias("other"))
+    return _with("node", "other", asked)
+
+
+def _small_pairs(rows: DataFrame) -> DataFrame:
+    """All pairs of different classes in unsettled small buckets."""
     small = rows.where(F.col("size") <= SMALL).select("key", "node", "comp")
     other = small.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-    inside = small.join(other, "key").where("node < other AND comp <> other_comp")
-    leaders = rows.where((F.col("size") > SMALL) & (F.col("comp") != F.col("second_comp")))
-    return _with("node", "other", inside).unionByName(_with("node", "second", leaders))
-
-
-def _unsettled(live: DataFrame, comp: DataFrame) -> DataFrame:
-    """The rows of the buckets whose nodes are of several classes so far, with
-    each node's class, a second leader and the leader's class."""
-    rows = cut(live.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    stats = cut(rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                        F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "comp")).alias("m"))
-                .where("low < high").select("key", F.col("m.node").alias("second"), F.col("m.comp").alias("second_comp")))
-    return cut(rows.join(stats, "key"))
+    return _with("node", "other", small.join(other, "key").where("node < other AND comp <> other_comp"))
 
 
-def _rest(rows: DataFrame, entries: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+def _rest(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Candidate pairs of different classes in unsettled large buckets, block by block."""
+    rows = rows.where(F.col("size") > SMALL)
     words = F.transform(F.split("text", " "), lambda w: F.xxhash64(w))
-    signed = texts.join(rows.select("node").distinct(), "node").select("node", words.alias("words")) \
-        .mapInArrow(_signature_rows, "node long, signature binary")
-    about = cut(signed.join(entries, "node"))
+    about = cut(texts.join(rows.select("node").distinct(), "node").select("node", words.alias("words"))
+                .mapInArrow(_signature_rows, "node long, entries binary, signature binary"))
     last = F.floor((F.col("size") - 1) / BLOCK)
-    blocks = rows.select("key", "band", "node", "comp", F.pmod(F.xxhash64("node"), last + 1).alias("block"),
+    blocks = rows.select("key", "node", "comp", F.pmod(F.xxhash64("node"), last + 1).alias("block"),
                          F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other")) \
-        .select("key", "band", "node", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+        .select("key", "node", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     return blocks.join(about, "node").groupBy("key", "x", "y").applyInArrow(_block_pairs(threshold), "a long, b long")
 
 
 def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame:
     """``node, comp`` of the linked nodes. ``texts_of(nodes)`` gives node, text."""
     entries = nodes.where("entries IS NOT NULL").select("node", "entries")
-    rows = entries.select("node", F.posexplode(F.array(*[
-        F.xxhash64(F.lit(i), F.col("entries")[i], F.lit(j), F.col("entries")[j]) for i, j in BANDS])).alias("band", "key"))
+    # The last six bits of a bucket's key name its two sketch entries.
+    rows = entries.select("node", F.explode(F.array(*[
+        F.xxhash64(F.col("entries")[i], F.col("entries")[j]).bitwiseAND(~63).bitwiseOR(band)
+        for band, (i, j) in enumerate(BANDS)])).alias("key"))
     live = _buckets(rows)
-    texts = cut(texts_of(live.select("node").distinct()))   # one shuffle of the texts, for those that can have a link
+    tried = cut(live.groupBy("node").agg(F.min("lead").alias("lead")))
+    texts = cut(texts_of(tried.select("node")))   # one shuffle of the texts, for those that can have a link
     common = F.size(F.filter(F.zip_with("ea", "eb", lambda x, y: x == y), lambda same: same))
 
     def agreeing(pairs: DataFrame) -> DataFrame:
@@ -370,16 +390,16 @@ def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFr
                    .mapInArrow(_verify(threshold), "a long, b long"))
 
     def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
-        return components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
+        return cut(components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links)))
 
-    comp = cut(components(linked(agreeing(_with("node", "lead", live)))))
-    unsettled = _unsettled(live.select("key", "band", "node", "size"), comp)
+    comp = cut(components(linked(agreeing(_with("node", "lead", tried)))))
+    unsettled = _unsettled(live.select("key", "node", "size"), comp)
     if unsettled.isEmpty():
         return comp
-    comp = cut(joined(comp, linked(agreeing(_further_pairs(unsettled)))))
-    large = unsettled.where(F.col("size") > SMALL).select("key", "band", "node", "size")
-    unsettled = _unsettled(large, comp)
-    return joined(comp, linked(cut(_rest(unsettled, entries, texts, threshold))))
+    comp = joined(comp, linked(agreeing(_one_each(unsettled, tried))))
+    unsettled = _unsettled(unsettled.select("key", "node", "size"), comp)
+    pairs = agreeing(_small_pairs(unsettled)).unionByName(_rest(unsettled, texts, threshold))
+    return joined(comp, linked(cut(pairs.distinct())))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -416,8 +436,11 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The one document of each class that stays, with all its columns."""
     kept = cut(classes(docs, threshold).where("kept")
-               .select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_digest")).distinct())
-    rows = docs.withColumn("_digest", F.unhex(F.sha2(words_text().cast("binary"), 256)))
+               .select(F.col("doc_id").alias("kept_id"), "digest").distinct())
+    # Own column names, so that a document's columns cannot clash with the others.
+    own = [f"in_{i}" for i in range(len(docs.columns))]
+    rows = docs.select(F.unhex(F.sha2(words_text().cast("binary"), 256)).alias("digest"), F.col("doc_id").alias("own_id"),
+                       *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)])
     # One shuffle of the rows: equal digests meet for the join and for the choice among repeated rows.
-    out = rows.join(kept, "_digest").where(F.col("doc_id").eqNullSafe(F.col("_kept_id")))
-    return out.dropDuplicates(["_digest"]).select(*docs.columns)
+    out = rows.join(kept, "digest").where(F.col("own_id").eqNullSafe(F.col("kept_id"))).dropDuplicates(["digest"])
+    return out.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])

@@ -6,6 +6,7 @@ import math
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -394,8 +395,9 @@ def test_block_pairs_equal_all_pairs():
     texts = crowd(60)
     keys = [near_dedup.shingles(np.array([zlib.crc32(w.encode()) for w in t.split(" ")], np.uint64)) for t in texts.values()]
     rows = pa.table({"node": range(60), "comp": range(60), "block": [i % 2 for i in range(60)],
-                     "entries": [near_dedup.sketch(k).view(np.int64) for k in keys], "signature": [near_dedup.signature(k) for k in keys],
-                     "x": [0] * 60, "y": [1] * 60, "band": [0] * 60})
+                     "entries": [(near_dedup.sketch(k) >> np.uint64(32)).astype(np.uint32).tobytes() for k in keys],
+                     "signature": [near_dedup.signature(k) for k in keys],
+                     "x": [0] * 60, "y": [1] * 60, "key": [64] * 60})
     got = near_dedup._block_pairs(0.8)(rows)
     got = set(zip(got["a"].to_pylist(), got["b"].to_pylist()))
     near = {(i, j) for i in range(60) for j in range(i + 1, 60)
@@ -448,12 +450,39 @@ def test_alignment_of_pages_with_a_repeated_line(spark):
         x = rng.integers(0, rng.integers(2, 30), 40)
         y = np.delete(x, rng.integers(0, 40, 3))
         y = np.insert(y, rng.integers(0, len(y), 2), 7)
-        assert near_dedup._aligned(x, y) == longest(x.tolist(), y.tolist())
+        best = longest(x.tolist(), y.tolist())
+        assert near_dedup._aligned(x, y) == best
+        for need in range(len(y) + 2):   # exact wherever the band's least is reached
+            got = near_dedup._aligned(x, y, need)
+            assert got == best if best >= need else got <= best
     rows = [(10 * n + k, t) for n, pair in pages.items() for k, t in enumerate(pair) if n > 10]
     got = {r["doc_id"]: r["class_id"] for r in near_dedup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {200: 200, 201: 200, 300: 300, 301: 300}
 
 
+def test_alignment_of_long_texts_takes_seconds():
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 90_000, 100_000).astype(np.uint64)
+    y = np.delete(x, rng.integers(0, len(x), 8_000))
+    y[rng.integers(0, len(y), 300)] = 7
+    start = time.time()
+    assert 0.9 < near_dedup.similarity(x, y) < 0.93
+    assert time.time() - start < 20
+
+
+def test_near_dedup_and_mixing_carry_any_column(spark):
+    rows = [(1, "one two three four five six", "s", 1, {"k": 1}, 5, 6), (2, "One two three four five six ", "s", 2, {"k": 2}, 5, 6),
+            (3, "seven eight nine", "s", 3, None, 5, 6)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` int, m map<string,int>, _copies int, _key int")
+    kept = near_dedup.keep_one(odd)
+    assert kept.columns == odd.columns
+    assert sorted((r["doc_id"], r["a.b"], r["m"], r["_copies"]) for r in kept.collect()) == [(1, 1, {"k": 1}, 5), (3, 3, None, 5)]
+    mixed = mixing.remix(odd)
+    assert mixed.columns == odd.columns
+    assert sorted((r["doc_id"], r["a.b"], r["m"], r["_key"]) for r in mixed.collect()) == \
+        [(1, 1, {"k": 1}, 6), (2, 2, {"k": 2}, 6), (3, 3, None, 6)]
+
+
 # --- mixing
 
 def test_mix_meets_targets(docs, texts):
