@@ -23,9 +23,11 @@ nodes; in larger ones blocks of about ``BLOCK`` nodes meet block by block, and t
 nodes of different classes are a candidate pair if their entries agree as
 above and ``SIGNATURE`` one-byte minima put their similarity within three
 standard errors of the threshold or above (of pairs with exactly 0.8 about 1 in
-700 falls below). Only candidates leave a block, each pair once. This step's
-work grows with the square of a bucket that stays of several classes, in tasks
-of bounded size. Links are joined into classes by alternating large-star and
+700 falls below). Texts of at most ``SHORT`` shingles bring these along: their
+candidate pairs are aligned at once, likely ones first and only while their
+classes are apart, and the links leave. Of longer texts the pairs leave, each
+once, and are verified by the texts. This step's work grows with the square of a
+bucket that stays of several classes, in tasks of bounded size. Links are joined into classes by alternating large-star and
 small-star steps; nothing is collected on the driver.
 
 Defined cases: null text is empty; texts without words are copies of each
@@ -56,6 +58,7 @@ LEAST_COMMON = 4
 SMALL = 16
 BLOCK = 4096
 SIGNATURE = 512
+SHORT = 256
 
 
 def words_text(text: str = "text") -> Column:
@@ -222,14 +225,33 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = [shingles(w) for w in _word_hashes(batch.column("words"))]
+        words = list(_word_hashes(batch.column("words")))
+        keys = [shingles(w) for w in words]
         entries = [(sketch(k) >> np.uint64(32)).astype(np.uint32).tobytes() for k in keys]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(entries, pa.binary()),
-                                          pa.array([signature(k) for k in keys], pa.binary())], names=["node", "entries", "signature"])
+        plain = [plain_shingles(w).tobytes() if len(k) <= SHORT else None for k, w in zip(keys, words)]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(entries, pa.binary()), pa.array([signature(k) for k in keys], pa.binary()),
+                                          pa.array(plain, pa.binary())], names=["node", "entries", "signature", "plain"])
+
+
+class _Classes:
+    """Classes joined so far by a task (union by the smaller name)."""
+
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (up := self.above.get(x, x)) != x:
+            self.above[x] = x = self.above.get(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = sorted((self.find(x), self.find(y)))
+        self.above[y] = x
 
 
 def _block_pairs(threshold: float):
-    """Candidate pairs of two blocks of a bucket (or inside one block)."""
+    """Links and candidate pairs of two blocks of a bucket (or inside one block):
+    ``a, b, sure``; the links are those that join classes."""
     least = threshold - 3 * (threshold * (1 - threshold) / SIGNATURE) ** 0.5
     least = SIGNATURE * (least + (1 - least) / 256)   # unequal minima share their byte once in 256
 
@@ -239,7 +261,8 @@ def _block_pairs(threshold: float):
         signs = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
         first, second, band = rows["x"][0].as_py(), rows["y"][0].as_py(), rows["key"][0].as_py() & 63
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        found = []
+        plain = [k and np.frombuffer(k, np.uint64) for k in rows["plain"].to_pylist()]
+        classes, found = _Classes(), []
         for at in range(0, len(left), 128):
             some = left[at:at + 128]
             agree = np.zeros((len(some), len(right)), np.uint8)
@@ -256,10 +279,19 @@ def _block_pairs(threshold: float):
                 for p, q in BANDS[:band]:
                     before |= same[:, p] & same[:, q]
                 a, b = a[~before], b[~before]
-                near = (signs[a] == signs[b]).sum(axis=1) >= least
-                found.append(np.sort(np.stack([node[a[near]], node[b[near]]]), axis=0))
-        pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+                alike = (signs[a] == signs[b]).sum(axis=1)
+                for k in np.argsort(-alike, kind="stable")[:np.count_nonzero(alike >= least)].tolist():
+                    p, q = int(a[k]), int(b[k])
+                    sure = plain[p] is not None and plain[q] is not None
+                    if classes.find(comp[p].item()) == classes.find(comp[q].item()):
+                        continue
+                    if sure:
+                        if similarity(plain[p], plain[q], threshold) < threshold:
+                            continue
+                        classes.join(comp[p].item(), comp[q].item())
+                    found.append((*sorted((node[p].item(), node[q].item())), sure))
+        a, b, sure = zip(*found) if found else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sure": pa.array(sure, pa.bool_())})
     return run
 
 
@@ -354,16 +386,17 @@ def _small_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _rest(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs of different classes in unsettled large buckets, block by block."""
+    """Links (``sure``) and candidate pairs of different classes in unsettled
+    large buckets, block by block."""
     rows = rows.where(F.col("size") > SMALL)
     words = F.transform(F.split("text", " "), lambda w: F.xxhash64(w))
     about = cut(texts.join(rows.select("node").distinct(), "node").select("node", words.alias("words"))
-                .mapInArrow(_signature_rows, "node long, entries binary, signature binary"))
+                .mapInArrow(_signature_rows, "node long, entries binary, signature binary, plain binary"))
     last = F.floor((F.col("size") - 1) / BLOCK)
     blocks = rows.select("key", "node", "comp", F.pmod(F.xxhash64("node"), last + 1).alias("block"),
                          F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("other")) \
         .select("key", "node", "comp", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
-    return blocks.join(about, "node").groupBy("key", "x", "y").applyInArrow(_block_pairs(threshold), "a long, b long")
+    return blocks.join(about, "node").groupBy("key", "x", "y").applyInArrow(_block_pairs(threshold), "a long, b long, sure boolean")
 
 
 def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame:
@@ -398,8 +431,9 @@ def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFr
         return comp
     comp = joined(comp, linked(agreeing(_one_each(unsettled, tried))))
     unsettled = _unsettled(unsettled.select("key", "node", "size"), comp)
-    pairs = agreeing(_small_pairs(unsettled)).unionByName(_rest(unsettled, texts, threshold))
-    return joined(comp, linked(cut(pairs.distinct())))
+    rest = cut(_rest(unsettled, texts, threshold))
+    pairs = agreeing(_small_pairs(unsettled)).unionByName(rest.where("NOT sure").select("a", "b"))
+    return joined(comp, linked(pairs).unionByName(rest.where("sure").select("a", "b")))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -381,9 +381,10 @@ def crowd(n, seed=5):
     return texts
 
 
-@pytest.mark.parametrize("block", [16, 512])
-def test_near_dedup_loses_no_link_in_large_buckets(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, short", [(16, 256), (512, 256), (16, 0)])
+def test_near_dedup_loses_no_link_in_large_buckets(spark, monkeypatch, block, short):
     monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SHORT", short)
     texts = crowd(160)
     want = brute_classes(texts)
     assert 20 < len(set(want.values())) < 160
@@ -391,18 +392,33 @@ def test_near_dedup_loses_no_link_in_large_buckets(spark, monkeypatch, block):
     assert {r["doc_id"]: r["class_id"] for r in near_dedup.classes(docs).collect()} == want
 
 
-def test_block_pairs_equal_all_pairs():
+@pytest.mark.parametrize("short", [0, 256])
+def test_block_pairs_equal_all_pairs(short):
     texts = crowd(60)
-    keys = [near_dedup.shingles(np.array([zlib.crc32(w.encode()) for w in t.split(" ")], np.uint64)) for t in texts.values()]
+    words = [np.array([zlib.crc32(w.encode()) for w in t.split(" ")], np.uint64) for t in texts.values()]
+    keys, plain = [near_dedup.shingles(w) for w in words], [near_dedup.plain_shingles(w) for w in words]
     rows = pa.table({"node": range(60), "comp": range(60), "block": [i % 2 for i in range(60)],
                      "entries": [(near_dedup.sketch(k) >> np.uint64(32)).astype(np.uint32).tobytes() for k in keys],
                      "signature": [near_dedup.signature(k) for k in keys],
+                     "plain": pa.array([k.tobytes() if len(k) <= short else None for k in plain], pa.binary()),
                      "x": [0] * 60, "y": [1] * 60, "key": [64] * 60})
-    got = near_dedup._block_pairs(0.8)(rows)
-    got = set(zip(got["a"].to_pylist(), got["b"].to_pylist()))
+    out = near_dedup._block_pairs(0.8)(rows)
+    got = set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
     near = {(i, j) for i in range(60) for j in range(i + 1, 60)
-            if (i + j) % 2 and near_dedup.similarity(keys[i], keys[j]) >= 0.8}
-    assert near and near <= got and all((i + j) % 2 for i, j in got)
+            if (i + j) % 2 and near_dedup.similarity(plain[i], plain[j]) >= 0.8}
+
+    def joined(pairs):
+        classes = near_dedup._Classes()
+        for i, j in pairs:
+            classes.join(i, j)
+        return [classes.find(i) for i in range(60)]
+
+    assert near and all((i + j) % 2 for i, j in got)
+    if short:   # links that join the same classes as all links, none of them twice
+        assert all(out["sure"].to_pylist()) and got <= near and joined(got) == joined(near)
+        assert len(got) == 60 - len(set(joined(near)))
+    else:
+        assert not any(out["sure"].to_pylist()) and near <= got
 
 
 def test_near_dedup_awkward(awkward, none):
