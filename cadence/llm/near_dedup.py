@@ -15,16 +15,15 @@ lies in the band of that half-width on either side of the diagonal, and only
 the band is computed.
 
 Exact copies become one node first. A bucket's leader is its smallest node, and
-every node is compared with one leader, the smallest of its buckets', then with
-one more where a bucket still holds several classes: two pairs a node at most,
-which join a group that shares many buckets. Only nodes that are not of one class
-yet are compared further, in full: pair by pair in a bucket of at most ``SMALL``
+every node is compared with one leader, the smallest of its buckets': one pair a
+node at most, which joins a group that shares many buckets. Only nodes that are not
+of one class yet are compared further, in full: pair by pair in a bucket of at most ``SMALL``
 nodes; in larger ones blocks of about ``BLOCK`` nodes meet block by block, and two
 nodes of different classes are a candidate pair if their entries agree as
 above and ``SIGNATURE`` one-byte minima put their similarity within three
 standard errors of the threshold or above (of pairs with exactly 0.8 about 1 in
-700 falls below). Texts of at most ``SHORT`` shingles bring these along: their
-candidate pairs are aligned at once, likely ones first and only while their
+700 falls below). Texts of at most ``SHORT`` shingles bring these along, as
+32-bit hashes: their candidate pairs are aligned at once, likely ones first and only while their
 classes are apart, and the links leave. Of longer texts the pairs leave, each
 once, and are verified by the texts. This step's work grows with the square of a
 bucket that stays of several classes, in tasks of bounded size. Links are joined into classes by alternating large-star and
@@ -58,7 +57,7 @@ LEAST_COMMON = 4
 SMALL = 16
 BLOCK = 4096
 SIGNATURE = 512
-SHORT = 256
+SHORT = 1024
 
 
 def words_text(text: str = "text") -> Column:
@@ -228,7 +227,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         words = list(_word_hashes(batch.column("words")))
         keys = [shingles(w) for w in words]
         entries = [(sketch(k) >> np.uint64(32)).astype(np.uint32).tobytes() for k in keys]
-        plain = [plain_shingles(w).tobytes() if len(k) <= SHORT else None for k, w in zip(keys, words)]
+        plain = [(plain_shingles(w) >> np.uint64(32)).astype(np.uint32).tobytes() if len(k) <= SHORT else None for k, w in zip(keys, words)]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(entries, pa.binary()), pa.array([signature(k) for k in keys], pa.binary()),
                                           pa.array(plain, pa.binary())], names=["node", "entries", "signature", "plain"])
 
@@ -261,7 +260,7 @@ def _block_pairs(threshold: float):
         signs = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)
         first, second, band = rows["x"][0].as_py(), rows["y"][0].as_py(), rows["key"][0].as_py() & 63
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        plain = [k and np.frombuffer(k, np.uint64) for k in rows["plain"].to_pylist()]
+        plain = [k and np.frombuffer(k, np.uint32) for k in rows["plain"].to_pylist()]
         classes, found = _Classes(), []
         for at in range(0, len(left), 128):
             some = left[at:at + 128]
@@ -362,20 +361,10 @@ def _with(node: str, other: str, rows: DataFrame) -> DataFrame:
 
 def _unsettled(rows: DataFrame, comp: DataFrame) -> DataFrame:
     """The rows (key, node, size) of the buckets whose nodes are of several classes
-    so far, with each node's class and a node of the first and of the last class."""
+    so far, with each node's class."""
     rows = cut(rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    named = F.struct(F.col("comp").alias("c"), F.col("node").alias("n"))
-    stats = cut(rows.groupBy("key").agg(F.min(named).alias("low"), F.max(named).alias("high")).where("low.c < high.c"))
-    return cut(rows.join(stats, "key"))
-
-
-def _one_each(rows: DataFrame, tried: DataFrame) -> DataFrame:
-    """One untried pair a node at most, with a node of another class in one of its
-    unsettled buckets."""
-    other = F.when(F.col("comp") != F.col("low.c"), F.col("low.n")).otherwise(F.col("high.n"))
-    asked = rows.select("node", other.alias("other")).join(tried, "node").where("other <> lead") \
-        .groupBy("node").agg(F.min("other").alias("other"))
-    return _with("node", "other", asked)
+    several = cut(rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key"))
+    return cut(rows.join(several, "key"))
 
 
 def _small_pairs(rows: DataFrame) -> DataFrame:
@@ -407,8 +396,8 @@ def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFr
         F.xxhash64(F.col("entries")[i], F.col("entries")[j]).bitwiseAND(~63).bitwiseOR(band)
         for band, (i, j) in enumerate(BANDS)])).alias("key"))
     live = _buckets(rows)
-    tried = cut(live.groupBy("node").agg(F.min("lead").alias("lead")))
-    texts = cut(texts_of(tried.select("node")))   # one shuffle of the texts, for those that can have a link
+    leaders = cut(live.groupBy("node").agg(F.min("lead").alias("lead")))
+    texts = cut(texts_of(leaders.select("node")))   # one shuffle of the texts, for those that can have a link
     common = F.size(F.filter(F.zip_with("ea", "eb", lambda x, y: x == y), lambda same: same))
 
     def agreeing(pairs: DataFrame) -> DataFrame:
@@ -422,18 +411,14 @@ def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFr
                    .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
                    .mapInArrow(_verify(threshold), "a long, b long"))
 
-    def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
-        return cut(components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links)))
-
-    comp = cut(components(linked(agreeing(_with("node", "lead", tried)))))
+    comp = cut(components(linked(_with("node", "lead", leaders))))
     unsettled = _unsettled(live.select("key", "node", "size"), comp)
     if unsettled.isEmpty():
         return comp
-    comp = joined(comp, linked(agreeing(_one_each(unsettled, tried))))
-    unsettled = _unsettled(unsettled.select("key", "node", "size"), comp)
     rest = cut(_rest(unsettled, texts, threshold))
-    pairs = agreeing(_small_pairs(unsettled)).unionByName(rest.where("NOT sure").select("a", "b"))
-    return joined(comp, linked(pairs).unionByName(rest.where("sure").select("a", "b")))
+    pairs = agreeing(_small_pairs(unsettled).unionByName(rest.where("NOT sure").select("a", "b")))
+    return components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b"))
+                      .unionByName(linked(pairs)).unionByName(rest.where("sure").select("a", "b")))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

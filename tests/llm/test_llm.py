@@ -400,7 +400,7 @@ def test_block_pairs_equal_all_pairs(short):
     rows = pa.table({"node": range(60), "comp": range(60), "block": [i % 2 for i in range(60)],
                      "entries": [(near_dedup.sketch(k) >> np.uint64(32)).astype(np.uint32).tobytes() for k in keys],
                      "signature": [near_dedup.signature(k) for k in keys],
-                     "plain": pa.array([k.tobytes() if len(k) <= short else None for k in plain], pa.binary()),
+                     "plain": pa.array([(k >> np.uint64(32)).astype(np.uint32).tobytes() if len(k) <= short else None for k in plain], pa.binary()),
                      "x": [0] * 60, "y": [1] * 60, "key": [64] * 60})
     out = near_dedup._block_pairs(0.8)(rows)
     got = set(zip(out["a"].to_pylist(), out["b"].to_pylist()))
