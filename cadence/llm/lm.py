@@ -6,15 +6,18 @@ words, of word pairs and of each word's discounted pair mass: an entry of
 level j is inserted j times (entry, 1) ... (entry, j), and is read back by
 probing level after level until one is absent.
 
-Every counted word and pair is held, whatever the corpus. The filter consists
-of shards by the entry's hash, about ``SHARD_TOKENS`` training tokens each,
-built in Spark tasks and sized from the levels they hold. Up to
-``BROADCAST_BYTES`` in all it is broadcast. A larger one stays in the
-shards: slices of the texts send each shard the entries they need, each once,
-and get the levels back, by joins on shard and on slice. The add-one base
-score needs the exact count of every word; frequent words (``WORD_SHARE`` of
-the training tokens, so at most 1 / share words) are broadcast, those of
-rarer words are found by a join of the texts' rare words with the counts.
+Every counted word and pair is held, whatever the corpus. The texts are stored
+as slices of about ``SLICE_TOKENS`` tokens. A slice sends every shard, in one
+row, the keys of its distinct pairs that belong there and how often its training texts
+hold them; this is the only shuffle of pairs. The shard adds up, builds its
+bits (about ``SHARD_TOKENS`` training tokens a shard), probes them for the
+same rows and returns the levels. It also returns how many different pairs
+each first word begins: a word occurs before another token as often as it
+occurs, so this and its count give its pair mass. The same is then done with
+the words, whose shards return the exact counts for the add-one base score too.
+
+Filters of up to ``BROADCAST_BYTES`` in all are broadcast and the slices
+probe them; of larger ones the slices get the shards' answers. Both give the same levels.
 
     P(w)     = q(w) / Z; a word that was never counted has q = 1
     P(w | h) = max(q(h w) - D, 0) / q(h) + (1 - m(h) / q(h)) P(w)
@@ -31,13 +34,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import SPACES, cut, id_crc, text_or_empty
+from cadence.llm.common import SPACES, id_crc, text_or_empty
 from cadence.session import scratch_path
 
-WORD_SHARE = 1e-6
+SLICE_TOKENS = 1_000_000
 SHARD_TOKENS = 1 << 20
 BROADCAST_BYTES = 32 << 20
 BITS_PER_ENTRY = 12
@@ -151,7 +155,7 @@ def _level_values(n: np.ndarray, total: np.ndarray) -> np.ndarray:
     return value
 
 
-def _slices(batch: pa.RecordBatch, most: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def _slices(batch: pa.RecordBatch, most: int = SLICE_TOKENS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """A batch in runs of rows of about ``most`` tokens: the rows, all their
     tokens and each row's token count. Bounds the working arrays."""
     ends = batch.column("tokens").offsets.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -164,13 +168,6 @@ def _slices(batch: pa.RecordBatch, most: int = 400_000) -> Iterator[tuple[pa.Rec
         start = stop
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, tokens, _ in _slices(batch, 2_000_000):
-            word, n = np.unique(tokens, return_counts=True)
-            yield pa.record_batch({"word": pa.array(word), "n": pa.array(n.astype(np.int64))})
-
-
 def _previous(tokens: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     """The token before each token; the end marker before a text's first."""
     before = np.empty_like(tokens)
@@ -180,33 +177,18 @@ def _previous(tokens: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     return before
 
 
-def _look_up(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in ``sorted_keys``, -1 if absent."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
-
-
-def _count_pairs(end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, tokens, lengths in _slices(batch, 2_000_000):
-                p = Probes(*_numbered(tokens, end), lengths)
-                yield pa.record_batch({"first": pa.array(p.kinds[p.first]), "second": pa.array(p.kinds[p.second]),
-                                       "n": pa.array(np.bincount(p.pair, minlength=len(p.first)).astype(np.int64))})
-    return run
-
-
 def _numbered(tokens: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct tokens and the end, and each token's number (the end's is last)."""
-    kinds, at = np.unique(np.append(tokens, end), return_inverse=True)
-    return kinds, at.astype(np.int64)
+    """The distinct tokens and the end, the frequent ones first, and each
+    token's number (the end's is last)."""
+    kinds, at, n = np.unique(np.append(tokens, end), return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return kinds[order], rank[at]
 
 
 class Probes:
-    """The filter entries that some texts need, each once: ``keys`` are the
-    words', their pair masses' and the pairs'."""
+    """The words and pairs of some texts, each once."""
 
     def __init__(self, kinds: np.ndarray, at: np.ndarray, lengths: np.ndarray):
         self.kinds, self.cur = kinds, at[:-1]
@@ -214,15 +196,12 @@ class Probes:
         pair, self.pair = np.unique(self.prev << 32 | self.cur, return_inverse=True)
         self.first, self.second = pair >> 32, pair & (1 << 32) - 1
 
-    def keys(self) -> np.ndarray:
-        words = entry(WORDS, self.kinds)
-        return np.concatenate([words, mass_entry(words), entry(PAIRS, self.kinds[self.first], self.kinds[self.second])])
+    def pair_keys(self) -> np.ndarray:
+        return entry(PAIRS, self.kinds[self.first], self.kinds[self.second])
 
-    def log_probs(self, levels: np.ndarray, values: dict, total: int) -> np.ndarray:
-        """log10 P(token | token before it in its text), given the level of each key."""
-        k = len(self.kinds)
-        q, mass, q2 = (values[tag][np.minimum(part, len(values[tag]) - 1)] for tag, part in
-                       ((WORDS, levels[:k]), (MASS, levels[k:2 * k]), (PAIRS, levels[2 * k:])))
+    def log_probs(self, levels: dict, values: dict, total: int) -> np.ndarray:
+        """log10 P(token | token before it in its text), given the levels of each kind of entry."""
+        q, mass, q2 = (values[tag][np.minimum(levels[tag], len(values[tag]) - 1)] for tag in (WORDS, MASS, PAIRS))
         mass = np.where(q > 0, mass, 0.0)
         p1 = np.where(q > 0, q, 1.0) / (total + 1)
         left = 1 - np.minimum(mass / np.maximum(q, 1e-300), 0.98)
@@ -233,196 +212,266 @@ class Probes:
         return np.log10(np.minimum(p, 1.0))[self.pair]
 
 
-class Model:
-    """What every task gets: the filter (None if it stays in its shards), its
-    level values, the exact counts of the frequent words and the end."""
+def _packed(x: np.ndarray) -> bytes:
+    """Small integers, compressed by bytes of one rank."""
+    return pa.compress(np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
 
-    def __init__(self, bloom, values: dict, total: int, words: np.ndarray, counts: np.ndarray, end: int):
-        self.bloom, self.values, self.total, self.words, self.counts, self.end = bloom, values, total, words, counts, end
 
-    def parts(self) -> tuple:
-        bloom = self.bloom and (self.bloom.bits, self.bloom.size)
-        return bloom, self.values, self.total, self.words, self.counts, self.end
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).ravel().astype(np.int64)
 
-    @classmethod
-    def of(cls, bloom, *rest) -> Model:
-        return cls(bloom and LogFrequencyBloom(*bloom), *rest)
 
+def _stored_slices(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
+    """The texts in slices, stored: ``slice`` (the number of its first row), the
+    rows' ids and flags, token counts, distinct tokens, and the tokens by number."""
+    spark = docs.sparkSession
+    end = spark.range(1).select(F.xxhash64(F.lit(""))).first()[0]
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
+                       F.coalesce(usable, F.lit(False)).alias("train"), token_hashes().alias("tokens"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
-def _most(values: dict) -> int:
-    return max(len(v) for v in values.values()) - 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, tokens, lengths in (x for whole in batches for x in _slices(whole)):
+            kinds, at = _numbered(tokens, end)
+            train = part.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            whole = pa.array([0, part.num_rows], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("rid").slice(0, 1), pa.ListArray.from_arrays(whole, part.column("doc_id")),
+                 pa.ListArray.from_arrays(whole, part.column("held_out")), pa.ListArray.from_arrays(whole, part.column("train")),
+                 pa.ListArray.from_arrays(whole, pa.array(lengths.astype(np.int64))), pa.array([int(lengths[train].sum())], pa.int64()),
+                 pa.array([kinds.tobytes()], pa.binary()), pa.array([_packed(at)], pa.binary())],
+                names=["slice", "doc_id", "held_out", "train", "lengths", "n_train", "kinds", "at"])
+
+    path = scratch_path(spark, "lm-slices")
+    rows.mapInArrow(run, f"slice long, doc_id array<{kind}>, held_out array<boolean>, train array<boolean>, "
+                         "lengths array<long>, n_train long, kinds binary, at binary").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _open(row: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens, numbers, lengths of a stored slice, and for each token if it is trained on."""
+    lengths, train = (np.array(row[c][i].as_py()) for c in ("lengths", "train"))
+    kinds = np.frombuffer(row["kinds"][i].as_py(), np.int64)
+    return kinds, _unpacked(row["at"][i].as_py(), int(lengths.sum()) + 1), lengths, np.repeat(train.astype(bool), lengths)
+
+
+# What a slice sends a shard: keys, their training counts, and for pairs the first words in runs.
+_SENT = "slice long, shard int, keys binary, n binary, first binary, runs binary"
+# What a shard returns: answers to slices, first words with their numbers of pairs for the words' shards, and its own row.
+_RETURNED = ("kind string, slice long, shard int, keys binary, n binary, mass binary, size long, "
+             "held array<long>, total array<double>")
 
 
-def _entry_rows(shards: int):
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of keys by shard, the shards that have any, and where each shard starts."""
+    shard = shard_of(keys, shards).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    start = np.searchsorted(shard[order], np.arange(shards + 1))
+    return order, np.flatnonzero(np.diff(start)), start
+
+
+def _send(shards: int, pairs: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tag, first, second = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tag", "first", "second"))
-            words = entry(WORDS, first)
-            key = np.where(tag == WORDS, words, np.where(tag == MASS, mass_entry(words), entry(PAIRS, first, second)))
-            yield pa.RecordBatch.from_arrays([pa.array(shard_of(key, shards).astype(np.int32)), batch.column("tag"),
-                                              pa.array(key.view(np.int64)), batch.column("x")], names=["shard", "tag", "key", "x"])
+            for i in range(batch.num_rows):
+                kinds, at, lengths, trained = _open(batch, i)
+                if pairs:
+                    p = Probes(kinds, at, lengths)
+                    keys, n, first = p.pair_keys(), np.bincount(p.pair[trained], minlength=len(p.first)), p.first
+                    sent = keys
+                else:
+                    n, first, sent = np.bincount(at[:-1][trained], minlength=len(kinds)), None, kinds
+                    keys = entry(WORDS, kinds)
+                order, some, start = _by_shard(keys, shards)
+                out: dict[str, list] = {c: [] for c in ("keys", "n", "first", "runs")}
+                for k in some:
+                    here = order[start[k]:start[k + 1]]
+                    out["keys"].append(sent[here].tobytes())
+                    out["n"].append(n[here].astype(np.uint32).tobytes())
+                    if pairs:   # pairs are in the order of their first words' numbers
+                        cuts = np.flatnonzero(np.diff(first[here], prepend=-1))
+                        out["first"].append(kinds[first[here][cuts]].tobytes())
+                        out["runs"].append(np.diff(np.append(cuts, len(here))).astype(np.uint32).tobytes())
+                    else:
+                        out["first"].append(None)
+                        out["runs"].append(None)
+                yield pa.record_batch({"slice": pa.array(np.full(len(some), batch["slice"][i].as_py(), np.int64)),
+                                       "shard": pa.array(some.astype(np.int32)),
+                                       **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
     return run
 
 
-def _build_shard(rows: pa.Table) -> pa.Table:
-    """One shard of the filter, and its entries and their sum by (tag, level)."""
-    tag, key, x = (rows[c].to_numpy() for c in ("tag", "key", "x"))
-    levels = np.zeros(len(key), np.int16)
-    for t, least in LEAST.items():
-        levels[tag == t] = quantise(x[tag == t], least)
-    bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64)))
-    bloom.add(key.view(np.uint64), levels)
-    cell = tag.astype(np.int64) * MOST + levels
-    return pa.table({"shard": rows["shard"].slice(0, 1), "size": pa.array(bloom.size.astype(np.int64)),
-                     "bits": pa.array([bloom.bits.tobytes()], pa.binary()),
-                     "held": pa.array([np.bincount(cell, minlength=4 * MOST)], pa.list_(pa.int64())),
-                     "total": pa.array([np.bincount(cell, x, 4 * MOST)], pa.list_(pa.float64()))})
-
-
-def train(docs: DataFrame, usable: Column) -> tuple[Model, DataFrame, int, DataFrame, int, int]:
-    """The model, the filter's shards (``shard, size, bits``) and their number,
-    the exact word counts (``word, n``), their total and their number."""
-    spark = docs.sparkSession
-    texts = docs.where(usable).select(token_hashes().alias("tokens"))
-    counts = cut(texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # At most 1 / WORD_SHARE rows, whatever the corpus.
-    frequent = counts.where(F.col("n") >= total * WORD_SHARE).toPandas().sort_values("word")
-    words, word_n = frequent["word"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)
+def _joined(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' arrays as one, and where each starts and the last ends."""
+    parts = [np.frombuffer(x, kind) for x in column.to_pylist()]
+    return (np.concatenate(parts) if parts else np.zeros(0, kind)), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
 
-    end = spark.range(1).select(F.xxhash64(F.lit(""))).first()[0]
-    path = scratch_path(spark, "lm-pairs")
-    texts.mapInArrow(_count_pairs(end), "first long, second long, n long") \
-        .groupBy("first", "second").agg(F.sum("n").alias("n")).write.parquet(path)
-    pairs = spark.read.parquet(path)
-    mass = pairs.groupBy("first").agg(F.sum(F.col("n") - F.lit(DISCOUNT)).alias("x"))
 
-    def rows(df: DataFrame, tag: int, first: str, second: Column, x: str) -> DataFrame:
-        return df.select(F.lit(tag).alias("tag"), F.col(first).alias("first"), second.alias("second"), F.col(x).cast("double").alias("x"))
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys, the row of each key among them, and their counts."""
+    kept, of = np.unique(keys, return_inverse=True)
+    return kept, of, np.bincount(of, n, len(kept))
+
 
+def _own_row(shard: int, bloom: LogFrequencyBloom, *entries: tuple[int, np.ndarray, np.ndarray]) -> dict:
+    """A shard's bits, and its entries and their sum by (tag, level)."""
+    cell = np.concatenate([tag * MOST + levels.astype(np.int64) for tag, levels, _ in entries])
+    x = np.concatenate([x for _, _, x in entries])
+    return {"kind": "bits", "shard": shard, "keys": bloom.bits.tobytes(), "size": int(bloom.size[0]),
+            "held": np.bincount(cell, minlength=4 * MOST).tolist(), "total": np.bincount(cell, x, 4 * MOST).tolist()}
+
+
+def _returned(rows: list[dict]) -> pa.Table:
+    kinds = {"kind": pa.string(), "slice": pa.int64(), "shard": pa.int32(), "keys": pa.binary(), "n": pa.binary(),
+             "mass": pa.binary(), "size": pa.int64(), "held": pa.list_(pa.int64()), "total": pa.list_(pa.float64())}
+    return pa.table({c: pa.array([r.get(c) for r in rows], t) for c, t in kinds.items()})
+
+
+def _answers(table: pa.Table, starts: np.ndarray, **levels: np.ndarray) -> list[dict]:
+    return [{"kind": "levels", "slice": at, "shard": shard, **{c: x[a:b].tobytes() for c, x in levels.items()}}
+            for at, shard, a, b in zip(table["slice"].to_pylist(), table["shard"].to_pylist(), starts, starts[1:])]
+
+
+def _pair_shard(shards: int):
+    def run(sent: pa.Table) -> pa.Table:
+        keys, starts = _joined(sent["keys"], np.uint64)
+        kept, of, n = _summed(keys, _joined(sent["n"], np.uint32)[0])
+        first = np.repeat(_joined(sent["first"], np.int64)[0], _joined(sent["runs"], np.uint32)[0])
+        first_of = np.empty(len(kept), np.int64)
+        first_of[of] = first
+        held = n > 0
+        levels = quantise(n[held], LEAST[PAIRS])
+        bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64)))
+        bloom.add(kept[held], levels)
+        found = bloom.levels(kept, int(levels.max(initial=0))).astype(np.uint8)
+        words, begun = np.unique(first_of[held], return_counts=True)
+        order, some, start = _by_shard(entry(WORDS, words), shards)
+        fans = [{"kind": "fans", "shard": int(k), "keys": words[here].tobytes(), "n": begun[here].astype(np.uint32).tobytes()}
+                for k in some for here in [order[start[k]:start[k + 1]]]]
+        own = _own_row(sent["shard"][0].as_py(), bloom, (PAIRS, levels, n[held]))
+        return _returned([own, *fans, *_answers(sent, starts, keys=found[of])])
+    return run
+
+
+def _word_shard(sent: pa.Table) -> pa.Table:
+    fans = sent.filter(pa.compute.is_null(sent["slice"]))
+    sent = sent.filter(pa.compute.is_valid(sent["slice"]))
+    words, starts = _joined(sent["keys"], np.int64)
+    kept, of, n = _summed(words, _joined(sent["n"], np.uint32)[0])
+    begun = np.zeros(len(kept))
+    np.add.at(begun, np.searchsorted(kept, _joined(fans["keys"], np.int64)[0]), _joined(fans["n"], np.uint32)[0])
+    held = n > 0
+    keys, mass = entry(WORDS, kept), n - DISCOUNT * begun
+    levels, mass_levels = quantise(n[held], LEAST[WORDS]), quantise(mass[held], LEAST[MASS])
+    bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64) + mass_levels.sum(dtype=np.int64)))
+    bloom.add(keys[held], levels)
+    bloom.add(mass_entry(keys[held]), mass_levels)
+    most = int(max(levels.max(initial=0), mass_levels.max(initial=0)))
+    found, found_mass = (bloom.levels(k, most).astype(np.uint8)[of] for k in (keys, mass_entry(keys)))
+    own = _own_row(sent["shard"][0].as_py(), bloom, (WORDS, levels, n[held]), (MASS, mass_levels, mass[held]))
+    return _returned([own, *_answers(sent, starts, keys=found, mass=found_mass, n=n.astype(np.int64)[of])])
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+class Model:
+    """What every task gets: the level values, totals, and the filters of words
+    and of pairs (None if they stay in their shards)."""
+
+    def __init__(self, values: dict, total: int, kinds: int, blooms: list | None):
+        self.values, self.total, self.kinds, self.blooms = values, total, kinds, blooms
+
+    def filters(self) -> list[LogFrequencyBloom] | None:
+        return self.blooms and [LogFrequencyBloom(*parts) for parts in self.blooms]
+
+    def most(self) -> int:
+        return max(len(v) for v in self.values.values()) - 1
+
+
+def train(slices: DataFrame) -> tuple[Model, DataFrame, DataFrame, int]:
+    """The model, the shards' answers on words and on pairs, and the number of shards."""
+    total = slices.agg(F.coalesce(F.sum("n_train"), F.lit(0))).first()[0]
     shards = -(-total // SHARD_TOKENS) or 1   # there are at most as many pairs as tokens
-    held = rows(pairs, PAIRS, "first", F.col("second"), "n").unionByName(rows(counts, WORDS, "word", F.lit(0).cast("long"), "n")) \
-        .unionByName(rows(mass, MASS, "first", F.lit(0).cast("long"), "x"))
-    built = cut(held.mapInArrow(_entry_rows(shards), "shard int, tag int, key long, x double").groupBy("shard")
-                .applyInArrow(_build_shard, "shard int, size long, bits binary, held array<long>, total array<double>"))
-    n, sums = np.zeros(4 * MOST), np.zeros(4 * MOST)
-    for cell in built.select(F.posexplode(F.arrays_zip("held", "total")).alias("at", "c")).groupBy("at") \
+    pairs = _stored(slices.mapInArrow(_send(shards, True), _SENT).groupBy("shard")
+                    .applyInArrow(_pair_shard(shards), _RETURNED), "lm-pairs")
+    none = F.lit(None)
+    fans = pairs.where("kind = 'fans'").select(
+        "slice", "shard", "keys", "n", none.cast("binary").alias("first"), none.cast("binary").alias("runs"))
+    words = _stored(slices.mapInArrow(_send(shards, False), _SENT).unionByName(fans).groupBy("shard")
+                    .applyInArrow(_word_shard, _RETURNED), "lm-words")
+
+    own = [df.where("kind = 'bits'") for df in (words, pairs)]
+    n, sums, values = np.zeros(4 * MOST), np.zeros(4 * MOST), {}
+    # 1,024 sums, whatever the corpus.
+    for cell in own[0].unionByName(own[1]).select(F.posexplode(F.arrays_zip("held", "total")).alias("at", "c")).groupBy("at") \
             .agg(F.sum("c.held").alias("n"), F.sum("c.total").alias("s")).where("n > 0").collect():
         n[cell["at"]], sums[cell["at"]] = cell["n"], cell["s"]
-    values = {}
     for tag in LEAST:
         in_tag = n[tag * MOST:(tag + 1) * MOST]
         most = int(np.flatnonzero(in_tag).max(initial=0)) + 1
         values[tag] = _level_values(in_tag[:most], sums[tag * MOST:tag * MOST + most])
-    bloom = None
-    if (built.agg(F.sum(F.length("bits"))).first()[0] or 0) <= BROADCAST_BYTES:
-        parts = {r["shard"]: r for r in built.select("shard", "size", "bits").collect()}
-        sizes = np.array([parts[k]["size"] if k in parts else 64 for k in range(shards)], np.uint64)
-        bits = b"".join(bytes(parts[k]["bits"]) if k in parts else bytes(8) for k in range(shards))
-        bloom = LogFrequencyBloom(np.frombuffer(bits, np.uint8), sizes)
-    return Model(bloom, values, total, words, word_n, end), built.select("shard", "size", "bits"), shards, counts, total, kinds
-
-
-def _sharded(slices: DataFrame, built: DataFrame, shards: int, values: dict, total: int) -> DataFrame:
-    """``rid, score`` of the texts of ``slices``: each slice sends every shard
-    the entries it needs, and is scored when it has their levels."""
-    shipped = slices.sparkSession.sparkContext.broadcast(values)
-
-    def probes(columns, i: int) -> tuple[Probes, np.ndarray, np.ndarray]:
-        """The slice's probes, their order by shard and where each shard starts."""
-        kinds, at, lengths = (columns[c][i].values.to_numpy(zero_copy_only=False).astype(np.int64)
-                              for c in ("kinds", "at", "lengths"))
-        p = Probes(kinds, at, lengths)
-        shard = shard_of(p.keys(), shards).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        return p, order, np.searchsorted(shard[order], np.arange(shards + 1))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                p, order, start = probes(batch, i)
-                keys = p.keys()[order]
-                asked = np.flatnonzero(np.diff(start))
-                yield pa.record_batch({
-                    "slice": pa.array(np.full(len(asked), batch["slice"][i].as_py(), np.int64)),
-                    "shard": pa.array(asked.astype(np.int32)),
-                    "keys": pa.array([keys[start[k]:start[k + 1]].tobytes() for k in asked], pa.binary())})
-
-    def read(shard: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        if asked.num_rows and shard.num_rows:
-            bloom = LogFrequencyBloom(np.frombuffer(shard["bits"][0].as_py(), np.uint8), shard["size"][0].as_py())
-        for keys in asked["keys"].to_pylist():
-            keys = np.frombuffer(keys, np.uint64)
-            levels = bloom.levels(keys, _most(shipped.value)) if shard.num_rows else np.zeros(len(keys))
-            found.append(levels.astype(np.uint8).tobytes())
-        return pa.table({"slice": asked["slice"], "shard": asked["shard"], "levels": pa.array(found, pa.binary())})
-
-    def finish(one: pa.Table, answers: pa.Table) -> pa.Table:
-        answers = answers.sort_by("shard")
-        rids = one["rids"][0].values.to_numpy()
-        lengths = one["lengths"][0].values.to_numpy()
-        p, order, _ = probes(one, 0)
-        levels = np.empty(len(order), np.int64)
-        levels[order] = np.frombuffer(b"".join(answers["levels"].to_pylist()), np.uint8)
-        lm = np.bincount(np.repeat(np.arange(len(lengths)), lengths), p.log_probs(levels, shipped.value, total), len(lengths))
-        return pa.table({"rid": rids, "score": lm})
-
-    asked = slices.mapInArrow(ask, "slice long, shard int, keys binary")
-    answers = built.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(read, "slice long, shard int, levels binary")
-    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(finish, "rid long, score double")
+    blooms = None
+    if sum(df.agg(F.sum(F.length("keys"))).first()[0] or 0 for df in own) <= BROADCAST_BYTES:
+        blooms = []
+        for df in own:
+            parts = {r["shard"]: r for r in df.select("shard", "size", "keys").collect()}
+            blooms.append((np.frombuffer(b"".join(bytes(parts[k]["keys"]) if k in parts else bytes(8) for k in range(shards)), np.uint8),
+                           np.array([parts[k]["size"] if k in parts else 64 for k in range(shards)], np.uint64)))
+    model = Model(values, total, int(n[WORDS * MOST:(WORDS + 1) * MOST].sum()), blooms)
+    return model, *(df.where("kind = 'levels'").drop("kind", "size", "held", "total") for df in (words, pairs)), shards
 
 
 def score(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
-    model, built, shards, counts, total, kinds = train(docs, usable)
-    shipped = docs.sparkSession.sparkContext.broadcast(model.parts())
-    rows = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
-                       F.monotonically_increasing_id().alias("rid"), token_hashes().alias("tokens"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    one = pa.struct([("slice", pa.int64()), ("rids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
-                     ("kinds", pa.list_(pa.int64())), ("at", pa.list_(pa.int32()))])
+    slices = _stored_slices(docs, usable, held_out)
+    model, words, pairs, shards = train(slices)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    answers = words.withColumn("tag", F.lit(WORDS))
+    if model.blooms is None:
+        answers = answers.unionByName(pairs.withColumn("tag", F.lit(PAIRS)))
+
+    def put_back(column: pa.ChunkedArray, keys: np.ndarray, of: type) -> np.ndarray:
+        """The shards' answers, in order of the shards, in the order of the keys."""
+        out = np.empty(len(keys), np.int64)
+        out[_by_shard(keys, shards)[0]] = np.frombuffer(b"".join(column.to_pylist()), of)
+        return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model.of(*shipped.value)
-        for batch, tokens, lengths in (part for whole in batches for part in _slices(whole)):
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            at = _look_up(m.words, tokens)
-            known = at >= 0
-            base = np.bincount(owner[known], np.log10(m.counts[at[known]] + 1.0), len(lengths))
-            rare = np.concatenate([[0], np.cumsum(np.bincount(owner[~known], minlength=len(lengths)))])
-            kinds, numbers = _numbered(tokens, m.end)
-            lm, sent = np.zeros(len(lengths)), [None] * len(lengths)
-            if m.bloom:
-                p = Probes(kinds, numbers, lengths)
-                lm = np.bincount(owner, p.log_probs(m.bloom.levels(p.keys(), _most(m.values)), m.values, m.total), len(lengths))
-            else:   # the slice goes with its first text
-                rids = batch.column("rid").to_numpy(zero_copy_only=False)
-                sent[0] = {"slice": rids[0], "rids": rids, "lengths": lengths.astype(np.int32), "kinds": kinds,
-                           "at": numbers.astype(np.int32)}
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), batch.column("rid"),
-                 pa.array(lengths.astype(np.int64)), pa.array(np.bincount(owner[known], minlength=len(lengths)).astype(np.int64)),
-                 pa.array(base), pa.array(lm),
-                 pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array(tokens[~known])), pa.array(sent, one)],
-                names=["doc_id", "held_out", "rid", "n_tokens", "n_known", "base", "score", "rare", "sent"])
-
-    scored = cut(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, rid long, n_tokens long, n_known long, "
-                                      "base double, score double, rare array<long>, sent struct<slice: long, rids: array<long>, "
-                                      "lengths: array<int>, kinds: array<long>, at: array<int>>"))
-    rare = (scored.select("rid", F.explode("rare").alias("word")).join(counts, "word")
-            .groupBy("rid").agg(F.count(F.lit(1)).alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_base")))
-    texts = scored.drop("rare", "sent")
-    if model.bloom is None:
-        texts = texts.drop("score").join(
-            _sharded(scored.where("sent IS NOT NULL").select("sent.*"), built, shards, model.values, total), "rid")
-    per_token = float(np.log10(total + kinds + 1))
-    return texts.join(rare, "rid", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(per_token)).alias("base_score"),
-        "score")
+    def finish(one: pa.Table, answered: pa.Table) -> pa.Table:
+        m = shipped.value
+        kinds, at, lengths, _ = _open(one, 0)
+        p, answered = Probes(kinds, at, lengths), answered.sort_by("shard")
+        word_keys, pair_keys = entry(WORDS, kinds), p.pair_keys()
+        from_words = answered.filter(pa.compute.equal(answered["tag"], WORDS))
+        counts = put_back(from_words["n"], word_keys, np.int64)
+        if m.blooms:
+            of_words, of_pairs = m.filters()
+            levels = {WORDS: of_words.levels(word_keys, m.most()), MASS: of_words.levels(mass_entry(word_keys), m.most()),
+                      PAIRS: of_pairs.levels(pair_keys, m.most())}
+        else:
+            from_pairs = answered.filter(pa.compute.equal(answered["tag"], PAIRS))
+            levels = {WORDS: put_back(from_words["keys"], word_keys, np.uint8), MASS: put_back(from_words["mass"], word_keys, np.uint8),
+                      PAIRS: put_back(from_pairs["keys"], pair_keys, np.uint8)}
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        count = counts[p.cur]
+
+        def per_text(x: np.ndarray) -> np.ndarray:
+            return np.bincount(owner, x, len(lengths))
+
+        return pa.table({
+            "doc_id": one["doc_id"].combine_chunks().flatten(), "held_out": one["held_out"].combine_chunks().flatten(),
+            "n_tokens": pa.array(lengths.astype(np.int64)), "n_known": pa.array(per_text(count > 0).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(lengths), m.total, np.int64)),
+            "base_score": pa.array(per_text(np.log10(count + 1.0)) - lengths * np.log10(m.total + m.kinds + 1)),
+            "score": pa.array(per_text(p.log_probs(levels, m.values, m.total)))})
+
+    return slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(
+        finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
