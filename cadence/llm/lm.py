@@ -6,18 +6,22 @@ words, of word pairs and of each word's discounted pair mass: an entry of
 level j is inserted j times (entry, 1) ... (entry, j), and is read back by
 probing level after level until one is absent.
 
-Every counted word and pair is held, whatever the corpus. The texts are stored
-as slices of about ``SLICE_TOKENS`` tokens. A slice sends every shard, in one
-row, the keys of its distinct pairs that belong there and how often its training texts
-hold them; this is the only shuffle of pairs. The shard adds up, builds its
-bits (about ``SHARD_TOKENS`` training tokens a shard), probes them for the
-same rows and returns the levels. It also returns how many different pairs
-each first word begins: a word occurs before another token as often as it
-occurs, so this and its count give its pair mass. The same is then done with
-the words, whose shards return the exact counts for the add-one base score too.
-
-Filters of up to ``BROADCAST_BYTES`` in all are broadcast and the slices
-probe them; of larger ones the slices get the shards' answers. Both give the same levels.
+Every counted word and pair is held, whatever the corpus. The texts become
+slices of about ``SLICE_TOKENS`` tokens, kept in a checkpoint that is partitioned by slice.
+A slice sends every shard, in one row, the keys of its distinct pairs that
+belong there and how often its training texts hold them; this is the only
+shuffle of pairs. The shard adds up, builds its bits (about ``SHARD_TOKENS``
+training tokens a shard), probes them for the same rows and returns the
+levels. Of the slices whose training texts hold a pair, it names one owner: the
+pairs that a slice owns, by first word, sum up to the different pairs that the word
+begins. A word stands before another token as often as it occurs, so this and its
+count give its pair mass. The slices then send the words in the same way, whose
+shards return the exact counts for the add-one base score too.
+
+Pair keys have 40 bits within a shard: two of a shard's million or so pairs share one about as
+often as once a shard, far below the filter's false positives. Filters of up
+to ``BROADCAST_BYTES`` in all are broadcast and the slices probe them; of
+larger ones the slices get the shards' answers. Both give the same levels.
 
     P(w)     = q(w) / Z; a word that was never counted has q = 1
     P(w | h) = max(q(h w) - D, 0) / q(h) + (1 - m(h) / q(h)) P(w)
@@ -38,7 +42,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import SPACES, id_crc, text_or_empty
+from cadence.llm.common import SPACES, cut, id_crc, text_or_empty
 from cadence.session import scratch_path
 
 SLICE_TOKENS = 1_000_000
@@ -50,8 +54,9 @@ LEVELS_PER_OCTAVE = 2
 DISCOUNT = 0.75
 WORDS, PAIRS, MASS = 1, 2, 3
 LEAST = {WORDS: 1.0, PAIRS: 1.0, MASS: 1 - DISCOUNT}
-MOST = 256   # levels fit in a byte
+MOST = OWNED = 128   # levels fit in seven bits, the eighth marks owned pairs
 _SHARD_BIT = np.uint64(40)
+_IN_SHARD = np.uint64((1 << 40) - 1)
 
 
 def token_hashes(text: str = "text") -> Column:
@@ -78,8 +83,7 @@ def entry(tag: int, first: np.ndarray, second: np.ndarray | None = None) -> np.n
 
 def mass_entry(word_keys: np.ndarray) -> np.ndarray:
     """Key of a word's pair mass, in the shard of the word's own key."""
-    low = np.uint64((1 << 40) - 1)
-    return word_keys & ~low | _mix(word_keys + np.uint64(MASS)) & low
+    return word_keys & ~_IN_SHARD | _mix(word_keys + np.uint64(MASS)) & _IN_SHARD
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -196,8 +200,10 @@ class Probes:
         pair, self.pair = np.unique(self.prev << 32 | self.cur, return_inverse=True)
         self.first, self.second = pair >> 32, pair & (1 << 32) - 1
 
-    def pair_keys(self) -> np.ndarray:
-        return entry(PAIRS, self.kinds[self.first], self.kinds[self.second])
+    def pair_keys(self, shards: int) -> np.ndarray:
+        """Each pair's shard and 40 bits within it."""
+        keys = entry(PAIRS, self.kinds[self.first], self.kinds[self.second])
+        return shard_of(keys, shards) << _SHARD_BIT | keys & _IN_SHARD
 
     def log_probs(self, levels: dict, values: dict, total: int) -> np.ndarray:
         """log10 P(token | token before it in its text), given the levels of each kind of entry."""
@@ -212,19 +218,32 @@ class Probes:
         return np.log10(np.minimum(p, 1.0))[self.pair]
 
 
-def _packed(x: np.ndarray) -> bytes:
-    """Small integers, compressed by bytes of one rank."""
-    return pa.compress(np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+def _packed(x: np.ndarray, kind: type = np.uint32) -> bytes:
+    """Mostly small integers, compressed by bytes of one rank."""
+    planes = x.astype(kind).view(np.uint8).reshape(len(x), -1).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
 
 
-def _unpacked(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view(np.uint32).ravel().astype(np.int64)
+def _unpacked(data: bytes, n: int, kind: type = np.uint32) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(data, width * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).ravel().astype(np.int64)
+
+
+def _short(keys: np.ndarray) -> bytes:
+    """The 40 bits of each key within its shard."""
+    return (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (keys >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def _long(data: bytes, shard: int) -> np.ndarray:
+    n = len(data) // 5
+    high = np.frombuffer(data, np.uint8, n, 4 * n).astype(np.uint64) | np.uint64(shard << 8)
+    return high << np.uint64(32) | np.frombuffer(data, np.uint32, n)
 
 
 def _stored_slices(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
-    """The texts in slices, stored: ``slice`` (the number of its first row), the
-    rows' ids and flags, token counts, distinct tokens, and the tokens by number."""
+    """The texts in slices, stored and partitioned by slice: ``slice`` (the number of its first
+    row), the rows' ids and flags, token counts, distinct tokens, and the tokens by number."""
     spark = docs.sparkSession
     end = spark.range(1).select(F.xxhash64(F.lit(""))).first()[0]
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"),
@@ -243,10 +262,9 @@ def _stored_slices(docs: DataFrame, usable: Column, held_out: Column) -> DataFra
                  pa.array([kinds.tobytes()], pa.binary()), pa.array([_packed(at)], pa.binary())],
                 names=["slice", "doc_id", "held_out", "train", "lengths", "n_train", "kinds", "at"])
 
-    path = scratch_path(spark, "lm-slices")
-    rows.mapInArrow(run, f"slice long, doc_id array<{kind}>, held_out array<boolean>, train array<boolean>, "
-                         "lengths array<long>, n_train long, kinds binary, at binary").write.parquet(path)
-    return spark.read.parquet(path)
+    slices = rows.mapInArrow(run, f"slice long, doc_id array<{kind}>, held_out array<boolean>, train array<boolean>, "
+                                  "lengths array<long>, n_train long, kinds binary, at binary")
+    return cut(slices.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "slice"))
 
 
 def _open(row: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -256,10 +274,10 @@ def _open(row: pa.RecordBatch | pa.Table, i: int) -> tuple[np.ndarray, np.ndarra
     return kinds, _unpacked(row["at"][i].as_py(), int(lengths.sum()) + 1), lengths, np.repeat(train.astype(bool), lengths)
 
 
-# What a slice sends a shard: keys, their training counts, and for pairs the first words in runs.
-_SENT = "slice long, shard int, keys binary, n binary, first binary, runs binary"
-# What a shard returns: answers to slices, first words with their numbers of pairs for the words' shards, and its own row.
-_RETURNED = ("kind string, slice long, shard int, keys binary, n binary, mass binary, size long, "
+# What a slice sends a shard: keys, their training counts, and for words the owned pairs that they begin.
+_SENT = "slice long, shard int, keys binary, n binary, begun binary"
+# What a shard returns: levels to slices (and exact counts of words), and its own row.
+_RETURNED = ("slice long, shard int, levels binary, mass binary, n binary, size long, bits binary, "
              "held array<long>, total array<double>")
 
 
@@ -271,106 +289,101 @@ def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np
     return order, np.flatnonzero(np.diff(start)), start
 
 
-def _send(shards: int, pairs: bool):
+def _put_back(column: pa.ChunkedArray, keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shards' answers, in order of the shards, in the order of the keys."""
+    out = np.empty(len(keys), np.uint8)
+    out[_by_shard(keys, shards)[0]] = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    return out
+
+
+def _send_pairs(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 kinds, at, lengths, trained = _open(batch, i)
-                if pairs:
-                    p = Probes(kinds, at, lengths)
-                    keys, n, first = p.pair_keys(), np.bincount(p.pair[trained], minlength=len(p.first)), p.first
-                    sent = keys
-                else:
-                    n, first, sent = np.bincount(at[:-1][trained], minlength=len(kinds)), None, kinds
-                    keys = entry(WORDS, kinds)
+                p = Probes(kinds, at, lengths)
+                keys, n = p.pair_keys(shards), np.bincount(p.pair[trained], minlength=len(p.first))
                 order, some, start = _by_shard(keys, shards)
-                out: dict[str, list] = {c: [] for c in ("keys", "n", "first", "runs")}
-                for k in some:
-                    here = order[start[k]:start[k + 1]]
-                    out["keys"].append(sent[here].tobytes())
-                    out["n"].append(n[here].astype(np.uint32).tobytes())
-                    if pairs:   # pairs are in the order of their first words' numbers
-                        cuts = np.flatnonzero(np.diff(first[here], prepend=-1))
-                        out["first"].append(kinds[first[here][cuts]].tobytes())
-                        out["runs"].append(np.diff(np.append(cuts, len(here))).astype(np.uint32).tobytes())
-                    else:
-                        out["first"].append(None)
-                        out["runs"].append(None)
-                yield pa.record_batch({"slice": pa.array(np.full(len(some), batch["slice"][i].as_py(), np.int64)),
-                                       "shard": pa.array(some.astype(np.int32)),
-                                       **{c: pa.array(x, pa.binary()) for c, x in out.items()}})
+                parts = [order[start[k]:start[k + 1]] for k in some]
+                yield pa.record_batch({
+                    "slice": pa.array(np.full(len(some), batch["slice"][i].as_py(), np.int64)), "shard": pa.array(some.astype(np.int32)),
+                    "keys": pa.array([_short(keys[here]) for here in parts], pa.binary()),
+                    "n": pa.array([_packed(n[here]) for here in parts], pa.binary()), "begun": pa.nulls(len(some), pa.binary())})
     return run
 
 
-def _joined(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """All rows' arrays as one, and where each starts and the last ends."""
-    parts = [np.frombuffer(x, kind) for x in column.to_pylist()]
-    return (np.concatenate(parts) if parts else np.zeros(0, kind)), np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
-
-
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys, the row of each key among them, and their counts."""
-    kept, of = np.unique(keys, return_inverse=True)
-    return kept, of, np.bincount(of, n, len(kept))
+def _send_words(shards: int):
+    def run(one: pa.Table, answered: pa.Table) -> pa.Table:
+        kinds, at, lengths, trained = _open(one, 0)
+        p = Probes(kinds, at, lengths)
+        owned = _put_back(answered.sort_by("shard")["levels"], p.pair_keys(shards), shards) >= OWNED
+        n, begun = np.bincount(p.cur[trained], minlength=len(kinds)), np.bincount(p.first[owned], minlength=len(kinds))
+        order, some, start = _by_shard(entry(WORDS, kinds), shards)
+        parts = [order[start[k]:start[k + 1]] for k in some]
+        return pa.table({
+            "slice": pa.array(np.full(len(some), one["slice"][0].as_py(), np.int64)), "shard": pa.array(some.astype(np.int32)),
+            "keys": pa.array([kinds[here].tobytes() for here in parts], pa.binary()),
+            "n": pa.array([_packed(n[here]) for here in parts], pa.binary()),
+            "begun": pa.array([_packed(begun[here]) for here in parts], pa.binary())})
+    return run
 
 
-def _own_row(shard: int, bloom: LogFrequencyBloom, *entries: tuple[int, np.ndarray, np.ndarray]) -> dict:
-    """A shard's bits, and its entries and their sum by (tag, level)."""
+def _own_row(shard: int, bloom: LogFrequencyBloom, most_bytes: float, *entries: tuple[int, np.ndarray, np.ndarray]) -> dict:
+    """A shard's entries and their sum by (tag, level), and its bits if the filter may be small enough to broadcast."""
     cell = np.concatenate([tag * MOST + levels.astype(np.int64) for tag, levels, _ in entries])
     x = np.concatenate([x for _, _, x in entries])
-    return {"kind": "bits", "shard": shard, "keys": bloom.bits.tobytes(), "size": int(bloom.size[0]),
+    return {"shard": shard, "size": int(bloom.size[0]), "bits": bloom.bits.tobytes() if len(bloom.bits) <= most_bytes else None,
             "held": np.bincount(cell, minlength=4 * MOST).tolist(), "total": np.bincount(cell, x, 4 * MOST).tolist()}
 
 
 def _returned(rows: list[dict]) -> pa.Table:
-    kinds = {"kind": pa.string(), "slice": pa.int64(), "shard": pa.int32(), "keys": pa.binary(), "n": pa.binary(),
-             "mass": pa.binary(), "size": pa.int64(), "held": pa.list_(pa.int64()), "total": pa.list_(pa.float64())}
+    kinds = {"slice": pa.int64(), "shard": pa.int32(), "levels": pa.binary(), "mass": pa.binary(), "n": pa.binary(),
+             "size": pa.int64(), "bits": pa.binary(), "held": pa.list_(pa.int64()), "total": pa.list_(pa.float64())}
     return pa.table({c: pa.array([r.get(c) for r in rows], t) for c, t in kinds.items()})
 
 
-def _answers(table: pa.Table, starts: np.ndarray, **levels: np.ndarray) -> list[dict]:
-    return [{"kind": "levels", "slice": at, "shard": shard, **{c: x[a:b].tobytes() for c, x in levels.items()}}
-            for at, shard, a, b in zip(table["slice"].to_pylist(), table["shard"].to_pylist(), starts, starts[1:])]
+def _counted(sent: pa.Table, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[slice]]:
+    """Of all rows' keys: the distinct ones, the place of each key among them, their counts,
+    the count of each key in its row, and where each row is."""
+    ends = np.cumsum([len(k) for k in keys]).tolist()
+    here = np.concatenate([_unpacked(n, len(k)) for n, k in zip(sent["n"].to_pylist(), keys)])
+    kept, of = np.unique(np.concatenate(keys), return_inverse=True)
+    return kept, of, np.bincount(of, here, len(kept)), here, [slice(a, b) for a, b in zip([0, *ends], ends)]
 
 
-def _pair_shard(shards: int):
+def _pair_shard(most_bytes: float):
     def run(sent: pa.Table) -> pa.Table:
-        keys, starts = _joined(sent["keys"], np.uint64)
-        kept, of, n = _summed(keys, _joined(sent["n"], np.uint32)[0])
-        first = np.repeat(_joined(sent["first"], np.int64)[0], _joined(sent["runs"], np.uint32)[0])
-        first_of = np.empty(len(kept), np.int64)
-        first_of[of] = first
+        shard = sent["shard"][0].as_py()
+        kept, of, n, here, rows = _counted(sent, [_long(k, shard) for k in sent["keys"].to_pylist()])
         held = n > 0
         levels = quantise(n[held], LEAST[PAIRS])
         bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64)))
         bloom.add(kept[held], levels)
-        found = bloom.levels(kept, int(levels.max(initial=0))).astype(np.uint8)
-        words, begun = np.unique(first_of[held], return_counts=True)
-        order, some, start = _by_shard(entry(WORDS, words), shards)
-        fans = [{"kind": "fans", "shard": int(k), "keys": words[here].tobytes(), "n": begun[here].astype(np.uint32).tobytes()}
-                for k in some for here in [order[start[k]:start[k + 1]]]]
-        own = _own_row(sent["shard"][0].as_py(), bloom, (PAIRS, levels, n[held]))
-        return _returned([own, *fans, *_answers(sent, starts, keys=found[of])])
+        found = bloom.levels(kept, int(levels.max(initial=0))).astype(np.uint8)[of]
+        trained = np.flatnonzero(here)
+        found[trained[np.unique(of[trained], return_index=True)[1]]] |= np.uint8(OWNED)
+        return _returned([_own_row(shard, bloom, most_bytes, (PAIRS, levels, n[held])),
+                          *({"slice": at, "shard": shard, "levels": found[row].tobytes()} for at, row in zip(sent["slice"].to_pylist(), rows))])
     return run
 
 
-def _word_shard(sent: pa.Table) -> pa.Table:
-    fans = sent.filter(pa.compute.is_null(sent["slice"]))
-    sent = sent.filter(pa.compute.is_valid(sent["slice"]))
-    words, starts = _joined(sent["keys"], np.int64)
-    kept, of, n = _summed(words, _joined(sent["n"], np.uint32)[0])
-    begun = np.zeros(len(kept))
-    np.add.at(begun, np.searchsorted(kept, _joined(fans["keys"], np.int64)[0]), _joined(fans["n"], np.uint32)[0])
-    held = n > 0
-    keys, mass = entry(WORDS, kept), n - DISCOUNT * begun
-    levels, mass_levels = quantise(n[held], LEAST[WORDS]), quantise(mass[held], LEAST[MASS])
-    bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64) + mass_levels.sum(dtype=np.int64)))
-    bloom.add(keys[held], levels)
-    bloom.add(mass_entry(keys[held]), mass_levels)
-    most = int(max(levels.max(initial=0), mass_levels.max(initial=0)))
-    found, found_mass = (bloom.levels(k, most).astype(np.uint8)[of] for k in (keys, mass_entry(keys)))
-    own = _own_row(sent["shard"][0].as_py(), bloom, (WORDS, levels, n[held]), (MASS, mass_levels, mass[held]))
-    return _returned([own, *_answers(sent, starts, keys=found, mass=found_mass, n=n.astype(np.int64)[of])])
+def _word_shard(most_bytes: float):
+    def run(sent: pa.Table) -> pa.Table:
+        shard = sent["shard"][0].as_py()
+        kept, of, n, here, rows = _counted(sent, [np.frombuffer(k, np.int64) for k in sent["keys"].to_pylist()])
+        begun = np.concatenate([_unpacked(b, r.stop - r.start) for b, r in zip(sent["begun"].to_pylist(), rows)])
+        held = n > 0
+        keys, mass = entry(WORDS, kept), n - DISCOUNT * np.bincount(of, begun, len(kept))
+        levels, mass_levels = quantise(n[held], LEAST[WORDS]), quantise(mass[held], LEAST[MASS])
+        bloom = LogFrequencyBloom.empty(int(levels.sum(dtype=np.int64) + mass_levels.sum(dtype=np.int64)))
+        bloom.add(keys[held], levels)
+        bloom.add(mass_entry(keys[held]), mass_levels)
+        most = int(max(levels.max(initial=0), mass_levels.max(initial=0)))
+        found, found_mass = (bloom.levels(k, most).astype(np.uint8)[of] for k in (keys, mass_entry(keys)))
+        return _returned([_own_row(shard, bloom, most_bytes, (WORDS, levels, n[held]), (MASS, mass_levels, mass[held])),
+                          *({"slice": at, "shard": shard, "levels": found[row].tobytes(), "mass": found_mass[row].tobytes(),
+                             "n": _packed(n[of[row]], np.int64)} for at, row in zip(sent["slice"].to_pylist(), rows))])
+    return run
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
@@ -397,15 +410,14 @@ def train(slices: DataFrame) -> tuple[Model, DataFrame, DataFrame, int]:
     """The model, the shards' answers on words and on pairs, and the number of shards."""
     total = slices.agg(F.coalesce(F.sum("n_train"), F.lit(0))).first()[0]
     shards = -(-total // SHARD_TOKENS) or 1   # there are at most as many pairs as tokens
-    pairs = _stored(slices.mapInArrow(_send(shards, True), _SENT).groupBy("shard")
-                    .applyInArrow(_pair_shard(shards), _RETURNED), "lm-pairs")
-    none = F.lit(None)
-    fans = pairs.where("kind = 'fans'").select(
-        "slice", "shard", "keys", "n", none.cast("binary").alias("first"), none.cast("binary").alias("runs"))
-    words = _stored(slices.mapInArrow(_send(shards, False), _SENT).unionByName(fans).groupBy("shard")
-                    .applyInArrow(_word_shard, _RETURNED), "lm-words")
-
-    own = [df.where("kind = 'bits'") for df in (words, pairs)]
+    most_bytes = 2 * BROADCAST_BYTES / shards
+    pairs = _stored(slices.mapInArrow(_send_pairs(shards), _SENT).groupBy("shard").applyInArrow(_pair_shard(most_bytes), _RETURNED),
+                    "lm-pairs")
+    answers = pairs.where("slice IS NOT NULL").select("slice", "shard", "levels")
+    words = _stored(slices.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(_send_words(shards), _SENT)
+                    .groupBy("shard").applyInArrow(_word_shard(most_bytes), _RETURNED), "lm-words")
+
+    own = [df.where("slice IS NULL") for df in (words, pairs)]
     n, sums, values = np.zeros(4 * MOST), np.zeros(4 * MOST), {}
     # 1,024 sums, whatever the corpus.
     for cell in own[0].unionByName(own[1]).select(F.posexplode(F.arrays_zip("held", "total")).alias("at", "c")).groupBy("at") \
@@ -416,14 +428,15 @@ def train(slices: DataFrame) -> tuple[Model, DataFrame, DataFrame, int]:
         most = int(np.flatnonzero(in_tag).max(initial=0)) + 1
         values[tag] = _level_values(in_tag[:most], sums[tag * MOST:tag * MOST + most])
     blooms = None
-    if sum(df.agg(F.sum(F.length("keys"))).first()[0] or 0 for df in own) <= BROADCAST_BYTES:
+    size = own[0].unionByName(own[1]).agg(F.sum(F.col("size") / 8).alias("bytes"), F.count_if(F.col("bits").isNull()).alias("missing")).first()
+    if (size["bytes"] or 0) <= BROADCAST_BYTES and not size["missing"]:
         blooms = []
         for df in own:
-            parts = {r["shard"]: r for r in df.select("shard", "size", "keys").collect()}
-            blooms.append((np.frombuffer(b"".join(bytes(parts[k]["keys"]) if k in parts else bytes(8) for k in range(shards)), np.uint8),
+            parts = {r["shard"]: r for r in df.select("shard", "size", "bits").collect()}
+            blooms.append((np.frombuffer(b"".join(bytes(parts[k]["bits"]) if k in parts else bytes(8) for k in range(shards)), np.uint8),
                            np.array([parts[k]["size"] if k in parts else 64 for k in range(shards)], np.uint64)))
     model = Model(values, total, int(n[WORDS * MOST:(WORDS + 1) * MOST].sum()), blooms)
-    return model, *(df.where("kind = 'levels'").drop("kind", "size", "held", "total") for df in (words, pairs)), shards
+    return model, words.where("slice IS NOT NULL").select("slice", "shard", "levels", "mass", "n"), answers, shards
 
 
 def score(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
@@ -432,31 +445,27 @@ def score(docs: DataFrame, usable: Column, held_out: Column) -> DataFrame:
     model, words, pairs, shards = train(slices)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    answers = words.withColumn("tag", F.lit(WORDS))
-    if model.blooms is None:
-        answers = answers.unionByName(pairs.withColumn("tag", F.lit(PAIRS)))
-
-    def put_back(column: pa.ChunkedArray, keys: np.ndarray, of: type) -> np.ndarray:
-        """The shards' answers, in order of the shards, in the order of the keys."""
-        out = np.empty(len(keys), np.int64)
-        out[_by_shard(keys, shards)[0]] = np.frombuffer(b"".join(column.to_pylist()), of)
-        return out
+    answers = words
+    if model.blooms is None:   # a pair's answer has no mass
+        answers = answers.unionByName(pairs, allowMissingColumns=True)
 
     def finish(one: pa.Table, answered: pa.Table) -> pa.Table:
         m = shipped.value
         kinds, at, lengths, _ = _open(one, 0)
         p, answered = Probes(kinds, at, lengths), answered.sort_by("shard")
-        word_keys, pair_keys = entry(WORDS, kinds), p.pair_keys()
-        from_words = answered.filter(pa.compute.equal(answered["tag"], WORDS))
-        counts = put_back(from_words["n"], word_keys, np.int64)
+        word_keys, pair_keys = entry(WORDS, kinds), p.pair_keys(shards)
+        from_pairs = pa.compute.is_null(answered["mass"])
+        from_words, from_pairs = answered.filter(pa.compute.invert(from_pairs)), answered.filter(from_pairs)
+        order, some, start = _by_shard(word_keys, shards)
+        counts = np.empty(len(kinds), np.int64)
+        counts[order] = np.concatenate([_unpacked(n, start[k + 1] - start[k], np.int64) for n, k in zip(from_words["n"].to_pylist(), some)])
         if m.blooms:
             of_words, of_pairs = m.filters()
             levels = {WORDS: of_words.levels(word_keys, m.most()), MASS: of_words.levels(mass_entry(word_keys), m.most()),
                       PAIRS: of_pairs.levels(pair_keys, m.most())}
         else:
-            from_pairs = answered.filter(pa.compute.equal(answered["tag"], PAIRS))
-            levels = {WORDS: put_back(from_words["keys"], word_keys, np.uint8), MASS: put_back(from_words["mass"], word_keys, np.uint8),
-                      PAIRS: put_back(from_pairs["keys"], pair_keys, np.uint8)}
+            levels = {WORDS: _put_back(from_words["levels"], word_keys, shards), MASS: _put_back(from_words["mass"], word_keys, shards),
+                      PAIRS: _put_back(from_pairs["levels"], pair_keys, shards) & np.uint8(OWNED - 1)}
         owner = np.repeat(np.arange(len(lengths)), lengths)
         count = counts[p.cur]
 
