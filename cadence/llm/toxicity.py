@@ -25,6 +25,7 @@ label rows count once; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import product
 
@@ -55,6 +56,7 @@ _SPAN = re.compile(
     rf"(?P<apart>(?<![^\W_]){_ONE}(?:(?:[^\w{_MARKS}]|_)+{_ONE}(?![^\W_])){{2,}})"
     rf"|(?<!{_RUN})(?={_RUN}*?(?:[{_SIGNS}]|(?i:({_LETTER})\2)))(?={_RUN}*?{_LETTER}){_RUN}+")
 _MEMO_CHARS = 64   # longer spans are decoded each time
+LOOK_BACK = 4096   # steps after which the shared part of all paths is looked for
 OTHER = 27   # symbols: 0 boundary, 1-26 letters, 27 anything else
 
 
@@ -76,59 +78,95 @@ class Restorer:
 
     def __init__(self, logp: np.ndarray, memo: int = 100_000):
         self.logp, self.memo, self.most = logp.tolist(), {}, memo
-
-    def lattice(self, span: str, apart: bool) -> list[list[tuple[str, float]]]:
-        """Per step the possible texts and their channel costs."""
-        span, steps, i = span.lower(), [], 0
-        last = len(span.rstrip("".join(LOOKALIKE)))   # only signs from here on
-        marks = len(span) - len(span.lstrip("".join(c for c in LOOKALIKE if not c.isdigit())))
-        while i < len(span):
-            c, n = span[i], 1
-            while i + n < len(span) and span[i + n] == c:
-                n += 1
-            if c in LOOKALIKE:
-                read = LOOKALIKE[c]
-                words = ["".join(x) for x in product(read, repeat=n)] if n <= 3 else [x * n for x in read]
-                steps.append([*((x, SIGN_COST * n) for x in words),
-                              (c * n, EDGE_COST if i >= last or i < marks else KEEP_COST)])
-                if n > 1:
-                    steps[-1] += [(x, SIGN_COST + HALVE_COST) for x in read]
-            elif apart and not c.isalpha():
-                steps.append([("", DROP_COST * n), (c * n, KEEP_COST)])
-            elif not c.isalpha() or n == 1:
-                steps.append([(c * n, 0.0)])
-            else:
-                steps.append([(c, 0.0 if n >= 3 else HALVE_COST), (c * 2, 0.0)])
-            i += n
-        return steps
+        self.steps: dict = {}
+
+    @staticmethod
+    def options(c: str, n: int, edge: bool, apart: bool) -> list[tuple[str, float]]:
+        """The possible texts of ``n`` equal characters and their channel costs."""
+        if c in LOOKALIKE:
+            read = LOOKALIKE[c]
+            words = ["".join(x) for x in product(read, repeat=n)] if n <= 3 else [x * n for x in read]
+            kept = [*((x, SIGN_COST * n) for x in words), (c * n, EDGE_COST if edge else KEEP_COST)]
+            return kept + [(x, SIGN_COST + HALVE_COST) for x in read] if n > 1 else kept
+        if apart and not c.isalpha():
+            return [("", DROP_COST * n), (c * n, KEEP_COST)]
+        if not c.isalpha() or n == 1:
+            return [(c * n, 0.0)]
+        return [(c, 0.0 if n >= 3 else HALVE_COST), (c * 2, 0.0)]
+
+    def _step(self, c: str, n: int, edge: bool, apart: bool) -> list[tuple[str, float, list[int]]]:
+        """The options with the symbols of their texts, where a row of one mark counts once."""
+        found = self.steps.get((c, n, edge, apart))
+        if found is None:
+            found = []
+            for text, channel in self.options(c, n, edge, apart):
+                read = [_symbol(ch) for ch in text]
+                found.append((text, channel, [s for j, s in enumerate(read) if not (j and s == OTHER and text[j] == text[j - 1])]))
+            if n <= 8 and len(self.steps) < self.most:
+                self.steps[c, n, edge, apart] = found
+        return found
 
     def decode(self, span: str, apart: bool = False) -> str:
+        """The likeliest text of a span. Of each step only its options and a back pointer a state are
+        held, and what all surviving paths share is written out on the way."""
         found = self.memo.get(span)
         if found is not None:
             return found
-        # State: last two symbols. Each holds its best cost and a back pointer.
-        layers: list[dict] = [{(0, 0): (0.0, None, "")}]
-        for options in self.lattice(span, apart):
-            nxt: dict = {}
-            for (a, b), (cost, _, _) in layers[-1].items():
-                for text, channel in options:
-                    x, y, c = a, b, cost + channel
-                    for k, ch in enumerate(text):
-                        s = _symbol(ch)
-                        if k and s == OTHER and ch == text[k - 1]:   # a row of one mark counts once
-                            continue
-                        c -= self.logp[x][y][s]
+        low = span.lower()
+        last = len(low.rstrip("".join(LOOKALIKE)))   # only signs from here on
+        marks = len(low) - len(low.lstrip("".join(c for c in LOOKALIKE if not c.isdigit())))
+        out: list[str] = []
+        reads, back = [], []   # per held step: its options and each state's pointer
+
+        def path(t: int, state: int) -> str:
+            """Text of the first ``t`` held steps by way of ``state``."""
+            texts = []
+            for read, pointers in zip(reversed(reads[:t]), reversed(back[:t])):
+                pointer = pointers[state]
+                texts.append(read[pointer & 15][0])
+                state = pointer >> 4
+            return "".join(reversed(texts))
+
+        # A state is the last two symbols; a pointer holds the state before and the option taken.
+        states, costs, i, look, logp = [(0, 0)], [0.0], 0, LOOK_BACK, self.logp
+        while i < len(low):
+            n = 1
+            while i + n < len(low) and low[i + n] == low[i]:
+                n += 1
+            number: dict = {}
+            nxt, cost, came = [], [], []
+            read = self._step(low[i], n, i >= last or i < marks, apart)
+            for before, ((a, b), spent) in enumerate(zip(states, costs)):
+                for k, (_, channel, symbols_read) in enumerate(read):
+                    x, y, c = a, b, spent + channel
+                    for s in symbols_read:
+                        c -= logp[x][y][s]
                         x, y = y, s
-                    if (x, y) not in nxt or c < nxt[x, y][0]:
-                        nxt[x, y] = (c, (a, b), text)
-            layers.append(nxt)
-        state = min(layers[-1], key=lambda s: layers[-1][s][0] - self.logp[s[0]][s[1]][0])
-        out = []
-        for layer in reversed(layers[1:]):
-            _, back, text = layer[state]
-            out.append(text)
-            state = back
-        found = "".join(reversed(out))
+                    at = number.get((x, y))
+                    if at is None:
+                        number[x, y] = len(nxt)
+                        nxt.append((x, y))
+                        cost.append(c)
+                        came.append(before << 4 | k)
+                    elif c < cost[at]:
+                        cost[at], came[at] = c, before << 4 | k
+            reads.append(read)
+            back.append(came)
+            states, costs = nxt, cost
+            i += n
+            if len(reads) >= look:
+                alive, t = set(range(len(states))), len(reads)
+                while len(alive) > 1 and t:
+                    t -= 1
+                    alive = {back[t][state] >> 4 for state in alive}
+                if t:
+                    out.append(path(t, alive.pop()))
+                # Two bytes a pointer for the steps on which the paths still differ.
+                reads, back = reads[t:], [array("H", pointers) for pointers in back[t:]]
+                look = 2 * len(reads) + LOOK_BACK
+        best = min(range(len(states)), key=lambda k: costs[k] - logp[states[k][0]][states[k][1]][0])
+        out.append(path(len(reads), best))
+        found = "".join(out)
         if len(span) <= _MEMO_CHARS and len(self.memo) < self.most:
             self.memo[span] = found
         return found

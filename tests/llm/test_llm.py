@@ -7,6 +7,7 @@ import os
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -135,6 +136,32 @@ def test_language_held_out_accuracy(spark):
     assert n > 200 and right / n > 0.97
 
 
+def test_language_blocks_equal_plain_naive_bayes(spark, monkeypatch):
+    rng = random.Random(8)
+    letters = [rng.sample("abcdefghijklmnopqrstuvwxyz", 6) for _ in range(300)]
+    rows = [(i, " ".join("".join(rng.choices(letters[i % 300], k=5)) for _ in range(12)), f"l{i % 300:03d}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+
+    def grams(text):
+        owner, feats = langid.features([langid.clean(text)])
+        return feats.tolist()
+
+    seen, n = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2:
+            seen[lang].update(grams(text))
+            n[lang] += 1
+    size = 1 << langid.BITS
+    sums = {lang: [sum(c for f, c in seen[lang].items() if f // size == k) + 0.5 * size for k in range(3)] for lang in n}
+    for i, text, _ in rows[::60]:
+        found = {lang: math.log(n[lang] / sum(n.values())) + sum(math.log((seen[lang][f] + 0.5) / sums[lang][f // size]) for f in grams(text))
+                 for lang in n}
+        best = max(sorted(found), key=found.get)
+        score = 1 / sum(math.exp(x - found[best]) for x in found.values())
+        assert got[i]["lang_pred"] == best and abs(got[i]["score"] - score) < 1e-3
+
+
 def test_language_awkward(awkward, none):
     rows = langid.identify(awkward).collect()
     assert len(rows) == len(AWKWARD)
@@ -321,6 +348,45 @@ def test_deobfuscation_of_combined_disguises():
     assert r.restore(clean) == clean
 
 
+def test_deobfuscation_equals_all_paths_and_long_spans(monkeypatch):
+    from itertools import product
+    rng = np.random.default_rng(2)
+    c = rng.dirichlet(np.full(28, 0.3), (28, 28)) + 1e-4
+    logp = np.log(c / c.sum(axis=2, keepdims=True))
+    monkeypatch.setattr(toxicity, "LOOK_BACK", 3)
+    restorer = toxicity.Restorer(logp)
+
+    def cost(parts):
+        a = b = 0
+        total = 0.0
+        for text, channel in parts:
+            total += channel
+            for j, ch in enumerate(text):
+                s = toxicity._symbol(ch)
+                if j and s == toxicity.OTHER and ch == text[j - 1]:
+                    continue
+                total -= logp[a][b][s]
+                a, b = b, s
+        return total - logp[a][b][0]
+
+    for span, apart in [("h3ll0", False), ("1d10t", False), ("b.4.d", True), ("s h 1 t", True), ("$$tuupid!", False), ("a_!_b", True), ("c0oo1", False)]:
+        runs = re.findall(r"((.)\2*)", span)
+        last, marks = len(span.rstrip("".join(toxicity.LOOKALIKE))), len(span) - len(span.lstrip("@$!|+("))
+        at, steps = 0, []
+        for run, ch in runs:
+            steps.append(restorer.options(ch, len(run), at >= last or at < marks, apart))
+            at += len(run)
+        want = min(cost(parts) for parts in product(*steps))
+        texts = {"".join(t for t, _ in parts) for parts in product(*steps) if cost(parts) < want + 1e-9}
+        assert restorer.decode(span, apart) in texts
+    monkeypatch.setattr(toxicity, "LOOK_BACK", 4096)
+    tracemalloc.start()
+    long = toxicity.Restorer(logp).decode("a.b." * 100_000, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(long) <= set("ab.") and peak < 40 * 400_000
+
+
 def test_character_model_counts_rows_without_a_label(spark):
     rows = [(i, "you are an idiot" if i % 2 else "a plain text") for i in range(20)] + [(100 + i, "qzx " * 50) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
