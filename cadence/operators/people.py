@@ -39,6 +39,7 @@ def people_aggregated(sessions_agg: DataFrame) -> DataFrame:
     order = [F.col("_rank"), F.col("session_id"), F.col("start_timestamp").isNull(), F.col("start_timestamp")]
     for c in ("fullName", "phoneNumber", "username", "email"):
         order += [F.col(c).isNull(), F.col(c)]
+    s = s.withColumn("_order", F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)]))   # built once a row, not per column
     dur = F.col("session_duration")
     # Durations are summed exactly (decimal, microsecond precision), so the
     # total and mean do not depend on partitioning or summation order.
@@ -57,7 +58,7 @@ def people_aggregated(sessions_agg: DataFrame) -> DataFrame:
                  F.max(c).cast("long").alias(mx)]
     aggs += [F.min("start_timestamp").alias("first_session_date"),
              F.max("start_timestamp").alias("last_session_date")]
-    aggs += [first_non_null(c, *order).alias(c) for c in PROFILE]
+    aggs += [first_non_null(c, F.col("_order")).alias(c) for c in PROFILE]
     per_user = s.groupBy("user_id").agg(*aggs)
     median = exact_median(s, "user_id", "session_duration", "median_session_duration")
 
