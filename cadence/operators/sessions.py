@@ -16,9 +16,9 @@ Steps and their plan shape:
    pass of two left joins: by phone, and by user id only where the phone
    join found nothing. Fan-out from a shared phone is kept (D5).
 5. P6 / P7: drop unmatched and idle sessions.
-6. ``created_during`` (J4): does the user have an app event inside
-   [start, end]? Computed from running counts per (user, hour), never by
-   pairing sessions with events (see the function).
+6. ``with_created`` (J4): does the user have an app event inside
+   [start, end]? Computed from the next event per (user, hour), never by
+   pairing sessions with events (see ``with_created``).
 """
 
 from __future__ import annotations
@@ -160,10 +160,10 @@ def dedupe_users(users: DataFrame) -> DataFrame:
                       [c for c in USER_COLS if c not in ("fullName", "phoneNumber")]).select(*USER_COLS)
 
 
-def match_users(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def match_users(sessions: DataFrame, users: DataFrame, deduped: bool = False) -> DataFrame:
     """J2 + J3: attach a user by phone; rows without a phone match retry by
-    user id. Adds ``match_rank`` (0 phone, 1 id, null none)."""
-    u = dedupe_users(users)
+    user id. Adds ``match_rank`` (0 phone, 1 id, null none). ``deduped``: W1 is done."""
+    u = users if deduped else dedupe_users(users)
     by_phone = u.select(*[F.col(c).alias(f"_p_{c}") for c in USER_COLS])
     by_id = u.select(*[F.col(c).alias(f"_i_{c}") for c in USER_COLS])
     j = (sessions.join(by_phone, F.col("distinct_id") == F.col("_p_phoneNumber"), "left")
@@ -183,42 +183,45 @@ def not_idle() -> Column:
 
 def created_during(intervals: DataFrame, app_events: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
     """For distinct (user_id, start_timestamp, end_timestamp), whether the
-    user has an app event with ``start <= createdAt <= end``.
-
-    Exact and pair-free, two rows per interval however long it is. Interval
-    edges and events are merged into one stream, and an interval holds an event
-    iff the user's event count at its end exceeds the one just before its start.
-    These counts are the running count inside a (user, bucket of time) plus the
-    sum of the user's earlier buckets, taken over the buckets that have a row
-    at all. Groups are (user, bucket), small even for the heaviest user, and one
-    row per bucket of a user for the sums.
+    user has an app event with ``start <= createdAt <= end``."""
+    s, e = F.col("start_timestamp"), F.col("end_timestamp")
+    iv = (intervals.select("user_id", "start_timestamp", "end_timestamp")
+          .where(F.col("user_id").isNotNull() & s.isNotNull() & e.isNotNull() & (s <= e)))   # others hold nothing
+    return with_created(iv, app_events, bucket_seconds).distinct()
+
+
+def with_created(sessions: DataFrame, app_events: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """``sessions`` with ``created_event``: has the row's user an app event with
+    ``start_timestamp <= createdAt <= end_timestamp``? False if any of these is null.
+
+    Exact and pair-free, one row per session however long it is: sessions (at
+    their start) and events are merged into one stream, and a session holds an
+    event iff the user's first event from its start on is not after its end.
+    That is the next event inside the (user, bucket of time) or else the first
+    one of the user's later buckets, taken over the buckets that have a row at
+    all. Groups are (user, bucket), small even for the heaviest user, and one
+    row per bucket of a user for the later buckets.
     """
     b_us = int(bucket_seconds) * 1_000_000
     bucket_of = lambda c: F.floor(F.unix_micros(c) / F.lit(b_us)).cast("long")
-    # Intervals with start > end hold nothing.
-    iv = (intervals.select("user_id", F.col("start_timestamp").alias("s"), F.col("end_timestamp").alias("e"))
-          .where(F.col("user_id").isNotNull() & F.col("s").isNotNull() & F.col("e").isNotNull()
-                 & (F.col("s") <= F.col("e"))))
-    mark = lambda t, o: F.struct(F.col(t).alias("t"), F.lit(o).alias("o"))
-    edges = (iv.select("user_id", "s", "e", F.explode(F.array(mark("s", 0), mark("e", 2))).alias("m"))
-             .select("user_id", bucket_of("m.t").alias("b"), "m.t", "m.o", F.lit(0).alias("w"), "s", "e"))
-    # Duplicate intervals need no distinct: they add equal +/- terms below,
-    # which never change the sign, and the final groupBy makes keys unique.
-    ev = (app_events.where(F.col("user_id").isNotNull() & F.col("createdAt").isNotNull())
-          .select("user_id", bucket_of("createdAt").alias("b"), F.col("createdAt").alias("t"),
-                  F.lit(1).alias("o"), F.lit(1).alias("w"),
-                  F.lit(None).cast("timestamp").alias("s"), F.lit(None).cast("timestamp").alias("e")))
-    # Events at the same instant as an edge sort after a start (o=0) and
-    # before an end (o=2), which makes both bounds inclusive.
-    upto = Window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = ev.unionByName(edges)
-    inside = rows.withColumn("n", F.sum("w").over(upto.partitionBy("user_id", "b").orderBy("t", "o"))).where(F.col("o") != 1)
-    per_bucket = rows.groupBy("user_id", "b").agg(F.sum("w").alias("c"))
-    earlier = per_bucket.withColumn("base", F.sum("c").over(upto.partitionBy("user_id").orderBy("b")) - F.col("c")).drop("c")
-    count = F.col("base") + F.col("n")
-    return (inside.join(earlier, ["user_id", "b"])
-            .groupBy("user_id", F.col("s").alias("start_timestamp"), F.col("e").alias("end_timestamp"))
-            .agg((F.sum(F.when(F.col("o") == 2, count).otherwise(-count)) > 0).alias("created_event")))
+    cols = [F.col(f"`{c}`") for c in sessions.columns]
+    starts = sessions.select(F.struct(*cols).alias("_row"), F.col("user_id").alias("_u"), bucket_of(F.col("start_timestamp")).alias("_b"),
+                             F.col("start_timestamp").alias("_t"), F.lit(0).alias("_o"), F.lit(None).cast("timestamp").alias("_at"))
+    ev = app_events.where(F.col("user_id").isNotNull() & F.col("createdAt").isNotNull())
+    points = ev.select(F.lit(None).cast(starts.schema["_row"].dataType).alias("_row"), F.col("user_id").alias("_u"),
+                       bucket_of(F.col("createdAt")).alias("_b"), F.col("createdAt").alias("_t"), F.lit(1).alias("_o"), F.col("createdAt").alias("_at"))
+    # Events at the instant of a start sort after it, and so are from the start on.
+    onward = Window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    inside = starts.unionByName(points).withColumn("_next", F.min("_at").over(onward.partitionBy("_u", "_b").orderBy("_t", "_o"))) \
+        .where(F.col("_o") == 0)
+    per_bucket = starts.select("_u", "_b", "_at").unionByName(points.select("_u", "_b", "_at")).where(F.col("_u").isNotNull() & F.col("_b").isNotNull()) \
+        .groupBy("_u", "_b").agg(F.min("_at").alias("_first"))
+    after = Window.rowsBetween(1, Window.unboundedFollowing)
+    later = per_bucket.select("_u", "_b", F.min("_first").over(after.partitionBy("_u").orderBy("_b")).alias("_later"))
+    held = F.coalesce(F.coalesce("_next", "_later") <= F.col("_row.end_timestamp"), F.lit(False))
+    return inside.join(later, ["_u", "_b"], "left").select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in sessions.columns],
+        (held & F.col("_u").isNotNull() & F.col("_b").isNotNull()).alias("created_event"))
 
 
 def sessions_aggregated(product_events: DataFrame, sessions: DataFrame, users: DataFrame,
@@ -227,8 +230,8 @@ def sessions_aggregated(product_events: DataFrame, sessions: DataFrame, users: D
                         observation: Observation | None = None) -> DataFrame:
     """The sessions_aggregated rows (before conform), with ``match_rank``.
 
-    The matched session rows are read twice (for their intervals and as the
-    output rows); ``stage`` - e.g. ``lambda df: df.checkpoint()`` in the job -
+    The matched session rows are read twice (as the output rows and for their
+    buckets of time); ``stage`` - e.g. ``lambda df: df.checkpoint()`` in the job -
     materialises them once so the event aggregation is not recomputed.
     """
     events = extract_events(product_events, excluded, mobile_lib, observation)
@@ -237,15 +240,14 @@ def sessions_aggregated(product_events: DataFrame, sessions: DataFrame, users: D
 
 def from_behaviour(behaviour: DataFrame, sessions: DataFrame, users: DataFrame, app_events: DataFrame,
                    excluded: DataFrame, stage: Callable[[DataFrame], DataFrame] | None = None,
-                   few_users: bool = False) -> DataFrame:
+                   few_users: bool = False, deduped: bool = False) -> DataFrame:
     """The sessions_aggregated rows of per-session behaviour. With
-    ``few_users`` only the app events of the matched users are shuffled by time."""
+    ``few_users`` only the app events of the matched users are shuffled by time;
+    ``deduped``: ``users`` are those of ``dedupe_users``."""
     with_meta = attach_metadata(behaviour, sessions, excluded)
-    matched = match_users(with_meta, users).where(F.col("user_id").isNotNull()).where(not_idle())
+    matched = match_users(with_meta, users, deduped).where(F.col("user_id").isNotNull()).where(not_idle())
     if stage is not None:
         matched = stage(matched)
     if few_users:
         app_events = app_events.join(matched.select("user_id").distinct(), "user_id", "left_semi")
-    hits = created_during(matched, app_events)
-    return (matched.join(hits, ["user_id", "start_timestamp", "end_timestamp"], "left")
-            .withColumn("created_event", F.coalesce("created_event", F.lit(False))))
+    return with_created(matched, app_events)

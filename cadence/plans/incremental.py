@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from cadence import schemas
 from cadence.functions.conform import conform
+from cadence.functions.joins import broadcast_if_small
 from cadence.operators import activity, sessions
 from cadence.params import Params
 from cadence.plans import pipeline
@@ -87,13 +88,18 @@ def as_table(name: str, df: DataFrame) -> DataFrame:
 
 
 def empty_state(spark: SparkSession) -> State:
-    return State(**{name: spark.createDataFrame([], STATE_SCHEMAS[name]) for name in State.names()})
+    # The condition makes them known as empty to the optimizer, which leaves out joins with them.
+    return State(**{name: spark.createDataFrame([], STATE_SCHEMAS[name]).where(F.lit(False)) for name in State.names()})
 
 
 def fingerprint(df: DataFrame, key: str) -> DataFrame:
     """``key, n, hashes``: rows per key and the sum of their hashes (rows may repeat)."""
-    return df.groupBy(F.col(key).alias("key")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).cast("decimal(38,0)").alias("hashes"))
+    # Summed in halves, which are longs; a decimal buffer costs more than the rest of the aggregate.
+    h = F.xxhash64(*sorted(df.columns))
+    halves = df.groupBy(F.col(key).alias("key")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(h, 32)).alias("_high"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("_low"))
+    total = F.col("_high").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("_low").cast("decimal(19,0)")
+    return halves.select("key", "n", total.cast("decimal(38,0)").alias("hashes"))
 
 
 def changed_keys(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -110,22 +116,27 @@ def differing_rows(old: DataFrame, new: DataFrame) -> DataFrame:
             .where(F.col("_side") != 0).drop("_side"))
 
 
-def touched_sessions(old: State, events: DataFrame, delta: DataFrame, users: DataFrame, excluded: DataFrame,
-                     metadata: DataFrame, app: DataFrame) -> DataFrame:
-    """Distinct session ids that new events or a changed side input can alter. ``events`` is the
-    merged state, ``delta`` the batch's; the others are the side inputs in the state's form."""
+def touched_sessions(old: State, delta: DataFrame, users: DataFrame, excluded: DataFrame,
+                     metadata: DataFrame, app: DataFrame, keep: Keep) -> DataFrame:
+    """Distinct session ids that new events or a changed side input can alter. ``delta`` is the
+    batch's state, all of whose sessions are touched, so that changed ids are looked up in the old
+    state only; the others are the side inputs in the state's form."""
     moved = differing_rows(old.users, users)
     ids = (moved.select(F.col("phoneNumber").alias("id")).unionByName(moved.select(F.col("user_id").alias("id")))
            .unionByName(differing_rows(old.excluded, excluded)).where(F.col("id").isNotNull()).distinct())
-    by_id = events.join(ids, F.col("distinct_id") == F.col("id"), "left_semi").select("session_id")
+    ids = broadcast_if_small(keep("changed_ids", ids))
+    by_id = old.events.join(ids, F.col("distinct_id") == F.col("id"), "left_semi").select("session_id")
     by_meta = changed_keys(old.metadata, metadata).select(F.col("key").alias("session_id"))
-    by_app = old.sessions_aggregated.join(changed_keys(old.app, app), F.col("user_id") == F.col("key"), "left_semi").select("session_id")
+    of_app = broadcast_if_small(keep("changed_app", changed_keys(old.app, app)))
+    by_app = old.sessions_aggregated.join(of_app, F.col("user_id") == F.col("key"), "left_semi").select("session_id")
     return (delta.select("session_id").unionByName(by_id).unionByName(by_meta).unionByName(by_app).distinct())
 
 
 def refresh(old: State, inp: Inputs, delta_events: DataFrame, p: Params, keep: Keep = as_table) -> State | None:
     """The state after ``delta_events`` and with the side inputs of ``inp``; ``inp.product_events``
     is not read. None if nothing that the outputs depend on has changed."""
+    if all(getattr(old, name).isEmpty() for name in State.names()):
+        return _first_load(inp, delta_events, p, keep)
     delta = keep("delta", sessions.event_state(sessions.mobile_events(delta_events, p.mobile_lib)))
     counts = activity.merge_product_counts(old.counts, activity.product_daily_counts(delta_events))
     events = keep("events", sessions.merge_event_states(old.events, delta))
@@ -133,7 +144,7 @@ def refresh(old: State, inp: Inputs, delta_events: DataFrame, p: Params, keep: K
     excluded = keep("excluded", inp.excluded.select("id").where(F.col("id").isNotNull()).distinct())
     metadata = keep("metadata", fingerprint(inp.sessions, "session_id"))
     app = keep("app", fingerprint(inp.app_events, "user_id"))
-    touched = keep("touched", touched_sessions(old, events, delta, users, excluded, metadata, app))
+    touched = keep("touched", touched_sessions(old, delta, users, excluded, metadata, app, keep))
     if touched.isEmpty() and delta_events.isEmpty():
         return None
 
@@ -142,7 +153,7 @@ def refresh(old: State, inp: Inputs, delta_events: DataFrame, p: Params, keep: K
     before = old.sessions_aggregated.join(touched, "session_id", "left_semi").select("user_id")
 
     fresh = sessions.from_behaviour(sessions.behaviour_of_state(scoped, excluded), about, users, inp.app_events, excluded,
-                                    stage=lambda df: keep("matched", df), few_users=True)
+                                    stage=lambda df: keep("matched", df), few_users=True, deduped=True)
     fresh = keep("fresh", conform(fresh, schemas.SESSIONS_AGGREGATED, p.run_ts))
     merged = keep("sessions_aggregated", old.sessions_aggregated.join(touched, "session_id", "left_anti").unionByName(fresh))
     changed = keep("people_touched", before.unionByName(fresh.select("user_id")).distinct())
@@ -151,5 +162,22 @@ def refresh(old: State, inp: Inputs, delta_events: DataFrame, p: Params, keep: K
                  keep("people_aggregated", old.people_aggregated.join(changed, "user_id", "left_anti").unionByName(people)))
 
 
+def _first_load(inp: Inputs, delta_events: DataFrame, p: Params, keep: Keep) -> State | None:
+    """``refresh`` of an empty state: every session and person is new, so nothing is compared with
+    the state, looked up in it or merged into it."""
+    events = keep("events", sessions.event_state(sessions.mobile_events(delta_events, p.mobile_lib)))
+    users = keep("users", sessions.dedupe_users(inp.users))
+    excluded = keep("excluded", inp.excluded.select("id").where(F.col("id").isNotNull()).distinct())
+    metadata = keep("metadata", fingerprint(inp.sessions, "session_id"))
+    app = keep("app", fingerprint(inp.app_events, "user_id"))
+    if metadata.where(F.col("key").isNotNull()).isEmpty() and delta_events.isEmpty():
+        return None
+    rows = sessions.from_behaviour(sessions.behaviour_of_state(events, excluded), inp.sessions, users, inp.app_events, excluded,
+                                   stage=lambda df: keep("matched", df), deduped=True)
+    found = keep("sessions_aggregated", conform(rows, schemas.SESSIONS_AGGREGATED, p.run_ts))
+    return State(events, keep("counts", activity.product_daily_counts(delta_events)), users, excluded, metadata, app, found,
+                 keep("people_aggregated", pipeline.people_aggregated(found, p)))
+
+
 def spine_from_state(product_counts: DataFrame, inp: Inputs) -> DataFrame:
     return activity.spine_from_counts(product_counts, inp.app_events, inp.invites, inp.users, inp.excluded)

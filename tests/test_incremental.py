@@ -218,3 +218,30 @@ def test_refresh_reads_no_old_event(spark, staged, tmp_path):
     incremental.refresh(state, inp, spark.read.parquet(str(tmp_path / "delta")), ORACLE_PARAMS, keep)
     files = lambda name: {f for f in read if f"/{name}/" in f}
     assert files("users") and files("delta") and not files("product_events")
+
+
+def test_first_load_compares_nothing(spark):
+    """An empty state is not merged into or searched for what changed, and the result is a full refresh's."""
+    inp, _ = _small(spark)
+    kept = []
+
+    def keep(name, df):
+        kept.append(name)
+        return incremental.as_table(name, df)
+
+    state = incremental.refresh(incremental.empty_state(spark), inp, inp.product_events, ORACLE_PARAMS, keep)
+    assert sorted(kept) == sorted([*incremental.State.names(), "matched"])
+    want = pipeline.sessions_aggregated(inp, ORACLE_PARAMS)
+    assert _rows(state.sessions_aggregated.select(*want.columns)) == _rows(want)
+    none = Inputs.of({n: spark.createDataFrame([], schemas.INPUTS[n]) for n in ("product_events", "sessions", "users", "app_events", "invites", "excluded")})
+    assert incremental.refresh(incremental.empty_state(spark), none, none.product_events, ORACLE_PARAMS) is None
+
+
+def test_staged_inputs_read_the_events_once(spark):
+    """Inputs for many reads come from the stored events and equal the derived ones."""
+    staged, derived = adapters.load_staged(spark, SF), adapters._derive(spark, SF)
+    for name in ("product_events", "sessions", "app_events", "invites"):
+        files = staged[name].inputFiles()
+        assert files and all("/staged-" in f for f in files), name
+        assert staged[name].schema.fieldNames() == derived[name].schema.fieldNames()
+        assert _rows(staged[name]) == _rows(derived[name]), name

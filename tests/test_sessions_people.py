@@ -86,3 +86,16 @@ def test_created_during_inclusive_bounds(spark):
     got = {(r.user_id, r.start_timestamp.day, r.start_timestamp.hour): r.created_event
            for r in sessions.created_during(iv, ev).collect()}
     assert got == {("a", 1, 10): True, ("a", 1, 12): True, ("a", 3, 0): False, ("b", 1, 10): True}
+
+
+def test_created_flag_of_each_row(spark):
+    """J4 row by row: an event in a later hour, at either end, none, null edges and users, equal rows."""
+    at = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    ev = spark.createDataFrame([("u", at(5, 30)), ("u", at(9)), ("u", None), (None, at(5)), ("w", at(1))], "user_id string, createdAt timestamp")
+    rows = [("a", "u", at(1), at(5, 30), True), ("b", "u", at(5, 30), at(5, 30), True), ("c", "u", at(5, 31), at(8, 59), False),
+            ("d", "u", at(5, 31), at(9), True), ("e", "u", at(9, 1), at(12), False), ("f", "u", at(9), at(5), False),
+            ("g", "u", None, at(12), False), ("h", "u", at(1), None, False), ("i", None, at(1), at(12), False),
+            ("j", "v", at(1), at(12), False), ("k", "u", at(1), at(5, 30), True), ("k", "u", at(1), at(5, 30), True)]
+    held = "session_id string, user_id string, start_timestamp timestamp, end_timestamp timestamp"
+    got = sessions.with_created(spark.createDataFrame([r[:4] for r in rows], held), ev)
+    assert sorted(map(str, got.collect())) == sorted(map(str, spark.createDataFrame(rows, held + ", created_event boolean").collect()))
