@@ -345,11 +345,16 @@ def load_new_database(spark, sf_dir):
 
 # ------------------------------------------------------------- I1
 
-def _refreshed(spark, sf_dir, sides: bool = False) -> incremental.State:
+def _staged(spark, sf_dir) -> Inputs:
+    """The inputs for queries that read them many times."""
+    prepare(spark)
+    return Inputs.of(adapters.load_staged(spark, sf_dir))
+
+
+def _refreshed(spark, i: Inputs, sides: bool = False) -> incremental.State:
     """The state of the events before ``since``, refreshed by the later ones. With
     ``sides`` the other inputs were as of ``since``, too: younger users, metadata, app events
     and invites not yet there and nobody excluded."""
-    i = inputs(spark, sf_dir)
     at = utc_literal(P.since)
     known = lambda df, c: df.where(F.col(c).isNull() | (F.col(c) < at))
     old = Inputs(i.product_events, known(i.sessions, "start_timestamp"), known(i.users, "createdAt"), known(i.app_events, "createdAt"),
@@ -360,27 +365,28 @@ def _refreshed(spark, sf_dir, sides: bool = False) -> incremental.State:
 
 @register("incremental_sessions")
 def incremental_sessions(spark, sf_dir):
-    return _refreshed(spark, sf_dir).sessions_aggregated
+    return _refreshed(spark, _staged(spark, sf_dir)).sessions_aggregated
 
 
 @register("incremental_people")
 def incremental_people(spark, sf_dir):
-    return round_floats(_refreshed(spark, sf_dir).people_aggregated)
+    return round_floats(_refreshed(spark, _staged(spark, sf_dir)).people_aggregated)
 
 
 @register("incremental_spine")
 def incremental_spine(spark, sf_dir):
-    return incremental.spine_from_state(_refreshed(spark, sf_dir).counts, inputs(spark, sf_dir))
+    i = _staged(spark, sf_dir)
+    return incremental.spine_from_state(_refreshed(spark, i).counts, i)
 
 
 @register("incremental_all_inputs_sessions")
 def incremental_all_inputs_sessions(spark, sf_dir):
-    return _refreshed(spark, sf_dir, sides=True).sessions_aggregated
+    return _refreshed(spark, _staged(spark, sf_dir), sides=True).sessions_aggregated
 
 
 @register("incremental_all_inputs_people")
 def incremental_all_inputs_people(spark, sf_dir):
-    return round_floats(_refreshed(spark, sf_dir, sides=True).people_aggregated)
+    return round_floats(_refreshed(spark, _staged(spark, sf_dir), sides=True).people_aggregated)
 
 
 # ------------------------------------------------------------- S1 over stored tables
