@@ -29,6 +29,11 @@ once, and are verified by the texts. This step's work grows with the square of a
 bucket that stays of several classes, in tasks of bounded size. Links are joined into classes by alternating large-star and
 small-star steps; nothing is collected on the driver.
 
+Texts are shuffled only where they are needed: rows whose id cannot be that of a
+document in a bucket (for the comparison), or of a copy (for ``keep_one``), are told
+by a filter of hashed ids of at most ``FILTER_WORDS`` words and stay where they are. Joins on
+the whole id and text digest decide about the others, so a full filter costs disk but no result.
+
 Defined cases: null text is empty; texts without words are copies of each
 other; a class is named by its smallest id (a null id sorts first); equal ids
 with different texts are different documents; extra columns of any name and
@@ -58,6 +63,12 @@ SMALL = 16
 BLOCK = 4096
 SIGNATURE = 512
 SHORT = 1024
+FILTER_WORDS = 1 << 20
+
+
+def _digest(words: Column) -> Column:
+    # Never null, and said so: else joins test every row's digest for null first.
+    return F.coalesce(F.unhex(F.sha2(words.cast("binary"), 256)), F.lit(b""))
 
 
 def words_text(text: str = "text") -> Column:
@@ -388,6 +399,20 @@ def _rest(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return blocks.join(about, "node").groupBy("key", "x", "y").applyInArrow(_block_pairs(threshold), "a long, b long, sure boolean")
 
 
+def _marked(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``maybe``: false only where ``key`` is no value of ``wanted`` (one
+    column). The filter has a 64-bit word for each value, up to ``FILTER_WORDS``, and is broadcast."""
+    words = min(FILTER_WORDS, 1 << max(0, wanted.count() - 1).bit_length())
+
+    def placed(df: DataFrame, column: str) -> DataFrame:
+        h = F.xxhash64(F.col(column))
+        return df.withColumn("_word", F.pmod(h, F.lit(words))).withColumn("_at", F.shiftrightunsigned(h, 58).cast("int"))
+
+    masks = placed(wanted, wanted.columns[0]).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _at))").alias("_mask"))
+    return placed(rows, key).join(F.broadcast(masks), "_word", "left") \
+        .withColumn("maybe", F.expr("coalesce(_mask & shiftleft(1L, _at), 0L) <> 0")).drop("_word", "_at", "_mask")
+
+
 def _components_of_links(nodes: DataFrame, texts_of, threshold: float) -> DataFrame:
     """``node, comp`` of the linked nodes. ``texts_of(nodes)`` gives node, text."""
     entries = nodes.where("entries IS NOT NULL").select("node", "entries")
@@ -425,7 +450,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id, class_size, kept, digest`` for every row of ``docs``:
     class_id is the smallest id of the document's class, and that one is kept."""
     base = docs.select("doc_id", words_text().alias("text"))
-    digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    digest = _digest(F.col("text"))
     hashed = F.when(F.col("text") == "", F.array().cast("array<long>")) \
         .otherwise(F.transform(F.split("text", " "), lambda w: F.xxhash64(w)))
     kind = base.schema["doc_id"].dataType.simpleString()
@@ -436,8 +461,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                         F.monotonically_increasing_id().alias("node")))
 
     def texts_of(wanted: DataFrame) -> DataFrame:
-        ids = nodes.join(wanted, "node").select("node", "rep", F.col("digest").alias("rep_digest"))
-        rows = base.withColumn("digest", digest)
+        ids = cut(nodes.join(wanted, "node").select("node", "rep", F.col("digest").alias("rep_digest")))
+        rows = _marked(docs.select("doc_id", "text"), "doc_id", ids.select("rep")).where("maybe") \
+            .select("doc_id", words_text().alias("text")).withColumn("digest", digest)
         return rows.join(ids, (F.col("digest") == F.col("rep_digest")) & F.col("doc_id").eqNullSafe(F.col("rep"))) \
             .select("node", "text").dropDuplicates(["node"])
 
@@ -454,12 +480,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The one document of each class that stays, with all its columns."""
-    kept = cut(classes(docs, threshold).where("kept")
-               .select(F.col("doc_id").alias("kept_id"), "digest").distinct())
+    found = cut(classes(docs, threshold).groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
+    doubtful = cut(found.where("NOT kept OR n > 1").select("doc_id").distinct())
     # Own column names, so that a document's columns cannot clash with the others.
     own = [f"in_{i}" for i in range(len(docs.columns))]
-    rows = docs.select(F.unhex(F.sha2(words_text().cast("binary"), 256)).alias("digest"), F.col("doc_id").alias("own_id"),
-                       *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)])
-    # One shuffle of the rows: equal digests meet for the join and for the choice among repeated rows.
-    out = rows.join(kept, "digest").where(F.col("own_id").eqNullSafe(F.col("kept_id"))).dropDuplicates(["digest"])
+    own_id, own_text = (own[docs.columns.index(c)] for c in ("doc_id", "text"))
+    rows = _marked(docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)]), own_id, doubtful)
+    kept = _marked(found.where("kept").select(F.col("doc_id").alias("kept_id"), "digest"), "kept_id", doubtful).where("maybe")
+    # All rows of an id that is not doubtful stay. The others are shuffled once: equal
+    # digests meet for the join and for the choice among repeated rows.
+    rest = rows.where("maybe").withColumn("digest", _digest(words_text(own_text))).join(kept.drop("maybe"), "digest") \
+        .where(F.col(own_id).eqNullSafe(F.col("kept_id"))).dropDuplicates(["digest"])
+    out = rows.where("NOT maybe").select(*own).unionByName(rest.select(*own))
     return out.select(*[F.col(o).alias(c) for c, o in zip(docs.columns, own)])

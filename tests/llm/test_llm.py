@@ -565,6 +565,33 @@ def test_near_dedup_and_mixing_carry_any_column(spark):
         [(1, 1, {"k": 1}, 6), (2, 2, {"k": 2}, 6), (3, 3, None, 6)]
 
 
+def test_near_dedup_moves_only_doubtful_rows(spark):
+    rng = random.Random(2)
+    text = {i: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for i in range(400)}
+    rows = [(i, t) for i, t in text.items()] + [(400, text[7].upper()), (401, text[8] + " more"), (9, text[9]), (None, text[10]), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8).withColumn("at", F.spark_partition_id()).checkpoint()
+    kept = near_dedup.keep_one(docs).withColumn("now", F.spark_partition_id()).collect()
+    assert sorted((r["doc_id"] is not None, r["doc_id"], r["text"]) for r in kept) == \
+        sorted((i is not None, i, t) for i, t in {*rows} - {(400, text[7].upper()), (401, text[8] + " more"), (10, text[10])})
+    assert sum(r["at"] == r["now"] for r in kept) >= 380
+
+
+def test_near_dedup_full_filter_gives_the_same(spark, monkeypatch):
+    texts = crowd(80)
+    docs = spark.createDataFrame([(i % 70 if i % 9 else None, t) for i, t in texts.items()] * 2, "doc_id long, text string")
+    want = [sorted(map(str, f(docs).collect())) for f in (near_dedup.classes, near_dedup.keep_one)]
+    ids = spark.createDataFrame([(i * 101 if i else None,) for i in range(300)], "i long")
+    few = ids.where("i % 404 = 0 OR i IS NULL")
+    marked = near_dedup._marked(ids, "i", few)
+    inside = {r["i"] for r in few.collect()}
+    got = {r["i"]: r["maybe"] for r in marked.collect()}
+    assert len(got) == 300 and all(got[i] for i in inside) and sum(got.values()) < len(inside) + 30
+    assert not any(r["maybe"] for r in near_dedup._marked(ids, "i", few.where("false")).collect())
+    monkeypatch.setattr(near_dedup, "FILTER_WORDS", 1)
+    assert sum(r["maybe"] for r in near_dedup._marked(ids, "i", few).collect()) > 150
+    assert [sorted(map(str, f(docs).collect())) for f in (near_dedup.classes, near_dedup.keep_one)] == want
+
+
 # --- mixing
 
 def test_mix_meets_targets(docs, texts):
