@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,16 +15,33 @@ from cadence.session import checkpoint_dir
 # A word: a run of characters other than space, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Frames made and writes begun meanwhile delete their shuffle files as soon as
+    they have run, not when the driver next collects its garbage. For what runs once:
+    a second run of such a frame shuffles again."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    """Cut the lineage with a reliable checkpoint in the shared folder; what was
+    shuffled for it goes once it is written."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    with short_shuffles(df.sparkSession):
+        once = df.select("*")   # a frame of its own: the caller may run ``df`` again
+    return once.checkpoint()
 
 
 def id_crc(doc_id: Column, mod: int) -> Column:

@@ -348,9 +348,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                 .where(F.col("a") != F.col("b")).distinct())
     while True:
-        degree = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
-        inner = edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select("a")
-        if not degree.unionByName(inner).head(1):
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")) \
+            .unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up > 0 AND down > 0").isEmpty():
             break
         edges = _star(_star(edges, True), False)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")) \

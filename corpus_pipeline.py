@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cadence.llm import exact_dedup, langid, mixing, near_dedup, packing
-from cadence.llm.common import table
+from cadence.llm.common import short_shuffles, table
 from cadence.session import scratch_path
 
 
@@ -54,6 +54,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        rows = stage(spark, docs, sf_dir)
+        with short_shuffles(spark):
+            rows.write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline
-from cadence.llm import catalog, chat, exact_dedup, langid, lm, mixing, near_dedup, packing, topk, toxicity, url_filter
+from cadence.llm import catalog, chat, common, exact_dedup, langid, lm, mixing, near_dedup, packing, topk, toxicity, url_filter
 from oracle_compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -565,6 +565,47 @@ def test_near_dedup_and_mixing_carry_any_column(spark):
         [(1, 1, {"k": 1}, 6), (2, 2, {"k": 2}, 6), (3, 3, None, 6)]
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f for f in files.mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_cuts_leave_no_shuffle_files(spark):
+    setting, before, held = spark.conf.get(common.SHUFFLE_CLEANUP, None), shuffle_files(spark), []
+    rows = spark.range(5000).select((F.col("id") % 50).alias("k"), "id")
+    counted = rows.join(rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k").repartition(7, "id")
+    held.append(common.cut(counted))
+    for _ in range(50):   # Spark deletes them in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == setting
+    want = sorted((i % 50, i, 100) for i in range(5000))
+    assert sorted(map(tuple, held[0].collect())) == want == sorted(map(tuple, counted.collect()))
+    assert sorted(map(tuple, common.cut(counted).collect())) == want   # the frame can be cut again
+
+
+@pytest.mark.parametrize("shape", ["random", "path", "star", "none"])
+def test_components_equal_union_find(spark, shape):
+    rng = random.Random(3)
+    pairs = {"random": [(rng.randrange(150), rng.randrange(150)) for _ in range(110)], "path": [(i, i + 1) for i in range(40)],
+             "star": [(i, 0) for i in range(1, 30)], "none": []}[shape]
+    above = {x: x for p in pairs if p[0] != p[1] for x in p}
+
+    def find(x):
+        while above[x] != x:
+            x = above[x]
+        return x
+
+    for a, b in pairs:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            above[b] = a
+    got = near_dedup.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in above)
+
+
 def test_near_dedup_moves_only_doubtful_rows(spark):
     rng = random.Random(2)
     text = {i: " ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for i in range(400)}
