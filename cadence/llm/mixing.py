@@ -190,8 +190,9 @@ def remix(docs: DataFrame, **options) -> DataFrame:
     id; rows equal in all appear as often as they do together."""
     key = row_key(docs)
     one = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + 0.5))
-    copies = _taken(docs, key=key, **options).groupBy("key").agg(F.sum(one).cast("int").alias("copies")) \
-        .where("copies > 0").withColumnRenamed("key", "mixed")
+    # Cut: what the mix shuffled is gone before the documents are shuffled.
+    copies = cut(_taken(docs, key=key, **options).groupBy("key").agg(F.sum(one).cast("int").alias("copies"))
+                 .where("copies > 0").withColumnRenamed("key", "mixed"))
     # Own column names, so that a document's columns cannot clash with the others.
     own = [f"in_{i}" for i in range(len(docs.columns))]
     rows = docs.select(key.alias("key"), *[F.col(f"`{c}`").alias(o) for c, o in zip(docs.columns, own)])
